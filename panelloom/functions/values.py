@@ -12,12 +12,12 @@ def text_key(key: Column) -> Column:
     """An identifier as trimmed text; whole numbers never go through a double.
 
     ``51234567890``, ``51234567890.0`` and ``5.123456789E10`` are one key.
-    Anything that is not a number is kept as it is. Nulls stay null.
+    Anything that is not a whole number is kept as it is. Nulls stay null.
     """
     text = strip_space(key.cast("string"))
-    number = text.rlike(r"^\d+(\.0+)?([eE]\+?\d+)?$")
-    whole = F.when(number, text).try_cast("decimal(38,0)")
-    return F.when(text.rlike(r"^\d+$") | whole.isNull(), text).otherwise(whole.cast("string"))
+    number = F.when(text.rlike(r"^\d+(\.\d+)?([eE]\+?\d+)?$"), text).try_cast("decimal(38,9)")
+    is_whole = ~text.rlike(r"^\d+$") & (number == F.floor(number))
+    return F.when(is_whole, F.floor(number).cast("string")).otherwise(text)
 
 
 def date_key(key: Column, strict: bool = True) -> Column:

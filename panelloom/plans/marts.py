@@ -100,3 +100,10 @@ def quarterly_aggregation(panel: DataFrame, chunks: int | None = None) -> DataFr
     order = ["quarter_date", "product_name"]
     lagged = previous_values(ranked, "abn", order, {"member_accounts": "prev_members"}, chunks)
     return lagged.withColumn("member_net_change", F.col("member_accounts") - F.col("prev_members"))
+
+
+MARTS = {"fund_performance": fund_performance, "fee_vs_return": fee_vs_return, "member_flow": member_flow}
+
+
+def all_marts(panel: DataFrame) -> dict[str, DataFrame]:
+    return {name: build(panel) for name, build in MARTS.items()}
