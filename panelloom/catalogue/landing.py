@@ -16,7 +16,7 @@ from panelloom.sources import sheets
 from panelloom.standins.documents import CELLS_SQL, document_cells, language_sheets
 from panelloom.standins.panel import PANEL_SQL, panel
 from panelloom.standins.tables import table
-from panelloom.standins.workbooks import POINTS_SQL, customer_workbook, product_workbooks
+from panelloom.standins.workbooks import POINTS_SQL, customer_workbook, landed_products
 
 # The languages whose documents stand for sheets without data.
 NO_DATA_LANGUAGES = ["en", "de"]
@@ -126,7 +126,7 @@ def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sheet_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sheet below its fixed header offset, the units row left out."""
-    rows = product_workbooks(spark, sf_dir).where(F.col("sheet") == fixed.RETURNS_SHEET)
+    rows = landed_products(spark, sf_dir).where(F.col("sheet") == fixed.RETURNS_SHEET)
     names = sheets.clean_names(sheets.header_names(rows, fixed.RETURNS_HEADER))
     wanted = ["Period*", "Fund ABN", "MySuper product name", "Total fees and costs (rep member)"]
     return sheets.sheet_table(rows, names, wanted, units_row=True)
@@ -139,7 +139,7 @@ def sheet_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from points p join funds f on f.abn = p.abn""",
 )
 def returns_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = merge.returns_and_fees(product_workbooks(spark, sf_dir))
+    rows = merge.returns_and_fees(landed_products(spark, sf_dir))
     return project_present(rows, ["quarter_year", "abn", "product_name", "fund_name"]).withColumn(
         "fund_name", strip_space(F.col("fund_name"))
     )

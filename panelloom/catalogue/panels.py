@@ -12,7 +12,7 @@ from panelloom.operators.frames import drop_null_key, rename_present, sum_per_ke
 from panelloom.plans import merge, staging
 from panelloom.standins.panel import PANEL_SQL, panel
 from panelloom.standins.tables import table
-from panelloom.standins.workbooks import POINTS_SQL, product_workbooks
+from panelloom.standins.workbooks import POINTS_SQL, landed_products
 
 RATES = ["return_1yr", "return_3yr", "return_5yr", "investment_fee_pct", "admin_fee_pct", "total_fee_pct"]
 RATE_TEXT_SQL = ", ".join(f"'0.' || lpad(cast({c} as varchar), 6, '0') || '5' as {c}" for c in RATES)
@@ -34,7 +34,7 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     left join fund_totals t on t.abn = p.abn and t.quarter_date = p.quarter_date""",
 )
 def merge_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = merge.merge_sheets(product_workbooks(spark, sf_dir))
+    merged = merge.merge_sheets(landed_products(spark, sf_dir))
     return merged.withColumns(
         {
             "fund_name": F.trim("fund_name"),
@@ -54,7 +54,7 @@ def merge_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     left join fund_totals t on t.abn = p.abn and t.quarter_date = p.quarter_date""",
 )
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging.staging(merge.merge_sheets(product_workbooks(spark, sf_dir)))
+    rows = staging.staging(merge.merge_sheets(landed_products(spark, sf_dir)))
     rows.createOrReplaceTempView("staging")
     return spark.table("staging").withColumns({c: F.col(c).cast("double") for c in [*RATES, "net_assets_m"]})
 
@@ -67,7 +67,7 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     from points group by all""",
 )
 def fund_grain_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = merge.assets(product_workbooks(spark, sf_dir))
+    totals = merge.assets(landed_products(spark, sf_dir))
     return totals.withColumn("net_assets_m", F.col("net_assets_m").cast("double"))
 
 

@@ -12,12 +12,12 @@ from panelloom.catalogue import query
 from panelloom.catalogue.marts import FLOW_SQL, MARTS_SQL
 from panelloom.plans import marts
 from panelloom.plans.weekly import load_all, weekly_run
-from panelloom.session import fresh_path, write_through
+from panelloom.session import fresh_path
 from panelloom.sinks import tables
 from panelloom.sources.snapshots import read_snapshot
 from panelloom.standins.panel import PANEL_SQL, panel
 from panelloom.standins.tables import table
-from panelloom.standins.workbooks import POINTS_SQL, customer_workbook, landed, product_workbooks
+from panelloom.standins.workbooks import POINTS_SQL, customer_workbook, landed, landed_products
 
 FIRST, SECOND = date(2026, 1, 5), date(2026, 1, 12)
 LOADED_AT = datetime(2026, 1, 5, 22)
@@ -56,7 +56,7 @@ def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two dates archived, the second loaded twice; rows per date and sheet."""
     root = fresh_path(spark, "archive")
-    books = write_through(product_workbooks(spark, sf_dir), "landed").withColumn("dataset", F.lit("product_quarterly"))
+    books = landed_products(spark, sf_dir).withColumn("dataset", F.lit("product_quarterly"))
     for run_date in (FIRST, SECOND, SECOND):
         tables.archive(books, root, run_date)
     both = read_snapshot(spark, root, FIRST).unionByName(read_snapshot(spark, root, SECOND))

@@ -15,20 +15,23 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"\p{Z}\t-\r\x1c-\x1f\x85"
 WORD_CLASS = r"\p{L}\p{N}_"
 
+# The characters of the space class, one by one.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 
 def strip_space(text: Column) -> Column:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(text, rf"^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def single_spaced(text: Column) -> Column:
     """Trim, and turn each run of white space into one space; case is kept."""
-    return strip_space(F.regexp_replace(text, rf"[{SPACE_CLASS}]+", " "))
+    return F.trim(F.regexp_replace(text, rf"[{SPACE_CLASS}]+", " "))
 
 
 def snake_case(text: Column) -> Column:
     """Drop punctuation, trim, join the words with underscores, lower-case."""
-    words = F.regexp_replace(text, rf"[^{WORD_CLASS}{SPACE_CLASS}]", "")
+    words = F.regexp_replace(text, rf"[^{WORD_CLASS}{SPACE_CLASS}]+", "")
     return F.lower(F.regexp_replace(strip_space(words), rf"[{SPACE_CLASS}]+", "_"))
 
 

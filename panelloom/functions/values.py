@@ -15,9 +15,10 @@ def text_key(key: Column) -> Column:
     Anything that is not a whole number is kept as it is. Nulls stay null.
     """
     text = strip_space(key.cast("string"))
+    is_digits = F.translate(text, "0123456789", "") == ""
     number = F.when(text.rlike(r"^\d+(\.\d+)?([eE]\+?\d+)?$"), text).try_cast("decimal(38,9)")
-    is_whole = ~text.rlike(r"^\d+$") & (number == F.floor(number))
-    return F.when(is_whole, F.floor(number).cast("string")).otherwise(text)
+    whole = F.when(number == F.floor(number), F.floor(number).cast("string"))
+    return F.when(is_digits, text).otherwise(F.coalesce(whole, text))
 
 
 def date_key(key: Column, strict: bool = True) -> Column:

@@ -26,7 +26,7 @@ def typed_keys(df: DataFrame, strict: bool = True) -> DataFrame:
     are not cast.
     """
     keys = {"quarter_year": date_key(keyed("quarter_year"), strict), "abn": text_key(F.col("abn"))}
-    return drop_null_key(df.withColumns(keys), "abn")
+    return drop_null_key(df, "abn").withColumns(keys)
 
 
 def returns_and_fees(cells: DataFrame, strict: bool = True) -> DataFrame:

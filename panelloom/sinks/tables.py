@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from panelloom.session import write_through
 
+MAX_LISTED_PARTITIONS = 1_000
+
 
 def archive(cells: DataFrame, root: str, run_date: date) -> list[str]:
     """Keep landed rows under their run date; other dates are left alone.
@@ -59,6 +61,19 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return last.select("_row.*")
 
 
+def _in_partitions_of(df: DataFrame, updates: DataFrame, partition: str) -> DataFrame:
+    """The rows of ``df`` in partitions that ``updates`` touches.
+
+    A short list of partitions becomes a literal filter, which prunes the scan;
+    a long one is joined.
+    """
+    touched = updates.select(partition).distinct()
+    values = [row[0] for row in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    if len(values) > MAX_LISTED_PARTITIONS:
+        return df.join(touched, partition, "left_semi")
+    return df.where(F.col(partition).isin(values))
+
+
 def upsert(
     spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], partition: str
 ) -> None:
@@ -68,14 +83,16 @@ def upsert(
     kept, and only those partitions replaced; applying the same updates twice
     changes nothing. The merged rows are written aside first, because a table
     must not be overwritten while it is read. ``path`` must exist.
+
+    Rebalancing gathers a partition's rows in few files and splits a large one.
     """
     if partition not in keys:
         raise ValueError(f"partition column {partition!r} must belong to the key {list(keys)}")
-    touched = updates.select(partition).distinct()
-    old = spark.read.schema(updates.schema).parquet(path).join(touched, partition, "left_semi")
+    old = _in_partitions_of(spark.read.schema(updates.schema).parquet(path), updates, partition)
     merged = latest_per_key(old.select(*updates.columns).unionByName(updates), keys, order)
     (
         write_through(merged, "merged")
+        .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
@@ -85,4 +102,4 @@ def upsert(
 
 def start_table(df: DataFrame, path: str, partition: str) -> None:
     """The first load of a table that ``upsert`` will keep up to date."""
-    df.write.mode("errorifexists").partitionBy(partition).parquet(path)
+    df.hint("rebalance", partition).write.mode("errorifexists").partitionBy(partition).parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelloom import fixed_values as fixed
+from panelloom.session import write_through
 from panelloom.standins.panel import funds, lines
 from panelloom.standins.tables import table
 
@@ -95,7 +96,7 @@ def product_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     fund = funds(spark, sf_dir)
     points = product_points(spark, sf_dir).join(fund, "abn").withColumn("file", book)
     place = F.row_number().over(Window.partitionBy("file").orderBy("quarter_date", "product_name"))
-    points = points.withColumn("place", place)
+    points = write_through(points.withColumn("place", place), "points")
     books = fund.select(book.alias("file"))
 
     abn, day = F.col("abn").cast("string"), F.col("quarter_date").cast("string")
@@ -158,6 +159,11 @@ def part_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_workbook(table(spark, sf_dir, "part"), "parts", "p_partkey", header, cells)
 
 
+def landed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product workbooks as a written landing, which the merge reads by sheet."""
+    return write_through(product_workbooks(spark, sf_dir), "landed")
+
+
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run's landing: the workbooks of all three registered data sets."""
     books = {
