@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,24 +33,34 @@ def register_views(marts: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def checked(sql: str) -> str:
-    """The text itself, if it starts as a reading query does."""
-    words = sql.split(maxsplit=1)
+def reading_query(spark: SparkSession, sql: str) -> DataFrame:
+    """The query as a frame, once it is known to be one that only reads.
+
+    The first word is not enough, as WITH can also introduce an INSERT. Only a
+    single query can stand in parentheses, so the text is analysed there first,
+    which runs nothing.
+    """
+    text = sql.strip().rstrip(";")
+    words = text.split(maxsplit=1)
     if not words:
         raise Refused("the query must not be empty")
     if words[0].lower() not in ("select", "with"):
         raise Refused("only SELECT queries are run")
-    return sql
+    try:
+        spark.sql(f"SELECT * FROM (\n{text}\n)")
+    except ParseException as error:
+        raise Refused(f"not a single reading query: {error}") from error
+    return spark.sql(text)
 
 
 def select(spark: SparkSession, sql: str, cap: int = RESULT_CAP) -> DataFrame:
     """The query's first ``cap`` rows, still to be run."""
-    return spark.sql(checked(sql)).limit(cap)
+    return reading_query(spark, sql).limit(cap)
 
 
 def answer(spark: SparkSession, sql: str, question: str = "", cap: int = RESULT_CAP) -> Answer:
     """Run a query and return at most ``cap`` rows; one more tells of the rest."""
-    df = spark.sql(checked(sql))
+    df = reading_query(spark, sql)
     rows = [row.asDict() for row in df.limit(cap + 1).collect()]
     kept = rows[:cap]
     return Answer(question, sql, df.columns, kept, len(kept), len(rows) > cap)

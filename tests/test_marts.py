@@ -1,0 +1,161 @@
+"""The marts on small hand-made panels, expected values written out."""
+
+from __future__ import annotations
+
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from panelloom.fixed_values import VALUE_QUADRANTS
+from panelloom.operators.checks import duplicates
+from panelloom.plans import marts, questions
+
+SCHEMA = """fund_name string, abn string, product_name string, quarter_date date, return_1yr decimal(10,6),
+return_3yr decimal(10,6), return_5yr decimal(10,6), investment_fee_pct decimal(10,6), admin_fee_pct decimal(10,6),
+total_fee_pct decimal(10,6), net_assets_m decimal(18,2), member_accounts bigint, fund_type string"""
+
+Q = [date(2020, 3, 31), date(2020, 6, 30), date(2020, 9, 30), date(2020, 12, 31), date(2021, 3, 31), date(2021, 6, 30)]
+
+
+def dec(x):
+    return None if x is None else Decimal(str(x))
+
+
+def row(abn, quarter, r1=None, r5=None, fee=None, members=None, assets=None, product="p", kind="retail"):
+    return (f"Fund {abn}", abn, product, quarter, dec(r1), None, dec(r5), None, None, dec(fee), dec(assets), members, kind)
+
+
+@pytest.fixture
+def panel(spark):
+    return lambda *data: spark.createDataFrame(data, SCHEMA)
+
+
+def test_ties_share_a_rank_and_the_next_is_skipped(panel, rows):
+    df = panel(
+        row("a", Q[0], r5=0.08), row("b", Q[0], r5=0.08), row("c", Q[0], r5=0.05, kind="industry"), row("d", Q[1], r5=0.01)
+    )
+    found = marts.fund_performance(df)
+    assert rows(found, "abn", "rank_5yr_overall", "rank_5yr_in_type", "total_funds_that_quarter") == [
+        ("a", 1, 1, 3),
+        ("b", 1, 1, 3),
+        ("c", 3, 1, 3),
+        ("d", 1, 1, 1),
+    ]
+
+
+def test_null_fee_has_the_highest_percentile_and_a_lone_fund_zero(panel, rows):
+    df = panel(
+        row("a", Q[0], r5=0.08, fee=0.01), row("b", Q[0], r5=0.07), row("c", Q[0], r5=0.06, fee=0.005), row("d", Q[1], r5=0.1)
+    )
+    found = marts.fund_performance(df)
+    assert rows(found, "abn", "fee_percentile") == [("a", 0.5), ("b", 1.0), ("c", 0.0), ("d", 0.0)]
+
+
+def test_performance_needs_a_five_year_return_and_keeps_types(panel):
+    found = marts.fund_performance(panel(row("a", Q[0], r5=0.08), row("b", Q[0], r1=0.05)))
+    assert [r["abn"] for r in found.collect()] == ["a"]
+    types = dict(found.dtypes)
+    assert types["return_5yr"] == "decimal(10,6)" and types["rank_5yr_overall"] == "bigint"
+    assert types["fee_percentile"] == "double" and found.columns == marts.PERFORMANCE_COLUMNS
+
+
+def test_at_both_medians_is_best_value(panel, rows):
+    df = panel(
+        row("a", Q[1], r1=0.05, fee=0.010),
+        row("b", Q[1], r1=0.09, fee=0.020),
+        row("c", Q[1], r1=0.01, fee=0.005),
+        row("old", Q[0], r1=0.5, fee=0.001),
+    )
+    found = marts.fee_vs_return(df)
+    assert rows(found, "abn", "value_quadrant") == [
+        ("a", "best_value"),
+        ("b", "expensive_performer"),
+        ("c", "cheap_underperformer"),
+    ]
+    assert {(r["median_fee"], r["median_return"]) for r in found.collect()} == {(0.01, 0.05)}
+
+
+def test_even_number_of_funds_and_worst_value(panel, rows):
+    df = panel(
+        row("a", Q[0], r1=0.02, fee=0.01), row("b", Q[0], r1=0.04, fee=0.02), row("c", Q[0], r1=0.06, fee=0.03),
+        row("d", Q[0], r1=0.01, fee=0.04),
+    )
+    found = marts.fee_vs_return(df)
+    assert {(r["median_fee"], round(r["median_return"], 12)) for r in found.collect()} == {(0.025, 0.03)}
+    assert ("d", "worst_value") in rows(found, "abn", "value_quadrant")
+    assert {r["value_quadrant"] for r in found.collect()} <= set(VALUE_QUADRANTS)
+
+
+def test_newest_quarter_without_fees_gives_nothing(panel):
+    df = panel(row("a", Q[0], r1=0.02, fee=0.01), row("a", Q[1], r1=0.02))
+    assert marts.fee_vs_return(df).collect() == []
+
+
+def test_flow_changes_growth_and_rolling_year(panel, rows):
+    members = [100, 110, 99, 99, 0, 50]
+    found = marts.member_flow(panel(*[row("a", q, members=m, assets=m * 2) for q, m in zip(Q, members)]))
+    assert rows(found, "quarter_date", "member_net_change", "member_growth_pct", "rolling_annual_member_change") == [
+        (Q[1], 10, 10.0, 10),
+        (Q[2], -11, -10.0, -1),
+        (Q[3], 0, 0.0, -1),
+        (Q[4], -99, -100.0, -100),
+        (Q[5], 50, None, -60),
+    ]
+    assert found.where(F.col("quarter_date") == Q[1]).collect()[0]["asset_net_change_m"] == Decimal("20.00")
+
+
+def test_growth_rounds_the_exact_quotient(panel, rows):
+    found = marts.member_flow(panel(row("a", Q[0], members=20000), row("a", Q[1], members=20201)))
+    assert rows(found, "member_growth_pct") == [(1.01,)]
+
+
+def test_gap_takes_the_previous_quarter_present(panel, rows):
+    found = marts.member_flow(panel(row("a", Q[0], members=5), row("a", Q[3], members=9), row("a", Q[1])))
+    assert rows(found, "quarter_date", "member_net_change") == [(Q[3], 4)]
+
+
+def test_no_earlier_assets_keeps_the_row(panel, rows):
+    found = marts.member_flow(panel(row("a", Q[0], members=5), row("a", Q[1], members=9, assets=3)))
+    assert rows(found, "member_net_change", "asset_net_change_m") == [(4, None)]
+
+
+def test_two_products_one_row_at_fund_grain_two_at_row_grain(panel, rows):
+    df = panel(*[row("a", q, members=m, product=p) for q, m in zip(Q, [10, 12]) for p in ("x", "y")])
+    assert rows(marts.member_flow(df), "quarter_date", "member_net_change") == [(Q[1], 2)]
+    by_row = marts.member_flow_row_grain(df, chunks=3)
+    assert rows(by_row, "quarter_date", "product_name", "member_net_change") == [(Q[0], "y", 0), (Q[1], "x", 2), (Q[1], "y", 0)]
+    assert duplicates(marts.fund_grain(df), ["abn", "quarter_date"]).collect() == []
+
+
+def test_combined_job_keeps_columns_and_first_rows(panel, rows):
+    df = panel(row("a", Q[0], r5=0.1, members=1), row("a", Q[1], r5=0.2, members=4), row("a", Q[2], members=9))
+    found = marts.quarterly_aggregation(df, chunks=2)
+    added = ["rank_5yr_overall", "fee_percentile", "prev_members", "member_net_change"]
+    assert sorted(found.columns) == sorted([*df.columns, *added])
+    assert rows(found, "quarter_date", "prev_members", "member_net_change") == [(Q[0], None, None), (Q[1], 1, 3)]
+
+
+def test_questions(panel, rows):
+    df = panel(
+        row("a", Q[1], r5=0.09, fee=0.02, r1=0.1), row("b", Q[1], r5=0.08, fee=0.004, r1=0.1), row("b", Q[0], r5=0.5, fee=0.003),
+        row("c", Q[1], r5=0.01, fee=0.001, r1=0.2, kind="industry"),
+    )
+    performance = marts.fund_performance(df)
+    assert [r["abn"] for r in questions.best_under_fee(performance, 0.005).collect()] == ["b"]
+    series = questions.compare_fees(performance, ["Fund b"], Q[0])
+    assert rows(series, "quarter_date", "total_fee_pct") == [(Q[0], dec("0.003000")), (Q[1], dec("0.004000"))]
+    assert rows(questions.top_by_type(df, 1), "abn", "place") == [("a", 1), ("c", 1)]
+    assert rows(questions.top_by_type(df, 5, ["industry"]), "abn") == [("c",)]
+    assert rows(questions.fee_scatter(df, "total_fee_pct"), "abn", "fee")[0] == ("a", dec("0.020000"))
+
+
+def test_losers_and_last_quarters(panel, rows):
+    df = panel(
+        *[row("a", q, members=m) for q, m in zip(Q, [10, 9, 8, 7, 6, 5])],
+        *[row("b", q, members=m) for q, m in zip(Q, [10, 20, 30, 40, 50, 20])],
+    )
+    flow = marts.member_flow(df)
+    assert rows(questions.top_losers(flow, 1), "abn", "member_net_change") == [("b", -30)]
+    assert {r["quarter_date"] for r in questions.last_periods(flow, 2).collect()} == {Q[4], Q[5]}
