@@ -94,6 +94,13 @@ REPORT_SQL = f"with {MARTS_SQL} " + " union all ".join(
             "panel",
         ),
         result_sql("staging", "*", "row_count", "case when count(*) < 1 then 1 else 0 end", "panel"),
+        result_sql(
+            "staging",
+            "abn, quarter_date, product_name",
+            "unique",
+            "count(*)",
+            "(select abn from panel group by abn, quarter_date, product_name having count(*) > 1)",
+        ),
         result_sql(
             "staging",
             "abn, quarter_date",

@@ -97,19 +97,16 @@ def with_lookback(
 def _last_rows_before(rows: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
     """For each piece of a group cut in several: the ``n`` rows before it.
 
-    Only groups at a chunk's edge can be cut, so the keys joined back are at
-    most two per chunk, and each piece hands on at most ``n`` rows.
+    A group in several chunks crosses a chunk's edge, so there are fewer such
+    groups than chunks and their keys are joined back by broadcast. Each piece
+    hands on at most ``n`` rows.
     """
     columns = [c for c in rows.columns if c != CHUNK]
-    group = F.struct(*by)
     cut_groups = (
-        rows.groupBy(CHUNK)
-        .agg(F.min(group).alias("first"), F.max(group).alias("last"))
-        .select(CHUNK, F.explode(F.array_distinct(F.array("first", "last"))).alias("_group"))
-        .groupBy("_group")
-        .count()
-        .where("count > 1")
-        .select(*[F.col("_group")[c].alias(f"_g_{c}") for c in by])
+        rows.groupBy(*by)
+        .agg(F.min(CHUNK).alias("first"), F.max(CHUNK).alias("last"))
+        .where("first < last")
+        .select(*[F.col(c).alias(f"_g_{c}") for c in by])
     )
     same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]
     backwards = Window.partitionBy(*by, CHUNK).orderBy(*[F.desc(c) for c in order])

@@ -90,16 +90,21 @@ def member_flow(panel: DataFrame) -> DataFrame:
 def member_flow_row_grain(panel: DataFrame, chunks: int | None = None) -> DataFrame:
     """The flow over product rows as they stand, products in name order."""
     order = ["quarter_date", "product_name"]
-    flow = row_flow(panel, "abn", order, "member_accounts", "net_assets_m", chunks)
+    rows = panel.select("fund_name", "abn", "fund_type", *order, "member_accounts", "net_assets_m")
+    flow = row_flow(rows, "abn", order, "member_accounts", "net_assets_m", chunks)
     return flow.select(*FLOW_COLUMNS, "product_name")
 
 
 def quarterly_aggregation(panel: DataFrame, chunks: int | None = None) -> DataFrame:
-    """All columns of the panel, ranked per quarter, with the change in members."""
-    ranked = with_rankings(with_five_year_return(panel), [RANK_OVERALL, FEE_PERCENTILE], chunks)
+    """All columns of the panel, ranked per quarter, with the change in members.
+
+    The earlier row is looked up first: cutting the rows in order samples its
+    input, which is then a scan and not the rankings' joins.
+    """
     order = ["quarter_date", "product_name"]
-    lagged = previous_values(ranked, "abn", order, {"member_accounts": "prev_members"}, chunks)
-    return lagged.withColumn("member_net_change", F.col("member_accounts") - F.col("prev_members"))
+    rows = previous_values(with_five_year_return(panel), "abn", order, {"member_accounts": "prev_members"}, chunks)
+    ranked = with_rankings(rows, [RANK_OVERALL, FEE_PERCENTILE], chunks)
+    return ranked.withColumn("member_net_change", F.col("member_accounts") - F.col("prev_members"))
 
 
 MARTS = {"fund_performance": fund_performance, "fee_vs_return": fee_vs_return, "member_flow": member_flow}

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from panelloom import fixed_values as fixed
-from panelloom.operators.checks import as_result, gate, grain_conflicts, report, row_checks
+from panelloom.operators.checks import as_result, duplicates, gate, grain_conflicts, report, row_checks
 from panelloom.operators.frames import with_audit
 from panelloom.plans.marts import MARTS
 from panelloom.plans.staging import staging
@@ -47,8 +47,14 @@ def staging_checks(staged: DataFrame, fund_types: list[str]) -> DataFrame:
         accepted={"fund_type": fund_types},
         row_count=(1, None),
     )
-    grain = grain_conflicts(staged, ["abn", "quarter_date"], ["member_accounts", "net_assets_m"])
-    return report(rows, as_result(grain, "staging", "abn, quarter_date", "one_total"))
+    grain = ["abn", "quarter_date"]
+    return report(
+        rows,
+        as_result(duplicates(staged, [*grain, "product_name"]), "staging", "abn, quarter_date, product_name", "unique"),
+        as_result(
+            grain_conflicts(staged, grain, ["member_accounts", "net_assets_m"]), "staging", "abn, quarter_date", "one_total"
+        ),
+    )
 
 
 def mart_checks(performance: DataFrame, value: DataFrame, flow: DataFrame) -> DataFrame:
@@ -71,7 +77,8 @@ def weekly_run(
 ) -> Run:
     """One run under one date. A failing check raises after the marts are built.
 
-    The staged panel is written once and read by all marts and checks.
+    The staged panel is written once and read by all marts and checks. What
+    the run leaves, tables and the staging view, needs no scratch table.
     """
     run = Run()
     run.archived = archive(landed, root, run_date)
@@ -80,8 +87,8 @@ def weekly_run(
     landed_keys = [path.rsplit("=", 1)[1] for path in run.archived]
     run.rows = load_all(spark, root, run_date, loaded_at, raw_schema, landed_keys)
     raw = spark.table(f"{raw_schema}.{DATASETS['product_quarterly'].table}")
-    staged = write_through(staging(raw), "staging")
-    staged.createOrReplaceTempView("staging")
+    staging(raw).createOrReplaceTempView("staging")
+    staged = write_through(spark.table("staging"), "staging")
     for name, build in MARTS.items():
         run.rows[f"{mart_schema}.{name}"] = replace_table(build(staged), f"{mart_schema}.{name}")
     built = [spark.table(f"{mart_schema}.{name}") for name in MARTS]
