@@ -22,28 +22,28 @@ PERFORMANCE_SQL = f"""{PANEL_SQL},
 fund_performance as (
   select fund_name, abn, fund_type, quarter_date, return_1yr, return_3yr, return_5yr, total_fee_pct,
          net_assets_m, member_accounts,
-         rank() over (partition by quarter_date, fund_type order by return_5yr desc) as rank_5yr_in_type,
-         rank() over (partition by quarter_date order by return_5yr desc) as rank_5yr_overall,
-         percent_rank() over (partition by quarter_date order by total_fee_pct nulls last) as fee_percentile,
-         count(*) over (partition by quarter_date) as total_funds_that_quarter
+         rank() over best_of_type as rank_5yr_in_type, rank() over best as rank_5yr_overall,
+         percent_rank() over cheapest as fee_percentile, count(*) over quarter as total_funds_that_quarter
   from panel where return_5yr is not null
+  window quarter as (partition by quarter_date),
+         best as (partition by quarter_date order by return_5yr desc),
+         best_of_type as (partition by quarter_date, fund_type order by return_5yr desc),
+         cheapest as (partition by quarter_date order by total_fee_pct nulls last)
 )"""
 
 VALUE_SQL = f"""{PANEL_SQL},
-latest as (
-  select * from panel
-  where quarter_date = (select max(quarter_date) from panel)
-    and total_fee_pct is not null and return_1yr is not null
+newest as (
+  select * from panel where quarter_date = (select max(quarter_date) from panel)
 ),
-medians as (
-  select quantile_cont(total_fee_pct, 0.5) as median_fee, quantile_cont(return_1yr, 0.5) as median_return from latest
+compared as (
+  select * from newest where total_fee_pct + return_1yr is not null
 ),
+middle as (select median(total_fee_pct) as median_fee, median(return_1yr) as median_return from compared),
 points as (
-  select *, case when total_fee_pct <= median_fee and return_1yr >= median_return then 'best_value'
-                 when total_fee_pct > median_fee and return_1yr >= median_return then 'expensive_performer'
-                 when total_fee_pct <= median_fee and return_1yr < median_return then 'cheap_underperformer'
-                 else 'worst_value' end as value_quadrant
-  from latest cross join medians
+  select *, case (return_1yr >= median_return, total_fee_pct <= median_fee)
+              when (true, true) then 'best_value' when (true, false) then 'expensive_performer'
+              when (false, true) then 'cheap_underperformer' when (false, false) then 'worst_value' end as value_quadrant
+  from compared, middle
 ),
 fee_vs_return as (
   select fund_name, abn, fund_type, quarter_date, total_fee_pct, return_1yr, return_5yr, net_assets_m,

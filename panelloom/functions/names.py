@@ -7,8 +7,6 @@ accented letters, non-breaking spaces and control separators.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +38,8 @@ def single_spaced_name(name: str) -> str:
 
 
 def snake_case_name(name: str) -> str:
-    return "_".join(re.sub(r"[^\w\s]", "", name).split()).lower()
+    kept = (c for c in name if c == "_" or c.isalnum() or c.isspace())
+    return "_".join("".join(kept).split()).lower()
 
 
 def rename_all(df: DataFrame, rule) -> DataFrame:

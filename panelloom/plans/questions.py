@@ -51,5 +51,6 @@ def fee_scatter(panel: DataFrame, fee: str = "admin_fee_pct", chunks: int | None
 def last_periods(flow: DataFrame, n: int = 8) -> DataFrame:
     """Net member change per fund over the newest ``n`` quarters that occur."""
     newest = flow.select("quarter_date").distinct().orderBy(F.desc("quarter_date")).limit(n)
-    rows = flow.join(F.broadcast(newest), "quarter_date", "left_semi")
+    since = newest.agg(F.min("quarter_date")).scalar()
+    rows = flow.where(F.col("quarter_date") >= since)
     return rows.select("fund_name", "abn", "quarter_date", "member_net_change")

@@ -32,16 +32,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def write_through(df: DataFrame, label: str) -> DataFrame:
+def write_through(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet and go on from the written table.
 
     Used where a result feeds several branches: it is computed once, later
     reads prune its columns, and a lost executor re-reads files instead of
-    recomputing the lineage.
+    recomputing the lineage. With ``partition`` the table is laid out by that
+    column, a large partition split over several files, so that a filter on
+    it leaves the others unread.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if partition:
+        df.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+    else:
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def release_scratch(spark: SparkSession) -> None:

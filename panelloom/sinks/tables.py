@@ -40,10 +40,15 @@ def create_schema(spark: SparkSession, schema: str, location: str | None = None)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{place}")
 
 
-def replace_table(df: DataFrame, table: str) -> int:
+def replace_table(df: DataFrame, table: str, partition: str | None = None) -> int:
     """Replace a managed table in full; returns the rows written, counted on the way."""
     rows = Observation("replaced")
-    df.observe(rows, F.count("*").alias("n")).write.mode("overwrite").saveAsTable(table)
+    counted = df.observe(rows, F.count("*").alias("n"))
+    if partition:
+        writer = counted.hint("rebalance", partition).write.partitionBy(partition)
+    else:
+        writer = counted.write
+    writer.mode("overwrite").saveAsTable(table)
     return rows.get["n"]
 
 

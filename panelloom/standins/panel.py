@@ -92,7 +92,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("member_accounts", F.sum("qty").over(fund))
         .join(funds(spark, sf_dir), "abn")
     )
-    return write_through(rows.select(*PANEL_COLUMNS), "panel")
+    return write_through(rows.select(*PANEL_COLUMNS), "panel", partition="quarter_date")
 
 
 PANEL_SQL = """
