@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from panelloom.functions.names import strip_space
+from panelloom.functions.names import SPACE_CLASS, strip_space
 
 
 def text_key(key: Column) -> Column:
@@ -13,21 +13,30 @@ def text_key(key: Column) -> Column:
 
     ``51234567890``, ``51234567890.0`` and ``5.123456789E10`` are one key.
     Anything that is not a whole number is kept as it is. Nulls stay null.
+
+    The optimizer repeats a join key in the filters it infers, so the common
+    spellings come first and cost a character check or one pattern.
     """
-    text = strip_space(key.cast("string"))
-    is_digits = F.translate(text, "0123456789", "") == ""
-    number = F.when(text.rlike(r"^\d+(\.\d+)?([eE]\+?\d+)?$"), text).try_cast("decimal(38,9)")
-    whole = F.when(number == F.floor(number), F.floor(number).cast("string"))
-    return F.when(is_digits, text).otherwise(F.coalesce(whole, text))
+    text = key.cast("string")
+    bare = strip_space(text)
+    whole = rf"^[{SPACE_CLASS}]*(\d+)(?:\.0*)?[{SPACE_CLASS}]*$"
+    scientific = F.when(bare.rlike(r"^\d+(\.\d+)?[eE]\+?\d+$"), bare).try_cast("decimal(38,9)")
+    number = F.when(scientific == F.floor(scientific), F.floor(scientific).cast("string"))
+    return (
+        F.when(F.translate(text, "0123456789", "") == "", text)
+        .when(text.rlike(whole), F.regexp_extract(text, whole, 1))
+        .otherwise(F.coalesce(number, bare))
+    )
 
 
 def date_key(key: Column, strict: bool = True) -> Column:
     """A period as a date, whether it came as a date or as a date-time text.
 
     Text that is no date raises in strict mode and becomes null otherwise.
+    Stripping by hand is left to texts the plain cast cannot read.
     """
-    text = strip_space(key.cast("string"))
-    return text.cast("date") if strict else text.try_cast("date")
+    bare = strip_space(key.cast("string"))
+    return F.coalesce(key.try_cast("date"), bare.cast("date") if strict else bare.try_cast("date"))
 
 
 def trimmed_text(value: Column) -> Column:

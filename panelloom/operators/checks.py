@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelloom.operators.frames import drop_null_key
+
 RESULT_COLUMNS = ["table_name", "column_name", "check_name", "failures"]
 
 
@@ -54,7 +56,7 @@ def unaccepted(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; a key with a null part is not compared."""
-    return df.na.drop(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    return drop_null_key(df, *keys).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

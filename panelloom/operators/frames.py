@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,8 @@ def project_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def drop_null_key(df: DataFrame, *keys: str) -> DataFrame:
-    return df.na.drop(subset=list(keys))
+    """Keep rows that have every key, as filters the optimizer can push and merge."""
+    return reduce(lambda kept, key: kept.where(F.col(key).isNotNull()), keys, df)
 
 
 def with_audit(df: DataFrame, loaded_at, run_date) -> DataFrame:

@@ -23,10 +23,12 @@ def typed_keys(df: DataFrame, strict: bool = True) -> DataFrame:
     """Period as date, identifier as trimmed text; the same keys on every sheet.
 
     Rows without an identifier go. Their periods may hold any text, so those
-    are not cast.
+    are not cast. The empty default is never reached; it tells the optimizer
+    that the key needs no null check, which would repeat the whole expression.
     """
-    keys = {"quarter_year": date_key(keyed("quarter_year"), strict), "abn": text_key(F.col("abn"))}
-    return drop_null_key(df, "abn").withColumns(keys)
+    period = date_key(keyed("quarter_year"), strict)
+    identifier = F.coalesce(text_key(F.col("abn")), F.lit(""))
+    return drop_null_key(df, "abn").withColumns({"quarter_year": period, "abn": identifier})
 
 
 def returns_and_fees(cells: DataFrame, strict: bool = True) -> DataFrame:
@@ -47,7 +49,11 @@ def fund_totals(cells: DataFrame, sheet: str, header: int, columns: dict[str, st
     table = rename_present(sheet_table(rows, names, list(columns)), columns)
     amount = next(c for c in columns.values() if c not in KEYS)
     number = keyed(amount).cast(AMOUNT_TYPE) if strict else F.col(amount).try_cast(AMOUNT_TYPE)
-    return sum_per_key(typed_keys(table.withColumn(amount, number), strict), KEYS, amount)
+    typed = typed_keys(drop_null_key(table.withColumn(amount, number), *KEYS), strict)
+    if strict:
+        # As for the identifier: a period that is there is a date here, or raised.
+        typed = typed.withColumn("quarter_year", F.coalesce("quarter_year", F.lit("0001-01-01").cast("date")))
+    return sum_per_key(typed, KEYS, amount)
 
 
 def assets(cells: DataFrame, strict: bool = True) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from panelloom.fixed_values import HEADER_MIN_FILLED, HEADER_SEARCH_ROWS, SKIP_SHEETS
 from panelloom.functions.names import single_spaced, snake_case, strip_space
+from panelloom.session import write_through
 
 SHEET = ["file", "sheet"]
 MAX_COLUMNS = 16_384  # what a sheet can hold
@@ -83,8 +84,12 @@ def header_names(cells: DataFrame, header: int | DataFrame) -> DataFrame:
 
 
 def clean_names(names: DataFrame, rule=single_spaced) -> DataFrame:
-    """Apply a rule for names to every name of every sheet."""
-    return names.withColumn("names", F.transform("names", rule))
+    """Apply a rule for names to every name of every sheet.
+
+    The result, one row per sheet, is written once: it is read for the schema
+    and again for the positions of the columns.
+    """
+    return write_through(names.withColumn("names", F.transform("names", rule)), "names")
 
 
 def is_data(units_row: bool = False) -> Column:
