@@ -16,7 +16,7 @@ from panelloom.sources import sheets
 from panelloom.standins.documents import CELLS_SQL, document_cells, language_sheets
 from panelloom.standins.panel import PANEL_SQL, panel
 from panelloom.standins.tables import table
-from panelloom.standins.workbooks import POINTS_SQL, customer_workbook, landed_products
+from panelloom.standins.workbooks import POINTS_SQL, landed_customers, landed_products
 
 # The languages whose documents stand for sheets without data.
 NO_DATA_LANGUAGES = ["en", "de"]
@@ -152,7 +152,7 @@ def returns_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
       lower(c_mktsegment) as "Market segment.1" from customer""",
 )
 def generic_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets.first_sheet_table(customer_workbook(spark, sf_dir))
+    return sheets.first_sheet_table(landed_customers(spark, sf_dir))
 
 
 @query(
@@ -162,7 +162,7 @@ def generic_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def without_unnamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names in snake case, then columns without a name of their own go."""
-    return drop_unnamed(rename_all(sheets.first_sheet_table(customer_workbook(spark, sf_dir)), snake_case_name))
+    return drop_unnamed(rename_all(sheets.first_sheet_table(landed_customers(spark, sf_dir)), snake_case_name))
 
 
 @query(
@@ -172,7 +172,7 @@ def without_unnamed(spark: SparkSession, sf_dir: str) -> DataFrame:
       lower(c_mktsegment) as market_segment1 from customer""",
 )
 def detected_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets.detected_table(customer_workbook(spark, sf_dir))
+    return sheets.detected_table(landed_customers(spark, sf_dir))
 
 
 @query(

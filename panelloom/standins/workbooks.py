@@ -153,6 +153,11 @@ def customer_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_workbook(table(spark, sf_dir, "customer"), "customers", "c_custkey", header, cells)
 
 
+def landed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer workbook as a written landing."""
+    return write_through(customer_workbook(spark, sf_dir), "landed")
+
+
 def part_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = ["Part key", "Part name", " Brand ", "Size"]
     cells = [F.col(c).cast("string") for c in ("p_partkey", "p_name", "p_brand", "p_size")]
