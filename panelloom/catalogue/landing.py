@@ -167,7 +167,7 @@ def without_unnamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "detected_table",
-    """select 'customers' as file, cast(c_custkey as varchar) as customer_key,
+    """select 'customers_' || (c_custkey // 1000000) as file, cast(c_custkey as varchar) as customer_key,
       cast(c_acctbal as varchar) as account_balance_aud, c_mktsegment as market_segment,
       lower(c_mktsegment) as market_segment1 from customer""",
 )

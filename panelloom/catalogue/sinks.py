@@ -33,8 +33,9 @@ def own_schema(spark: SparkSession) -> str:
 
 @query(
     "snapshot_read",
-    """select 'customers' as file, cast(c_custkey + 1 as integer) as row_idx, c_mktsegment as segment from customer
-    union all select 'customers', 0, 'Market segment'""",
+    """with filed as (select 'customers_' || (c_custkey // 1000000) as file, * from customer)
+    select file, cast(c_custkey % 1000000 + 1 as integer) as row_idx, c_mktsegment as segment from filed
+    union all select distinct file, 0, 'Market segment' from filed""",
 )
 def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One data set of one date out of an archive that holds two of each."""

@@ -21,6 +21,11 @@ SHEET = ["file", "sheet"]
 MAX_COLUMNS = 16_384  # what a sheet can hold
 
 
+def listed_sheets(cells: DataFrame) -> DataFrame:
+    """The sheets of every file, once each; the rows combine before the shuffle."""
+    return cells.select("file", "sheet", "sheet_pos").distinct()
+
+
 def chosen_sheets(cells: DataFrame, skip: Sequence[str] = SKIP_SHEETS) -> DataFrame:
     """Per file the first sheet, in workbook order, that is not on the skip list.
 
@@ -28,7 +33,7 @@ def chosen_sheets(cells: DataFrame, skip: Sequence[str] = SKIP_SHEETS) -> DataFr
     """
     is_data = ~F.lower(strip_space(F.col("sheet"))).isin(list(skip))
     first = F.min(F.when(is_data, F.struct("sheet_pos", "sheet"))).alias("_first")
-    return cells.groupBy("file").agg(first).select("file", F.col("_first.sheet").alias("sheet"))
+    return listed_sheets(cells).groupBy("file").agg(first).select("file", F.col("_first.sheet").alias("sheet"))
 
 
 def require_data_sheets(chosen: DataFrame) -> None:
@@ -167,7 +172,7 @@ def distinct_names(names: DataFrame) -> list[str]:
 
 def first_sheet_table(cells: DataFrame) -> DataFrame:
     """Each file's first sheet as it is, the header in its first row."""
-    first = cells.groupBy("file").agg(F.min_by("sheet", "sheet_pos").alias("sheet"))
+    first = listed_sheets(cells).groupBy("file").agg(F.min_by("sheet", "sheet_pos").alias("sheet"))
     rows = cells.join(first, SHEET, "left_semi")
     names = clean_names(header_names(rows, 0))
     return sheet_table(rows, names, distinct_names(names))

@@ -15,7 +15,7 @@ def document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("source").alias("file"),
             F.col("doc_id").cast("string").alias("sheet"),
-            F.col("doc_id").cast("int").alias("sheet_pos"),
+            F.col("doc_id").alias("sheet_pos"),
             F.posexplode(F.split("text", "\n")).alias("row_idx", "line"),
         )
         .withColumn("cells", F.transform(F.split("line", " "), lambda word: F.nullif(word, F.lit(""))))
@@ -28,7 +28,7 @@ def language_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         F.col("source").alias("file"),
         F.concat(F.lit(" "), F.upper("lang"), F.lit(" ")).alias("sheet"),
-        F.col("doc_id").cast("int").alias("sheet_pos"),
+        F.col("doc_id").alias("sheet_pos"),
     )
 
 

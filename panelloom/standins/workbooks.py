@@ -20,6 +20,8 @@ from panelloom.standins.tables import table
 
 CELL_COLUMNS = ["file", "sheet", "sheet_pos", "row_idx", "cells"]
 
+SHEET_ROWS = 1_000_000
+
 ASSETS_POS, RETURNS_POS, MEMBERS_POS = 1, 2, 3
 ASSETS_LAYOUT = ["Fund ABN", "Stage", "Period*", "Total  assets"]
 MEMBERS_LAYOUT = ["Period *", "Member\naccounts", "Fund ABN"]
@@ -135,22 +137,27 @@ def product_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).select(*CELL_COLUMNS)
 
 
-def plain_workbook(df: DataFrame, file: str, key: str, header: list[str | None], cells: list[Column]) -> DataFrame:
-    """One workbook of one sheet with the header on top; ``key`` counts from 0."""
-    first = df.sparkSession.createDataFrame(
-        [(file, "Data", 0, 0, header)], "file string, sheet string, sheet_pos int, row_idx int, cells array<string>"
+def plain_workbooks(df: DataFrame, file: str, key: str, header: list[str | None], cells: list[Column]) -> DataFrame:
+    """Workbooks of one sheet, the header on top; ``key`` counts from 0.
+
+    A sheet takes a million rows at most, so each million is a workbook.
+    """
+    book = F.concat(F.lit(file), F.lit("_"), F.floor(F.col(key) / SHEET_ROWS).cast("string"))
+    filed = df.withColumn("file", book)
+    top = F.array(*[F.lit(c).cast("string") for c in header])
+    headers = filed.select("file").distinct().select(
+        "file", F.lit("Data").alias("sheet"), F.lit(0).alias("sheet_pos"), F.lit(0).alias("row_idx"), top.alias("cells")
     )
-    rows = _rows(df.withColumn("file", F.lit(file)), "Data", 0, F.col(key) + 1, cells)
-    return first.unionByName(rows)
+    return headers.unionByName(_rows(filed, "Data", 0, F.col(key) % SHEET_ROWS + 1, cells))
 
 
 def customer_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All customers on one sheet, the hot key of the sheet jobs."""
+    """All customers as plain sheets."""
     header = ["Customer\n key", None, "Account  balance (AUD)", "Market segment", "Market segment"]
     text = [F.col(c).cast("string") for c in ("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")]
     blank = F.lit(None).cast("string")
     cells = [text[0], blank, text[2], text[3], F.lower(text[3])]
-    return plain_workbook(table(spark, sf_dir, "customer"), "customers", "c_custkey", header, cells)
+    return plain_workbooks(table(spark, sf_dir, "customer"), "customers", "c_custkey", header, cells)
 
 
 def landed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +168,7 @@ def landed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def part_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = ["Part key", "Part name", " Brand ", "Size"]
     cells = [F.col(c).cast("string") for c in ("p_partkey", "p_name", "p_brand", "p_size")]
-    return plain_workbook(table(spark, sf_dir, "part"), "parts", "p_partkey", header, cells)
+    return plain_workbooks(table(spark, sf_dir, "part"), "parts", "p_partkey", header, cells)
 
 
 def landed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
