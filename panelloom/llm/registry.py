@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 MODULES = [
     "near_dedup",
+    "suffix_dedup",
 ]
 
 
