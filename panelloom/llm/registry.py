@@ -16,6 +16,7 @@ ORACLES: dict[str, str] = {}
 MODULES = [
     "near_dedup",
     "suffix_dedup",
+    "packing",
 ]
 
 
