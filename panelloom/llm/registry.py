@@ -17,6 +17,7 @@ MODULES = [
     "near_dedup",
     "suffix_dedup",
     "packing",
+    "decontaminate",
 ]
 
 
