@@ -23,25 +23,17 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (u, v); equal roots mean connected.
 
     The root is some node of the component. Links to itself, repeated links
-    and links with a null end add nothing.
+    and links with a null end add nothing. ``links`` is read more than once,
+    so it should be a written table.
     """
     links = links.where("u != v").select("u", "v")
-    labels = written(
-        links.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("root", F.col("node")),
-        "labels",
-    )
-    links = written(links, "links")
+    labels = links.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("root", F.col("node"))
     while not is_empty(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        step = both.groupBy("u").agg(F.min(_ordered("v")).alias("low")).select(
-            "u", F.least(F.col("low"), _ordered("u"))["id"].alias("to")
-        )
-        step = written(step, "step")
-        labels = written(
-            labels.join(step.withColumnRenamed("u", "root"), "root", "left").select(
-                "node", F.coalesce("to", "root").alias("root")
-            ),
-            "labels",
+        step = both.groupBy("u").agg(F.min(_ordered("v")).alias("low"))
+        step = written(step.select("u", F.least(F.col("low"), _ordered("u"))["id"].alias("to")), "step")
+        labels = labels.join(step.withColumnRenamed("u", "root"), "root", "left").select(
+            "node", F.coalesce("to", "root").alias("root")
         )
         links = written(
             links.join(step.withColumnRenamed("to", "a"), "u")
@@ -52,4 +44,4 @@ def components(links: DataFrame) -> DataFrame:
             .distinct(),
             "links",
         )
-    return labels
+    return written(labels, "labels")

@@ -2,18 +2,21 @@
 
 1. Each text becomes its set of word shingles; texts of equal sets are one
    node, so copies cost one partial aggregate and no pairs.
-2. A node has ``SAMPLES`` MinHash values. Bands of them name buckets; the
-   parity bitmap of all of them is its Odd sketch, whose XOR population count
-   with another sketch estimates how many samples differ.
-3. Round one compares sketches inside random blocks of every bucket and takes
-   each node's best partners; full sets confirm them; links are contracted to
-   components. Later rounds compare only nodes of one bucket that are not yet
-   connected, every such pair whose sketches do not rule it out, until none is
-   left untested. Pairs inside a component need no test: they change nothing.
+2. Bands of a node's MinHash samples name its buckets. Buckets of the same
+   nodes are kept once.
+3. Nodes that share a bucket get an Odd sketch: ``SAMPLES`` further MinHash
+   samples folded into a parity bitmap. The population count of two bitmaps'
+   XOR tells precisely how many samples differ.
+4. Three rounds of comparing sketches within buckets, confirming on full sets
+   and contracting links to components. Round one takes each node's best
+   partners in random blocks; round two its best partner in each component it
+   is not part of; round three every pair of a bucket that is still in
+   different components and not ruled out by its sketches. Pairs inside a
+   component need no test: they would change nothing.
 
 Missed links: a pair at the threshold shares no band with probability
-(1 - 0.8^5)^40, about 1e-7, and is ruled out by its sketches with a
-probability of about 1e-5; nothing is capped, sampled or dropped.
+(1 - 0.8^5)^40, about 1e-7, and is ruled out by its sketches five standard
+deviations off; nothing is capped, sampled or dropped.
 """
 
 from __future__ import annotations
@@ -29,12 +32,14 @@ from pyspark.sql import Window
 from panelloom.llm import words
 from panelloom.llm.graph import components
 from panelloom.llm.registry import query, table
-from panelloom.llm.shared import binary_array, flat_bytes, is_empty, spans_of_rows, written
-
-BANDS, ROWS, SAMPLES, BITS = 40, 5, 256, 1024
-BLOCK = 512  # nodes of a bucket compared with each other in round one
-PARTNERS = 6  # tested for a node in round one; later rounds test four times as many each
-SLACK = 0.12  # estimates this far under the threshold are still tested; about 4.8 standard deviations
+from panelloom.llm.shared import binary_array, flat_bytes, spans_of_rows, written
+
+BANDS, ROWS = 40, 5
+SAMPLES, BITS = 1024, 2048  # of an Odd sketch
+SLACK = 0.07  # estimates this far under the threshold are still confirmed; five standard deviations
+BLOCK = 512  # nodes of a bucket that meet in one task
+PARTNERS = 4  # confirmed for a node in round one
+SMALL = 16  # groups up to which pairs are formed for many groups at once
 PART = 1 << 20
 
 _RNG = np.random.default_rng(41)
@@ -44,11 +49,11 @@ _SALT = _RNG.integers(1, 1 << 63, SAMPLES, dtype=np.uint64)
 _BAND = _RNG.integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def minhash(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The MinHash samples of non-empty sets, one row each."""
+def minhash(hashes: np.ndarray, bounds: np.ndarray, samples: int) -> np.ndarray:
+    """The first ``samples`` MinHash values of non-empty sets, one row each."""
     low = (hashes >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(bounds) - 1, SAMPLES), np.uint32)
-    for i in range(SAMPLES):
+    out = np.empty((len(bounds) - 1, samples), np.uint32)
+    for i in range(samples):
         out[:, i] = np.minimum.reduceat(low * _TIMES[i] + _PLUS[i], bounds[:-1])
     return out
 
@@ -69,7 +74,7 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
-    picked = samples[:, : BANDS * ROWS].astype(np.uint64).reshape(-1, BANDS, ROWS)
+    picked = samples.astype(np.uint64).reshape(-1, BANDS, ROWS)
     return words.mix((words.mix(picked + np.uint64(1)) * _BAND).sum(axis=2, dtype=np.uint64)).view(np.int64)
 
 
@@ -85,23 +90,20 @@ def _fingerprints(width: int):
                 marks: list[bytes | None] = [None] * (b - a)
                 for i in some:
                     marks[i] = hashlib.blake2b(sets[bounds[i] : bounds[i + 1]].tobytes(), digest_size=16).digest()
-                sketches = np.zeros((b - a, BITS // 8), np.uint8)
                 bands = np.zeros((b - a, BANDS), np.int64)
                 if len(some):
-                    samples = minhash(sets, np.append(bounds[some], bounds[-1]))
-                    sketches[some], bands[some] = odd_sketch(samples), band_keys(samples)
+                    bands[some] = band_keys(minhash(sets, np.append(bounds[some], bounds[-1]), BANDS * ROWS))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id")[a:b],
                         batch.column("text_key")[a:b],
                         pa.array(np.diff(bounds)),
                         pa.array(marks, pa.binary()),
-                        binary_array(sketches),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(0, (b - a + 1) * BANDS, BANDS), pa.int32()), pa.array(bands.ravel())
                         ),
                     ],
-                    names=["doc_id", "text_key", "n_shingles", "node", "sketch", "bands"],
+                    names=["doc_id", "text_key", "n_shingles", "digest", "bands"],
                 )
 
     return run
@@ -116,7 +118,9 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
             column = batch.column(name).combine_chunks()
             if pa.types.is_binary(column.type):
                 data, _ = flat_bytes(column)
-                out[name] = data.reshape(len(column), -1) if len(column) else data
+                out[name] = data.reshape(len(column), -1)
+            elif pa.types.is_list(column.type):
+                out[name] = column.to_pylist()
             else:
                 out[name] = column.to_numpy(zero_copy_only=False)
         return out
@@ -139,47 +143,90 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield columns(rest)
 
 
-def _partners(threshold: int, top: int):
-    """Within each group (key, block): each node's best ``top`` partners that sketches do not rule out."""
-    floor = threshold / 100 - SLACK
+def _sketches(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, starts = flat_bytes(batch.column("text"))
+            for a, b in spans_of_rows(starts, PART):
+                sets, bounds = words.shingle_sets(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a], width)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("node")[a:b],
+                        pa.array(np.diff(bounds)),
+                        binary_array(odd_sketch(minhash(sets, bounds, SAMPLES))),
+                        batch.column("text")[a:b],
+                    ],
+                    names=["node", "n_shingles", "sketch", "text"],
+                )
+
+    return run
+
 
-    def pairs_of(part: dict[str, object]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        key, block, n, comp, asks = part["key"], part["block"], part["n_shingles"], part["comp"], part["asks"]
-        sketch = np.ascontiguousarray(part["sketch"]).view(np.uint64)
-        here = np.arange(len(key))
-        step = 1
-        while len(here):
-            here = here[here + step < len(key)]
-            there = here + step
-            same = (key[here] == key[there]) & (block[here] == block[there])
-            here, there = here[same], there[same]
-            use = (asks[here] | asks[there]) & (comp[here] != comp[there])
-            small, large = np.minimum(n[here], n[there]), np.maximum(n[here], n[there])
-            use &= 100 * small >= threshold * large
-            i, j = here[use], there[use]
-            if len(i):
-                about = estimate(sketch[i], sketch[j])
-                fine = about >= floor
-                yield i[fine], j[fine], about[fine]
-            step += 1
+def _pairs(part: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of rows of one group, the one that asks first."""
+    key, block, asks, out, node, comp = (part[k] for k in ("key", "block", "asks", "out", "node", "comp"))
+    cuts = np.flatnonzero(np.r_[True, (np.diff(key) != 0) | (np.diff(block) != 0)])
+    size = np.diff(np.append(cuts, len(key)))
+
+    def useful(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        # of two nodes that both ask, the smaller does
+        return asks[i] & ~asks[j] & (comp[i] != comp[j]) & ~(out[j] & (node[j] < node[i]))
+
+    few = np.repeat(size <= SMALL, size)
+    here = np.flatnonzero(few)
+    group = np.repeat(np.arange(len(cuts)), size)
+    for step in range(1, SMALL):
+        here = here[here + step < len(key)]
+        here = here[group[here] == group[here + step]]
+        if not len(here):
+            break
+        for i, j in ((here, here + step), (here + step, here)):
+            use = useful(i, j)
+            yield i[use], j[use]
+    for g in np.flatnonzero(size > SMALL):
+        rows = np.arange(cuts[g], cuts[g] + size[g])
+        asking, asked = rows[asks[rows]], rows[~asks[rows]]
+        for k in range(0, len(asking), 64):
+            i = np.repeat(asking[k : k + 64], len(asked))
+            j = np.tile(asked, len(asking[k : k + 64]))
+            use = useful(i, j)
+            yield i[use], j[use]
+
+
+def _compared(threshold: int, best_of: str | None):
+    """Pairs (u, v, about) of groups (key, block) that sketches do not rule out.
+
+    ``best_of`` "block": only each asking node's best partner of the group;
+    "component": its best in each component; None: all of them, each in the
+    first of the buckets that both nodes are in.
+    """
+    floor = threshold / 100 - SLACK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _whole_groups(batches, ["key", "block"]):
-            found = list(pairs_of(part))
+            sketch = np.ascontiguousarray(part["sketch"]).view(np.uint64)
+            n, found = part["n_shingles"], []
+            for i, j in _pairs(part):
+                fits = 100 * np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j])
+                i, j = i[fits], j[fits]
+                if len(i):
+                    about = estimate(sketch[i], sketch[j])
+                    fine = about >= floor
+                    found.append((i[fine], j[fine], about[fine]))
             if not found:
                 continue
             i, j, about = (np.concatenate(x) for x in zip(*found))
-            group = np.cumsum(np.r_[0, (np.diff(part["key"]) != 0) | (np.diff(part["block"]) != 0)])
-            one, other, about = np.r_[i, j], np.r_[j, i], np.r_[about, about]
-            asking = part["asks"][one]
-            one, other, about = one[asking], other[asking], about[asking]
-            order = np.lexsort((-about, one))
-            one, other, about = one[order], other[order], about[order]
-            place = np.arange(len(one)) - np.searchsorted(one, one, "left")
-            take = place < top
-            assert not len(one) or (group[one] == group[other]).all()
+            if best_of:
+                other = part["comp"][j] if best_of == "component" else np.zeros(len(j), np.int64)
+                order = np.lexsort((part["node"][j], -about, other, i))
+                i, j, about, other = i[order], j[order], about[order], other[order]
+                first = np.r_[True, (i[1:] != i[:-1]) | (other[1:] != other[:-1])][: len(i)]
+            else:
+                keys, buckets = part["key"], part["buckets"]
+                common = (min(set(buckets[a]) & set(buckets[b])) for a, b in zip(i, j))
+                first = np.fromiter(common, np.int64, len(i)) == keys[i]
             yield pa.RecordBatch.from_arrays(
-                [binary_array(part["node"][one[take]]), binary_array(part["node"][other[take]]), pa.array(about[take])],
+                [pa.array(part["node"][i[first]]), pa.array(part["node"][j[first]]), pa.array(about[first])],
                 names=["u", "v", "about"],
             )
 
@@ -217,97 +264,74 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, width: int = 4) -> Dat
     has one, and gets the null component_id then. Repeated rows are judged
     alike. Further columns are ignored.
     """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     prints = written(
-        keyed.mapInArrow(
-            _fingerprints(width),
-            "doc_id long, text_key long, n_shingles long, node binary, sketch binary, bands array<long>",
+        docs.mapInArrow(
+            _fingerprints(width), "doc_id long, text_key long, n_shingles long, digest binary, bands array<long>"
         ),
         "prints",
     )
-    nodes = written(
-        prints.where("node is not null")
-        .groupBy("node")
-        .agg(
-            F.min("doc_id").alias("low_id"),
-            F.first("text_key").alias("some_key"),
-            F.first("n_shingles").alias("n_shingles"),
-            F.first("sketch").alias("sketch"),
-            F.first("bands").alias("bands"),
-        ),
-        "nodes",
+    nodes = prints.where("digest is not null").groupBy("digest")
+    nodes = nodes.agg(
+        F.min("doc_id").alias("low_id"),
+        F.min_by(F.struct("doc_id", "text_key"), F.xxhash64("doc_id", "text_key")).alias("at"),
+        F.first("bands").alias("bands"),
     )
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     members = _members(nodes)
-    texts = _texts(keyed, prints, nodes, members)
-    roots = _link(spark, members, texts, threshold, width)
-    return _judged(prints, nodes, roots)
+    faces = _faces(docs, nodes, members, width)
+    return _judged(prints, nodes, _roots(members, faces, threshold, width))
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """Every node of every bucket that has more than one, with its sketch."""
+    """(key, node, size): the nodes of every bucket of several, buckets of equal nodes once."""
     rows = nodes.select("node", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    return written(
-        rows.join(shared, "key").join(nodes.select("node", "n_shingles", "sketch"), "node"), "members"
+    shared = rows.groupBy("key").agg(
+        F.count("*").alias("size"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"),
+        F.bit_xor(F.xxhash64(F.lit(7), "node")).alias("xor"),
     )
+    once = shared.where("size > 1").groupBy("size", "sum", "xor").agg(F.min("key").alias("key"))
+    return written(rows.join(once.select("key", "size"), "key"), "members")
 
 
-def _texts(keyed: DataFrame, prints: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """One text for each node that shares a bucket."""
-    wanted = members.select("node").distinct()
-    one = nodes.select("node", F.col("low_id").alias("doc_id")).join(wanted, "node", "left_semi")
-    one = (
-        prints.select("node", "doc_id", "text_key")
-        .where("node is not null")
-        .join(one, ["node"], "left_semi")
-        .groupBy("node")
-        .agg(F.min(F.struct("doc_id", "text_key")).alias("at"))
-        .select("node", "at.*")
-    )
-    same = keyed.doc_id.eqNullSafe(F.col("o_id")) & (keyed.text_key == F.col("o_key"))
-    found = keyed.join(
-        one.select("node", F.col("doc_id").alias("o_id"), F.col("text_key").alias("o_key")), same
-    ).select("node", "text")
-    return written(found.dropDuplicates(["node"]), "texts")
+def _faces(docs: DataFrame, nodes: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """(node, n_shingles, sketch, text) of every node that shares a bucket."""
+    wanted = nodes.select("node", "at.*").join(members.select("node").distinct(), "node", "left_semi")
+    wanted = wanted.select("node", F.col("doc_id").alias("at_id"), F.col("text_key").alias("at_key"))
+    same = docs.doc_id.eqNullSafe(wanted.at_id) & (docs.text_key == wanted.at_key)
+    found = docs.join(wanted, same).select("node", "text").dropDuplicates(["node"])
+    faces = found.mapInArrow(_sketches(width), "node long, n_shingles long, sketch binary, text string")
+    return written(faces, "faces")
 
 
-def _link(spark: SparkSession, members: DataFrame, texts: DataFrame, threshold: int, width: int) -> DataFrame:
-    links = tested = None
-    roots, top = None, PARTNERS
-    while True:
+def _roots(members: DataFrame, faces: DataFrame, threshold: int, width: int) -> DataFrame:
+    """(node, root) of nodes with links."""
+    links, roots = None, None
+    for best_of in ("block", "component", None):
         rows = _first_rows(members) if roots is None else _open_rows(members, roots)
-        pairs = rows.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(
-            _partners(threshold, top), "u binary, v binary, about double"
-        )
-        pairs = pairs.groupBy("u", "v").agg(F.max("about").alias("about"))
-        if tested is not None:
-            known = tested.unionByName(tested.select(F.col("v").alias("u"), F.col("u").alias("v")))
-            pairs = pairs.join(known, ["u", "v"], "left_anti")
-        best = Window.partitionBy("u").orderBy(F.desc("about"), "v")
-        pairs = pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top)
-        pairs = written(
-            pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs"
-        )
-        if is_empty(pairs):
-            return roots if roots is not None else components(pairs)
-        found = _confirmed(pairs, texts, threshold, width)
+        if best_of is None:
+            rows = rows.join(members.groupBy("node").agg(F.collect_list("key").alias("buckets")), "node")
+        rows = rows.join(faces.select("node", "n_shingles", "sketch"), "node")
+        dealt = rows.repartition("key", "block").sortWithinPartitions("key", "block")
+        pairs = dealt.mapInArrow(_compared(threshold, best_of), "u long, v long, about double")
+        if best_of == "block":
+            best = Window.partitionBy("u").orderBy(F.desc("about"), "v")
+            pairs = pairs.distinct().withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= PARTNERS)
+        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        found = _confirmed(pairs, faces, threshold, width)
         links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        roots, top = components(links), top * 4
+        roots = components(links)
+    return roots
 
 
 def _first_rows(members: DataFrame) -> DataFrame:
-    blocks = F.ceil(F.col("size") / BLOCK)
+    """Random blocks of every bucket; each row both asks and is asked."""
+    block = F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("size") / BLOCK))
+    role = F.explode(F.array(F.lit(True), F.lit(False)))
     return members.select(
-        "key",
-        F.pmod(F.xxhash64("node", "key"), blocks).alias("block"),
-        "node",
-        F.col("node").alias("comp_node"),
-        "n_shingles",
-        "sketch",
-    ).select("*", F.xxhash64("comp_node").alias("comp"), F.lit(True).alias("asks")).drop("comp_node")
+        "key", block.alias("block"), "node", F.col("node").alias("comp"), F.lit(True).alias("out"), role.alias("asks")
+    )
 
 
 def _open_rows(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -316,57 +340,46 @@ def _open_rows(members: DataFrame, roots: DataFrame) -> DataFrame:
     Nodes outside a bucket's largest component ask all its other nodes. Both
     sides are dealt into blocks that meet in every combination.
     """
-    placed = members.join(roots, "node", "left").withColumn("comp", F.xxhash64(F.coalesce("root", "node")))
+    placed = members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node"))
     sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
     open_keys = (
         sizes.groupBy("key")
         .agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"), F.count("*").alias("comps"))
         .where("comps > 1")
-        .select("key", F.col("top.comp").alias("main"), F.col("total"), (F.col("total") - F.col("top.n")).alias("out"))
+        .select("key", F.col("top.comp").alias("main"), "total", (F.col("total") - F.col("top.n")).alias("outside"))
     )
-    rows = placed.join(open_keys, "key").withColumn("asks", F.col("comp") != F.col("main"))
-    ask_blocks, all_blocks = F.ceil(F.col("out") / BLOCK), F.ceil(F.col("total") / (4 * BLOCK))
-    spot = F.xxhash64("node", "key")
-    asked = rows.select(
-        "*",
-        F.explode(F.sequence(F.lit(0).cast("long"), ask_blocks - 1)).alias("i"),
-        F.pmod(spot, all_blocks).alias("j"),
-        F.lit(False).alias("asking"),
-    )
-    asking = rows.where("asks").select(
-        "*",
-        F.pmod(spot, ask_blocks).alias("i"),
-        F.explode(F.sequence(F.lit(0).cast("long"), all_blocks - 1)).alias("j"),
-        F.lit(True).alias("asking"),
-    )
-    both = asked.unionByName(asking)
-    return both.select(
+    rows = placed.join(open_keys, "key").withColumn("out", F.col("comp") != F.col("main"))
+    ask_blocks, all_blocks = F.ceil(F.col("outside") / BLOCK), F.ceil(F.col("total") / (4 * BLOCK))
+    ask_spot, all_spot = (F.pmod(F.xxhash64("node", "key"), n) for n in (ask_blocks, all_blocks))
+    zero = F.lit(0).cast("long")
+    asked = F.transform(F.sequence(zero, ask_blocks - 1), lambda i: F.struct(i.alias("i"), all_spot.alias("j"), F.lit(False).alias("asks")))
+    asking = F.transform(F.sequence(zero, all_blocks - 1), lambda j: F.struct(ask_spot.alias("i"), j.alias("j"), F.lit(True).alias("asks")))
+    roles = F.when(F.col("out"), F.concat(asked, asking)).otherwise(asked)
+    return rows.withColumn("role", F.explode(roles)).select(
         "key",
-        (F.col("i") * all_blocks + F.col("j")).alias("block"),
+        (F.col("role.i") * all_blocks + F.col("role.j")).alias("block"),
         "node",
-        "n_shingles",
-        "sketch",
         "comp",
-        F.col("asking").alias("asks"),
+        "out",
+        F.col("role.asks").alias("asks"),
     )
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: int, width: int) -> DataFrame:
-    first = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
-    second = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
+def _confirmed(pairs: DataFrame, faces: DataFrame, threshold: int, width: int) -> DataFrame:
+    first = faces.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
+    second = faces.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
     both = pairs.join(first, "u").join(second, "v")
-    return written(both.mapInArrow(_confirm(threshold, width), "u binary, v binary"), "found")
+    return written(both.mapInArrow(_confirm(threshold, width), "u long, v long"), "found")
 
 
 def _judged(prints: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    placed = nodes.select("node", "low_id").join(roots, "node", "left").select(
-        "node", "low_id", F.coalesce("root", "node").alias("root")
-    )
+    placed = nodes.select("digest", "node", "low_id").join(roots, "node", "left")
+    placed = placed.select("digest", "low_id", F.coalesce("root", "node").alias("root"))
     lowest = placed.groupBy("root").agg(F.min("low_id").alias("component_id"))
-    named = placed.join(lowest, "root").select("node", "component_id")
-    some = prints.where("node is not null").select("doc_id", "n_shingles", "node")
-    none = prints.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    judged = some.join(named, "node").select("doc_id", "n_shingles", "component_id").unionByName(none)
+    named = placed.join(lowest, "root").select("digest", "component_id")
+    some = prints.where("digest is not null").select("doc_id", "n_shingles", "digest")
+    none = prints.where("digest is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    judged = some.join(named, "digest").select("doc_id", "n_shingles", "component_id").unionByName(none)
     return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
