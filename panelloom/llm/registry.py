@@ -18,6 +18,7 @@ MODULES = [
     "suffix_dedup",
     "packing",
     "decontaminate",
+    "cap_filters",
 ]
 
 
