@@ -19,6 +19,7 @@ MODULES = [
     "packing",
     "decontaminate",
     "cap_filters",
+    "language",
 ]
 
 
