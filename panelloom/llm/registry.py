@@ -20,6 +20,7 @@ MODULES = [
     "decontaminate",
     "cap_filters",
     "language",
+    "toxicity",
 ]
 
 
