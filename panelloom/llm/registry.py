@@ -21,6 +21,8 @@ MODULES = [
     "cap_filters",
     "language",
     "toxicity",
+    "url_rules",
+    "warc",
 ]
 
 
