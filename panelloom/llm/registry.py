@@ -23,6 +23,7 @@ MODULES = [
     "toxicity",
     "url_rules",
     "warc",
+    "preference",
 ]
 
 
