@@ -254,7 +254,7 @@ def _confirm(threshold: int, width: int):
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 80, width: int = 4) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
+    """(doc_id, n_shingles, component_id, kept, text_key) for every row of ``docs`` (doc_id, text).
 
     Texts whose shingle sets have ``100 * intersection >= threshold * union``
     are linked; component_id is the smallest doc_id reachable over links and
@@ -377,12 +377,29 @@ def _judged(prints: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     placed = placed.select("digest", "low_id", F.coalesce("root", "node").alias("root"))
     lowest = placed.groupBy("root").agg(F.min("low_id").alias("component_id"))
     named = placed.join(lowest, "root").select("digest", "component_id")
-    some = prints.where("digest is not null").select("doc_id", "n_shingles", "digest")
-    none = prints.where("digest is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    judged = some.join(named, "digest").select("doc_id", "n_shingles", "component_id").unionByName(none)
-    return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    some = prints.where("digest is not null").join(named, "digest")
+    none = prints.where("digest is null").withColumn("component_id", F.col("doc_id"))
+    names = ["doc_id", "n_shingles", "component_id", "text_key"]
+    judged = some.select(names).unionByName(none.select(names))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return judged.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "text_key")
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row of each component of ``docs`` (doc_id, text, ...), with all its columns.
+
+    Repeated rows are one. Rows without words are linked with nothing and
+    stay, once each.
+    """
+    names = docs.columns
+    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_kept"))
+    same = keyed.doc_id.eqNullSafe(F.col("_id")) & (keyed["_key"] == F.col("_kept"))
+    once = Window.partitionBy("doc_id", "_key").orderBy(F.lit(1))
+    found = keyed.join(kept.distinct(), same).withColumn("_nth", F.row_number().over(once))
+    return found.where("_nth = 1").select(*names)
 
 
 @query("op1_minhash_near_dedup")
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")

@@ -34,6 +34,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelloom.llm import anchors, loser_tree
 from panelloom.llm.anchors import GRAM, LENGTH
@@ -80,10 +81,9 @@ def _chunks(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            rows = pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text").cast(pa.large_string()).cast(pa.large_binary())],
-                names=["doc_id", "text"],
-            )
+            place = batch.schema.get_field_index("text")
+            text = batch.column("text").cast(pa.large_string()).cast(pa.large_binary())
+            rows = batch.set_column(place, "text", text)
             _, starts = flat_bytes(rows.column("text"))
             a = 0
             while a < len(rows):
@@ -107,7 +107,7 @@ class _Chunk:
 
     def __init__(self, blob: bytes, with_anchors: bool = True):
         with pa.ipc.open_stream(pa.BufferReader(blob)) as stream:
-            rows = stream.read_all().combine_chunks()
+            self.rows = rows = stream.read_all().combine_chunks()
         self.ids = rows.column("doc_id")
         self.data, self.starts = flat_bytes(rows.column("text"))
         if not with_anchors:
@@ -464,6 +464,7 @@ def _windows(runs, order, rows, group, shared, ahead, back, doc, at):
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pairs = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     for batch in batches:
         for docs, blobs in zip(batch.column("docs"), batch.column("blobs").to_pylist()):
             chunk = _Chunk(docs.as_buffer(), with_anchors=False)
@@ -485,27 +486,24 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         at = e
                     kept.append(b"".join([*left, own[at:]]))
                     spans.append([{"start": s, "stop": e} for s, e in mine])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        chunk.ids.slice(lo, hi - lo).combine_chunks(),
-                        pa.array(np.diff(chunk.starts)[lo:hi]),
-                        pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                        pa.array(kept, pa.binary()),
-                    ],
-                    names=["doc_id", "n_bytes", "spans", "kept"],
-                )
+                own = chunk.rows.drop_columns(["text"]).slice(lo, hi - lo).combine_chunks()
+                own = own.append_column("n_bytes", pa.array(np.diff(chunk.starts)[lo:hi]))
+                own = own.append_column("spans", pa.array(spans, pairs))
+                yield from own.append_column("kept", pa.array(kept, pa.binary())).to_batches()
 
 
 def cut_repeats(docs: DataFrame, chunk_bytes: int = CHUNK, hot: int = HOT) -> DataFrame:
-    """(doc_id, n_bytes, spans, kept) for every row of ``docs`` (doc_id, text).
+    """``docs`` (doc_id, text, ...) with n_bytes, spans and kept in the place of text.
 
     ``spans`` are the maximal runs of bytes, as [start, stop), that lie in
     some 50-byte string which also starts in a document with a smaller doc_id;
     ``kept`` is the text without them, as bytes. A null text is empty. Rows
     without doc_id stay whole and remove nothing; rows that repeat a doc_id
-    remove nothing from each other. Further columns are ignored.
+    remove nothing from each other. Further columns pass through, but
+    ``n_bytes``, ``spans`` and ``kept`` are replaced.
     """
-    packed = docs.select("doc_id", "text").mapInArrow(_chunks(chunk_bytes), "chunk long, docs binary")
+    docs = docs.drop("n_bytes", "spans", "kept")
+    packed = docs.mapInArrow(_chunks(chunk_bytes), "chunk long, docs binary")
     chunks = written(packed, "chunks")
     buckets = max(LEAST_BUCKETS, BUCKETS_PER_CHUNK * chunks.count())
     parts = min(buckets, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1))
@@ -526,15 +524,34 @@ def cut_repeats(docs: DataFrame, chunk_bytes: int = CHUNK, hot: int = HOT) -> Da
         .groupBy("chunk")
         .agg(F.collect_list("blob").alias("blobs"))
     )
-    return chunks.join(spans, "chunk", "left").mapInArrow(
-        _cut, "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary"
-    )
+    schema = T.StructType([f for f in docs.schema.fields if f.name != "text"]).add("n_bytes", "long")
+    span = T.StructType().add("start", "long").add("stop", "long")
+    schema = schema.add("spans", T.ArrayType(span)).add("kept", "binary")
+    return chunks.join(spans, "chunk", "left").mapInArrow(_cut, schema)
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        text = [b.as_py().decode("utf-8", "ignore") for b in batch.column("kept")]
+        place = batch.schema.get_field_index("kept")
+        yield batch.set_column(place, "kept", pa.array(text, pa.string()))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated passages cut out of ``text``; characters cut in part go whole.
+
+    A null text becomes empty; all other columns stay.
+    """
+    names = docs.columns
+    left = cut_repeats(docs).drop("n_bytes", "spans")
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "kept" else f.dataType) for f in left.schema])
+    return left.mapInArrow(_decoded, schema).withColumnRenamed("kept", "text").select(*names)
 
 
 @query("op5_suffix_dedup")
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
-    return cut_repeats(table(spark, sf_dir, "documents")).select(
+    return cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id",
         "n_bytes",
         removed.alias("n_removed"),
