@@ -1,7 +1,7 @@
 """Anchors: positions that equal strings agree on.
 
-Every window of ``length`` bytes is represented by its smallest ``gram``-byte
-string in a random order (the leftmost of equal ones). The choice depends on
+Every window of ``LENGTH`` bytes is represented by its smallest ``GRAM``-byte
+string in a random order (the leftmost of those that tie). The choice depends on
 the window's bytes alone, so equal windows have their anchors at the same
 place. Windows of one anchor start side by side.
 """
@@ -12,14 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from panelloom.llm.words import mix
-
 LENGTH, GRAM = 50, 16
 PART = 1 << 20
 _U = np.uint64
+_PLACE = _U((1 << 22) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE = np.random.default_rng(977).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[np.ndarray] = []
 
 
 @dataclass
@@ -33,21 +32,32 @@ class Anchors:
     gram: np.ndarray
 
 
+def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if not _powers or len(_powers[0]) < n:
+        _powers.clear()
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.full(max(n, 3 * PART), base, np.uint64)
+            steps[0] = 1
+            _powers.append(np.cumprod(steps, dtype=np.uint64))
+    return _powers[0], _powers[1]
+
+
 def rolling(data: np.ndarray, width: int) -> np.ndarray:
     """A 64-bit hash of the ``width`` bytes from each position on."""
     n = len(data) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    if len(data) + 1 not in _powers:
-        steps = [np.full(max(len(data), 2 * PART) + 1, b, np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
-        for s in steps:
-            s[0] = 1
-        _powers.clear()
-        _powers[len(data) + 1] = tuple(np.cumprod(s, dtype=np.uint64) for s in steps)
-    up, down = _powers[len(data) + 1]
+    up, down = _tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
-    return mix((sums[width:] - sums[:n]) * down[:n])
+    values = _BYTE[data]
+    values *= up[: len(data)]
+    np.cumsum(values, out=sums[1:])
+    out = sums[width:] - sums[:n]
+    out *= down[:n]
+    out ^= out >> _U(32)
+    out *= _U(0xD6E8FEB86659FD93)
+    out ^= out >> _U(32)
+    return out
 
 
 def _lowest(values: np.ndarray, width: int) -> np.ndarray:
@@ -63,46 +73,26 @@ def _lowest(values: np.ndarray, width: int) -> np.ndarray:
 def _part(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     grams = rolling(data, GRAM)
     width = LENGTH - GRAM + 1
-    if len(grams) < width:
-        return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
-    low = _lowest(grams, width)
-    owner = np.searchsorted(starts, np.arange(len(low)), "right") - 1
+    n = len(grams) - width + 1
+    none = np.zeros(0, np.int64)
+    if n <= 0:
+        return none, none, none, none, np.zeros(0, np.uint64)
+    # the place in the low bits: the smallest value tells where it stands, the leftmost of equal ones wins
+    low = _lowest((grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64), width)
+    # windows that would reach over the end of their text do not count
     ends = np.append(starts[1:], len(data))
-    windows = np.flatnonzero(np.arange(len(low)) + LENGTH <= ends[owner])
-    if not len(windows):
-        return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
-    # leftmost place of each window's smallest gram: the next place at or after it whose gram equals the smallest
-    value, text = low[windows], owner[windows]
-    fresh = np.ones(len(windows), bool)
-    fresh[1:] = (value[1:] != value[:-1]) | (windows[1:] != windows[:-1] + 1) | (text[1:] != text[:-1])
-    at = _places(grams, value, windows, fresh, width)
-    fresh[1:] |= at[1:] != at[:-1]
-    begin = np.flatnonzero(fresh)
-    end = np.append(begin[1:], len(windows)) - 1
-    return at[begin], windows[begin], windows[end], text[begin], value[begin]
-
-
-def _places(grams, value, windows, fresh, width) -> np.ndarray:
-    """For each window the first place from its start on whose gram is its smallest."""
-    begin = np.flatnonzero(fresh)
-    run = np.cumsum(fresh) - 1
-    at = np.full(len(begin), -1, np.int64)
-    todo = np.arange(len(begin))
-    for step in range(width):
-        hit = grams[windows[begin[todo]] + step] == value[begin[todo]]
-        at[todo[hit]] = windows[begin[todo[hit]]] + step
-        todo = todo[~hit]
-        if not len(todo):
-            break
-    at = at[run]
-    while (late := np.flatnonzero(at < windows)).size:  # the gram comes again inside a run of equal values
-        place = windows[late].copy()
-        open_ = np.ones(len(late), bool)
-        while open_.any():
-            open_[open_] = grams[place[open_]] != value[late[open_]]
-            place[open_] += 1
-        at[late] = place
-    return at
+    out = np.zeros(n + 1, np.int32)
+    np.add.at(out, np.minimum(np.maximum(ends - LENGTH + 1, starts), n), 1)
+    np.add.at(out, np.minimum(ends, n), -1)
+    whole = np.cumsum(out[:n]) == 0
+    changes = np.ones(n + 1, bool)
+    changes[1:n] = (low[1:] != low[:-1]) | (whole[1:] != whole[:-1])
+    edges = np.flatnonzero(changes)
+    first, last = edges[:-1], edges[1:] - 1
+    some = whole[first]
+    first, last = first[some], last[some]
+    at = (low[first] & _PLACE).astype(np.int64)
+    return at, first, last, np.searchsorted(starts, first, "right") - 1, grams[at]
 
 
 def find(data: np.ndarray, starts: np.ndarray) -> Anchors:

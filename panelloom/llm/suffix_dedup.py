@@ -112,6 +112,7 @@ class _Chunk:
         self.data, self.starts = flat_bytes(rows.column("text"))
         if not with_anchors:
             return
+        self.padded = np.concatenate([np.zeros(_BACK, np.uint8), self.data, np.zeros(LENGTH, np.uint8)])
         a = anchors.find(self.data, self.starts)
         if self.ids.null_count:  # documents without an id take no part
             known = ~np.asarray(self.ids.is_null())[a.text]
@@ -125,7 +126,7 @@ def _grams_of(chunk: _Chunk, hot: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     gram, doc = chunk.anchors.gram, chunk.doc
     if not len(gram):
         return gram, np.zeros(0, np.uint8), np.zeros(0, np.int64)
-    order = np.argsort(gram, kind="stable")
+    order = np.argsort(gram)
     g, d = gram[order], doc[order]
     begin = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
     state = (np.minimum.reduceat(d, begin) != np.maximum.reduceat(d, begin)).astype(np.uint8)
@@ -141,12 +142,10 @@ def _deal_grams(buckets: int, hot: int):
         for batch in batches:
             for number, blob in zip(batch.column("chunk").to_pylist(), batch.column("docs")):
                 grams, state, _ = _grams_of(_Chunk(blob.as_buffer()), hot)
-                bucket = (grams % _U(buckets)).astype(np.int64)
-                order = np.lexsort((grams, bucket))
-                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                cuts = np.searchsorted(_bucket(grams, buckets), np.arange(buckets + 1))
                 full = np.flatnonzero(np.diff(cuts))
-                parts = [order[cuts[k] : cuts[k + 1]] for k in full]
-                blobs = [_steps_packed(grams[mine], buckets) + state[mine].tobytes() for mine in parts]
+                parts = [slice(cuts[k], cuts[k + 1]) for k in full]
+                blobs = [_steps_packed(grams[mine]) + state[mine].tobytes() for mine in parts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(full.astype(np.int32)),
@@ -160,10 +159,14 @@ def _deal_grams(buckets: int, hot: int):
     return run
 
 
-def _steps_packed(grams: np.ndarray, buckets: int) -> bytes:
-    """Sorted hashes of one bucket as differences, byte planes apart, so that they compress."""
-    whole = grams // _U(buckets)
-    return np.diff(whole, prepend=_U(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of hashes, so sorted hashes are dealt already."""
+    return ((grams >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+
+
+def _steps_packed(grams: np.ndarray) -> bytes:
+    """Sorted hashes as differences, byte planes apart, so that they compress."""
+    return np.diff(grams, prepend=_U(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
 def _steps_unpacked(raw: bytes, n: int) -> np.ndarray:
@@ -212,15 +215,17 @@ def _answer_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _suffixes(chunk: _Chunk, at: np.ndarray, start: np.ndarray, stop: np.ndarray):
-    """Rows of bytes: text from ``at`` to ``stop``, then text before ``at`` down to ``start``, read backwards."""
-    width = LENGTH + _BACK
+    """Rows of bytes: ``LENGTH`` for the text from ``at`` to ``stop``, then the text before ``at`` down to ``start``,
+    read backwards; zeros where there is less."""
     ahead, back = stop - at, at - start
-    place = np.arange(width)
-    beyond = place - ahead.astype(np.int32)[:, None]
-    index = np.where(beyond < 0, place.astype(np.int32), -1 - beyond) + at.astype(np.int32)[:, None]
-    used = beyond < back.astype(np.int32)[:, None]
-    matrix = chunk.data[np.where(used, index, 0)]
-    matrix[~used] = 0
+    wide = np.lib.stride_tricks.sliding_window_view(chunk.padded, LENGTH + _BACK)
+    around = wide[at]  # from _BACK bytes before the anchor on
+    matrix = np.empty_like(around)
+    matrix[:, :LENGTH] = around[:, _BACK:]
+    matrix[:, LENGTH:] = around[:, _BACK - 1 :: -1] if _BACK else around[:, :0]
+    place = np.arange(LENGTH, dtype=np.uint8)
+    matrix[:, :LENGTH] *= place < ahead.astype(np.uint8)[:, None]
+    matrix[:, LENGTH:] *= place[:_BACK] < back.astype(np.uint8)[:, None]
     return matrix, ahead, back
 
 
@@ -243,17 +248,15 @@ def _deal_suffixes(buckets: int, hot: int):
                 chunk = _Chunk(docs.as_buffer())
                 grams, _, place = _grams_of(chunk, hot)
                 state = np.zeros(len(grams), np.uint8)
-                bucket = (grams % _U(buckets)).astype(np.int64)
-                order = np.lexsort((grams, bucket))
-                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                cuts = np.searchsorted(_bucket(grams, buckets), np.arange(buckets + 1))
                 for reply in answers or []:
                     k = reply["bucket"]
-                    state[order[cuts[k] : cuts[k + 1]]] = np.frombuffer(zstandard.decompress(reply["answer"]), np.uint8)
+                    state[cuts[k] : cuts[k + 1]] = np.frombuffer(zstandard.decompress(reply["answer"]), np.uint8)
                 state = state[place]
                 a = chunk.anchors
                 rows, spans = [], []
                 some = np.flatnonzero(state == 1)
-                key = (a.gram[some] % _U(buckets)).astype(np.int64)
+                key = _bucket(a.gram[some], buckets)
                 # parts are ranges of buckets, so a bucket gets one run and equal suffixes stay together
                 part = key * -(-len(some) // ROWS) // buckets
                 for p in np.unique(part):
@@ -307,7 +310,7 @@ def _runs(chunk, number, own, at, start, stop, spans, key, windows_from=0) -> It
     """
     a = chunk.anchors
     matrix, ahead, back = _suffixes(chunk, at, start, stop)
-    lengths = ahead + back
+    lengths = LENGTH + back
     doc = chunk.doc[own]
     order = _order(matrix, lengths)
     m, n, d = matrix[order], lengths[order], doc[order]
@@ -408,7 +411,7 @@ def _anchored(runs, order, shared, ahead, length, doc, at):
     Neighbours in the merged order tell the first; the second is read off an
     order by the bytes back, taken only inside groups that differ.
     """
-    back = length - ahead
+    back = length - LENGTH
     ahead_shared = np.minimum(shared, np.minimum(ahead, np.r_[0, ahead[:-1]]))
     group = np.cumsum(ahead_shared < GRAM) - 1
     same = np.r_[False, (shared[1:] == length[1:]) & (length[1:] == length[:-1]) & (ahead[1:] == ahead[:-1])]
@@ -432,7 +435,7 @@ def _windows(runs, order, rows, group, shared, ahead, back, doc, at):
     n = len(rows)
     tail = np.zeros((n, _BACK + 8), np.uint8)
     for i, r in enumerate(rows):
-        s = strings[order[r]][ahead[r] :]
+        s = strings[order[r]][LENGTH:]
         tail[i, : len(s)] = np.frombuffer(s, np.uint8)
     ahead_r, back_r, doc_r, group_r = ahead[rows], back[rows], doc[rows], group[rows]
     # rows of a group stand together, so neighbours here are neighbours in the merged order
