@@ -187,20 +187,20 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """
     names = docs.columns
     found = contamination(docs, benchmark, window).where(F.size("runs") > 0)
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("runs").alias("_runs"))
-    found = found.dropDuplicates(["_id", "_key"])
-    text = F.col("text")
+    found = found.select(F.col("doc_id").alias("hit_id"), "text_key", "runs").dropDuplicates(["hit_id", "text_key"])
+    rows = docs.select(F.struct("*").alias("row"))
+    text = F.col("row.text")
     words = F.regexp_extract_all(text, F.lit(ANY_CASE_WORD), F.lit(0))
     gaps = F.split(text, ANY_CASE_WORD)
 
     def part(word: Column, i: Column) -> Column:
-        hit = F.exists("_runs", lambda r: (i >= r["start"]) & (i < r["stop"]))
+        hit = F.exists("runs", lambda r: (i >= r["start"]) & (i < r["stop"]))
         return F.when(hit, "").otherwise(F.concat(word, F.get(gaps, i + 1)))
 
     clean = F.concat(F.get(gaps, F.lit(0)), F.array_join(F.transform(words, part), ""))
-    same = docs.doc_id.eqNullSafe(found["_id"]) & (F.xxhash64(docs.text) == found["_key"])
-    joined = docs.join(found, same, "left")
-    return joined.withColumn("text", F.when(F.col("_runs").isNull(), text).otherwise(clean)).select(*names)
+    same = F.col("row.doc_id").eqNullSafe(found.hit_id) & (F.xxhash64(text) == found.text_key)
+    new = F.when(F.col("runs").isNull(), text).otherwise(clean).alias("text")
+    return rows.join(found, same, "left").select(*[new if c == "text" else F.col(f"row.`{c}`") for c in names])
 
 
 _SQL = rf"""

@@ -391,13 +391,12 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     Repeated rows are one. Rows without words are linked with nothing and
     stay, once each.
     """
-    names = docs.columns
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_kept"))
-    same = keyed.doc_id.eqNullSafe(F.col("_id")) & (keyed["_key"] == F.col("_kept"))
-    once = Window.partitionBy("doc_id", "_key").orderBy(F.lit(1))
-    found = keyed.join(kept.distinct(), same).withColumn("_nth", F.row_number().over(once))
-    return found.where("_nth = 1").select(*names)
+    rows = docs.select(F.struct("*").alias("row")).select("row", "row.doc_id", F.xxhash64("row.text").alias("key"))
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"), "text_key").distinct()
+    same = rows.doc_id.eqNullSafe(kept.kept_id) & (rows.key == kept.text_key)
+    once = Window.partitionBy("doc_id", "key").orderBy(F.lit(1))
+    found = rows.join(kept, same).withColumn("nth", F.row_number().over(once))
+    return found.where("nth = 1").select("row.*")
 
 
 @query("op1_minhash_near_dedup")

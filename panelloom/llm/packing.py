@@ -178,33 +178,33 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with sequence_id and offset, in as few sequences of ``capacity`` as the plan finds.
 
     ``pieces`` needs doc_id, piece and length (1 to ``capacity``) and may carry
-    more columns; it is written once. Places within a sequence have no gaps.
+    more columns, of which ``sequence_id`` and ``offset`` are replaced; it is
+    written once. Places within a sequence have no gaps.
     """
     spark = pieces.sparkSession
-    pieces = written(pieces, "pieces")
-    shard = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SHARDS))
-    pieces = pieces.withColumn("_shard", shard)
-    sizes = pieces.groupBy("length", "_shard").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("length").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = written(sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))), "lengths")
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
-    within = Window.partitionBy("length", "_shard").orderBy("doc_id", "piece")
+    pieces = written(pieces.drop("sequence_id", "offset"), "pieces").select(F.struct("*").alias("row"))
+    shard = F.pmod(F.xxhash64("row.doc_id", "row.piece"), F.lit(SHARDS))
+    pieces = pieces.select("row", F.col("row.length").cast("long").alias("length"), shard.alias("shard"))
+    sizes = pieces.groupBy("length", "shard").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = written(sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "lengths")
+    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    within = Window.partitionBy("length", "shard").orderBy("row.doc_id", "row.piece")
     numbered = (
-        pieces.withColumn("_row", F.row_number().over(within))
-        .join(sizes.select("length", "_shard", "_before"), ["length", "_shard"])
-        .withColumn("_number", F.col("_before") + F.col("_row") - 1)
+        pieces.withColumn("nth", F.row_number().over(within))
+        .join(sizes.select("length", "shard", "before"), ["length", "shard"])
+        .withColumn("number", F.col("before") + F.col("nth") - 1)
     )
     slots = spark.createDataFrame(
-        _slots(plan(counts, capacity)),
-        "length long, _from long, _to long, _each long, _first long, _place long",
+        _slots(plan(counts, capacity)), "length long, low long, high long, each long, first long, place long"
     )
     # at most a few entries a length and combination, whatever the corpus: the plan is bounded by the capacity
-    placed = numbered.join(F.broadcast(slots), "length").where("_number >= _from and _number < _to")
-    index = F.col("_number") - F.col("_from")
-    return (
-        placed.withColumn("sequence_id", F.col("_first") + F.floor(index / F.col("_each")))
-        .withColumn("offset", F.col("_place") + F.pmod(index, F.col("_each")) * F.col("length"))
-        .select(*[c for c in pieces.columns if c != "_shard"], "sequence_id", "offset")
+    placed = numbered.join(F.broadcast(slots), "length").where("number >= low and number < high")
+    index = F.col("number") - F.col("low")
+    return placed.select(
+        "row.*",
+        (F.col("first") + F.floor(index / F.col("each"))).alias("sequence_id"),
+        (F.col("place") + F.pmod(index, F.col("each")) * F.col("length")).alias("offset"),
     )
 
 

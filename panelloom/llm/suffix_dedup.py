@@ -546,9 +546,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A null text becomes empty; all other columns stay.
     """
     names = docs.columns
-    left = cut_repeats(docs).drop("n_bytes", "spans")
-    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "kept" else f.dataType) for f in left.schema])
-    return left.mapInArrow(_decoded, schema).withColumnRenamed("kept", "text").select(*names)
+    rest = F.struct(F.lit(0), *[F.col(f"`{c}`") for c in names if c not in ("doc_id", "text")])
+    left = cut_repeats(docs.select("doc_id", "text", rest.alias("rest"))).select("doc_id", "rest", "kept")
+    fields = [T.StructField("kept", T.StringType()) if f.name == "kept" else f for f in left.schema.fields]
+    found = left.mapInArrow(_decoded, T.StructType(fields))
+    place = {"doc_id": "doc_id", "text": "kept"}
+    return found.select(*[F.col(place.get(c, f"rest.`{c}`")).alias(c) for c in names])
 
 
 @query("op5_suffix_dedup")

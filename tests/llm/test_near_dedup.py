@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import re
+
+import numpy as np
+
+from panelloom.llm import near_dedup, words
+from panelloom.llm.graph import components
+
+
+def shingles(text, width=4):
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if len(found) < width:
+        return frozenset([tuple(found)]) if found else frozenset()
+    return frozenset(tuple(found[i : i + width]) for i in range(len(found) - width + 1))
+
+
+def brute(rows, threshold=80):
+    """doc_id -> (n_shingles, component_id) of rows with distinct ids."""
+    sets = {i: shingles(t) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(i for i in sets if sets[i])
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            both = len(sets[a] & sets[b])
+            if 100 * both >= threshold * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+def varied(prose, n=60):
+    """Chains of near copies: each differs from the one before in a few words."""
+    rows = []
+    for g in range(n // 6):
+        text = prose(g, 60 + 7 * g).split(" ")
+        for k in range(6):
+            rows.append((10 * g + k, " ".join(text)))
+            text = list(text)
+            text[(11 * k + 5) % len(text)] = f"changed{k}"
+    return rows
+
+
+def test_against_all_pairs(spark, documents, prose):
+    rows = varied(prose) + [(900, None), (901, ""), (902, " \t\n"), (903, "one two"), (904, "ONE  two"), (905, "two one")]
+    rows += [(1000, prose(77, 40_000)), (1001, prose(77, 40_000) + " end"), (-7, prose(0, 60))]
+    got = near_dedup.near_duplicates(documents(rows)).collect()
+    want = brute(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len(got) == len(rows)
+
+
+def test_large_group_of_near_copies_is_split(spark, documents, prose):
+    base = prose(5, 120).split(" ")
+    rows = []
+    for i in range(700):
+        text = list(base)
+        for k in range(i % 9):
+            text[(i * 7 + k * 13) % 120] = f"x{i}y{k}"
+        rows.append((i, " ".join(text)))
+    got = near_dedup.near_duplicates(documents(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+
+
+def test_repeated_rows_nulls_and_empty_table(spark, documents, prose):
+    text, other = prose(1, 50), prose(2, 50)
+    rows = [(5, text), (5, text), (None, text), (None, other), (None, other), (8, None), (8, None)]
+    got = near_dedup.near_duplicates(documents(rows)).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in got) == sorted(
+        [(5, 5, True), (5, 5, True), (0, 5, False), (0, 0, True), (0, 0, True), (8, 8, True), (8, 8, True)]
+    )
+    kept = near_dedup.without_near_duplicates(documents(rows))
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(5, text), (0, other), (8, "")])
+    assert kept.columns == documents(rows).columns
+    assert near_dedup.near_duplicates(documents([])).collect() == []
+    assert near_dedup.near_duplicates(documents([(1, None)])).collect()[0].kept
+
+
+def test_sketches_estimate_similarity():
+    rng = np.random.default_rng(3)
+    for share in (0.75, 0.8, 0.9, 1.0):
+        both = rng.integers(0, 1 << 63, int(2000 * share), dtype=np.uint64)
+        one, two = (rng.integers(0, 1 << 63, 2000 - len(both), dtype=np.uint64) for _ in range(2))
+        sets = [np.concatenate([both, one]), np.concatenate([both, two])]
+        flat, bounds = np.concatenate(sets), np.array([0, len(sets[0]), len(sets[0]) + len(sets[1])])
+        sketch = near_dedup.odd_sketch(near_dedup.minhash(flat, bounds, near_dedup.SAMPLES)).view(np.uint64)
+        real = len(both) / (len(both) + len(one) + len(two))
+        assert abs(near_dedup.estimate(sketch[:1], sketch[1:])[0] - real) < near_dedup.SLACK
+
+
+def test_words_across_parts(monkeypatch):
+    monkeypatch.setattr(words, "PART", 32)
+    texts = [b"alpha beta " * 9, b"", b"x" * 100, b"a b", b" \n", b"gamma " + b"y" * 70 + b" delta"]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    starts = np.cumsum([0, *map(len, texts)])
+    sets, bounds = words.shingle_sets(data, starts, 4)
+    assert np.diff(bounds).tolist() == [len(shingles(t.decode())) for t in texts]
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.range(1, 200).selectExpr("id as u", "id - 1 as v").union(spark.createDataFrame([(500, 500), (600, 601)], "u long, v long"))
+    got = {r.node: r.root for r in components(links).collect()}
+    assert len({got[i] for i in range(200)}) == 1 and got[600] == got[601] != got[0] and 500 not in got
