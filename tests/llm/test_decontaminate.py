@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from panelloom.llm import decontaminate
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(docs, items, window=10):
+    windows = {}
+    for i, t in items:
+        w = words(t)
+        n = min(len(w), window)
+        for s in range(len(w) - n + 1 if w else 0):
+            windows.setdefault(tuple(w[s : s + n]), set()).add(i)
+    out = []
+    for i, t in docs:
+        w, hit, ids = words(t), set(), set()
+        for n in {len(k) for k in windows}:
+            for s in range(len(w) - n + 1):
+                if (found := windows.get(tuple(w[s : s + n]))) is not None:
+                    hit |= set(range(s, s + n))
+                    ids |= found - {None}
+        out.append((i, len(w), sorted(hit), sorted(ids)))
+    return sorted(out, key=repr)
+
+
+def found(table):
+    rows = []
+    for r in table.collect():
+        hit = [p for run in r.runs for p in range(run.start, run.stop)]
+        assert all(a.stop < b.start for a, b in zip(r.runs, r.runs[1:]))
+        rows.append((r.doc_id, r.n_words, hit, sorted(r.item_ids)))
+    return sorted(rows, key=repr)
+
+
+def test_against_all_windows(spark, documents, prose):
+    rnd = random.Random(8)
+    items = [(i, prose(100 + i, rnd.choice([1, 2, 3, 5, 9, 10, 11, 30]))) for i in range(30)]
+    items += [(40, None), (41, ""), (42, " ... "), (None, prose(300, 14)), (3, prose(301, 12)), (43, items[5][1]), (43, items[5][1])]
+    docs = []
+    for i in range(50):
+        parts = [prose(1000 + 7 * i + k, rnd.randrange(25)) for k in range(3)]
+        item = rnd.choice(items)[1] or ""
+        at = rnd.randrange(5)
+        docs.append((i, ", ".join([parts[0], *item.upper().split(" ")[at : at + 14], parts[1], parts[2]])))
+    docs += [(60, None), (61, ""), (62, items[3][1]), (62, items[3][1]), (None, items[7][1]), (62, prose(5, 8)), (70, prose(70, 30_000) + " " + items[7][1])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(documents(docs), benchmark)
+    assert found(got) == brute(docs, items)
+
+
+def test_empty_sides(spark, documents):
+    none = spark.createDataFrame([], "item_id long, text string")
+    some = spark.createDataFrame([(1, "a b c d e f g h i j k")], "item_id long, text string")
+    assert found(decontaminate.contamination(documents([(1, "a b")]), none)) == [(1, 2, [], [])]
+    assert decontaminate.contamination(documents([]), some).collect() == []
+
+
+def test_spans_are_cut_from_texts(spark, documents):
+    item = "One two; three four five six seven eight nine ten eleven"
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = documents([(1, "Start, Here. " + item.upper() + "! Émile goes on."), (2, "clean text"), (3, None), (4, item)])
+    got = decontaminate.without_spans(docs, benchmark)
+    assert got.columns == docs.columns
+    assert {r.doc_id: r.text for r in got.collect()} == {1: "Start, Here. Émile goes on.", 2: "clean text", 3: None, 4: ""}
+
+
+def test_plan_is_native(spark, documents):
+    benchmark = spark.createDataFrame([(1, "a b c d e f g h i j k")], "item_id long, text string")
+    plan = decontaminate.without_spans(documents([(1, "a")]), benchmark)._jdf.queryExecution().toString()
+    assert not [n for n in ("Python", "Arrow", "CartesianProduct", "NestedLoop") if n in plan]
+
+
+def test_hash_of_item_ids():
+    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
