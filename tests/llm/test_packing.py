@@ -18,7 +18,7 @@ def test_pieces_round_trip(spark, documents, prose):
     tokenizer = Tokenizer.from_file(PATH)
     rows = [(i, prose(i, 7 * i)) for i in range(40)] + [(100 + i, t) for i, t in enumerate(ODD)]
     rows += [(200, prose(3, 30_000)), (None, "no id"), (201, "twice"), (201, "twice")]
-    pieces = packing.token_pieces(documents(rows), PATH, 64).collect()
+    pieces = packing.token_pieces(documents(rows), *packing.public_vocabulary(), capacity=64).collect()
     by = defaultdict(list)
     for p in pieces:
         by[p.doc_id].append(p)
@@ -49,12 +49,41 @@ def test_places_have_no_gaps(spark, capacity):
             assert offset == at
             at += length
         assert at <= capacity
-    least = -(-sum(r[2] for r in rows) // capacity)
-    assert least <= len(bins) <= least * 1.03 + 1
+    assert len(bins) == packed_one_by_one([r[2] for r in rows], capacity)
+
+
+def packed_one_by_one(lengths, capacity):
+    """Bins of the same rule, one at a time: the longest piece left and the fullest combination with it."""
+    left, bins = Counter(lengths), 0
+    while left := +left:
+        longest = max(left)
+        left[longest] -= 1
+        left -= Counter(packing.fullest(left, capacity - longest))
+        bins += 1
+    return bins
+
+
+def test_fills_are_close_to_the_least_possible():
+    rnd = random.Random(4)
+    counts = Counter(min(1024, max(1, int(rnd.lognormvariate(5.5, 1)))) for _ in range(20_000))
+    bins = sum(times for _, times in packing.plan(counts))
+    least = -(-sum(n * c for n, c in counts.items()) // 1024)
+    assert least <= bins <= least * 1.001 + 1
+
+
+def test_both_libraries_give_the_same_ids():
+    slow, fast = packing.Encoder(PATH), packing.Encoder(*packing.public_vocabulary())
+    rnd = random.Random(12)
+    chars = [chr(c) for c in range(0x180)]
+    texts = [a + b for a in chars for b in rnd.sample(chars, 12)]
+    texts += [a + " " + b + "\n\n " + a for a, b in zip(chars, rnd.sample(chars, len(chars)))]
+    texts += ["".join(rnd.choice(chars + [" ", " ", "e", "t", "'s"] * 40) for _ in range(300)) for _ in range(300)]
+    for text in texts:
+        assert fast.ids(text) == slow.ids(text), repr(text)
 
 
 def test_empty_table(spark, documents):
-    pieces = packing.token_pieces(documents([]), PATH)
+    pieces = packing.token_pieces(documents([]), *packing.public_vocabulary())
     assert packing.pack_pieces(pieces).collect() == []
 
 
