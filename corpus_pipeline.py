@@ -43,11 +43,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in sequences of 1024."""
-    import public_tokenizers
-
     importable(spark)
-    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return packing.pack_pieces(pieces)
+    return packing.pack_pieces(packing.token_pieces(docs, *packing.public_vocabulary()))
 
 
 STAGES = [
