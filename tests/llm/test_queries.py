@@ -1,0 +1,34 @@
+"""Registered queries against their SQL, run by an independent engine."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as contract
+from panelloom.llm import registry
+
+duckdb = pytest.importorskip("duckdb")
+SF_DIR = "/root/testdata/sf0.001"
+NAMES = {1: "minhash_near_dedup", 2: "benchmark_decontamination", 3: "cap_filter_near_dedup", 4: "best_fit_packing", 5: "suffix_dedup",
+         6: "warc_salvage", 7: "preference_formatting", 8: "compression_language_id", 9: "counterfactual_toxicity", 10: "association_rule_url_filter"}
+
+
+def test_every_operator_has_its_query():
+    assert set(registry.QUERIES) == {f"op{n}_{name}" for n, name in NAMES.items()}
+    assert {*registry.QUERIES, "pipeline"} <= set(contract.queries())
+    assert registry.ORACLES.items() <= contract.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+def test_query_agrees_with_sql(spark, name):
+    oracle = duckdb.connect()
+    for path in Path(SF_DIR).glob("*.parquet"):
+        oracle.execute(f"create view {path.stem} as select * from '{path}'")
+    df = registry.QUERIES[name](spark, SF_DIR)
+    expected = oracle.execute(registry.ORACLES[name])
+    names = [d[0] for d in expected.description]
+    assert sorted(df.columns) == sorted(names)
+    found = sorted((tuple(r) for r in df.select(*[f"`{c}`" for c in names]).collect()), key=repr)
+    assert found == sorted(expected.fetchall(), key=repr) and found

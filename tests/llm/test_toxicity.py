@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+
+from panelloom.llm import registry, toxicity
+from panelloom.llm.registry import table
+
+SF_DIR = "/root/testdata/sf0.1"
+PLAIN = ["the", "house", "tree", "river", "stone", "walk", "light", "green", "paper", "music", "cloud", "road"]
+BAD = ["awfulword", "nastyword", "vileterm"]
+
+
+def labelled(seed=1, n=400):
+    """Toxic sentences attack a group more often than others mention it, so the group's name goes with the label."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        toxic = i % 2
+        words = [rnd.choice(PLAIN) for _ in range(12)]
+        if toxic and rnd.random() < 0.85:
+            words[3] = rnd.choice(BAD)
+        if rnd.random() < (0.9 if toxic else 0.02):
+            words[7] = "women"
+        rows.append((i, " ".join(words), toxic))
+    return rows
+
+
+def model_of(spark, rows, **kw):
+    docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows], "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, y, "z") for i, _, y in rows], "doc_id long, toxic int, text string")
+    return toxicity.fit(docs, labels, **kw)
+
+
+def scores(spark, model, texts):
+    docs = spark.createDataFrame([(i, t, "a", 5) for i, t in enumerate(texts)], "doc_id long, text string, score string, predicted int")
+    got = toxicity.score(docs, model)
+    assert got.columns == ["doc_id", "text", "score", "predicted"]
+    rows = sorted(got.collect(), key=lambda r: r.doc_id)
+    assert all(r.predicted == int(r.score >= 0.7) for r in rows)
+    return [r.score for r in rows]
+
+
+def test_swapped_terms_lower_false_positives(spark):
+    rows = labelled()
+    with_swaps = model_of(spark, rows)
+    without = model_of(spark, rows, groups=[])
+    rnd = random.Random(9)
+    mentions = [" ".join([rnd.choice(PLAIN) for _ in range(8)] + ["women"]) for _ in range(60)]
+    bare = [m.replace("women", "house") for m in mentions]
+    fair, unfair = np.array(scores(spark, with_swaps, mentions)), np.array(scores(spark, without, mentions))
+    assert (fair >= 0.7).sum() < (unfair >= 0.7).sum()
+    assert fair.mean() - np.mean(scores(spark, with_swaps, bare)) < 0.5 * (unfair.mean() - np.mean(scores(spark, without, bare)))
+    assert min(scores(spark, with_swaps, [f"{w} awfulword {w} women" for w in PLAIN])) > 0.6
+
+
+def test_odd_texts_and_tables(spark):
+    model = model_of(spark, labelled())
+    got = scores(spark, model, [None, "", " ... ", "the house " * 100_000, "the house", "the house"])
+    assert got[0] == got[1] == got[2] and got[3] == got[4] == got[5] and all(0 <= s <= 1 for s in got)
+    assert scores(spark, model, []) == []
+    nothing = model_of(spark, [])
+    assert scores(spark, nothing, ["a text"]) == [0.5]
+    assert scores(spark, model_of(spark, [(1, "a", 0), (2, "b", 0)]), ["a"])[0] < 0.1
+    rows = labelled() + [(None, "lost", 1), (9_000, None, 1)]
+    assert model_of(spark, rows)[1].keys() & {f for w in BAD for f in toxicity.features_of(w)}
+
+
+def test_exchange():
+    groups = [["women", "men"], ["a", "b", "c"]]
+    assert toxicity.exchanged({"women", "x", "c"}, groups) == {"men", "x", "a"}
+    assert toxicity.exchanged({"x"}, groups) is None
+
+
+def test_held_out_quality(spark):
+    got = registry.QUERIES["op9_counterfactual_toxicity"](spark, SF_DIR)
+    rows = got.join(table(spark, SF_DIR, "labels"), "doc_id").collect()
+    assert got.count() == table(spark, SF_DIR, "documents").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    held_out = [r for r in rows if r.held_out]
+    toxic, clean = [r for r in held_out if r.toxic], [r for r in held_out if not r.toxic]
+    assert sum(r.predicted for r in toxic) >= 0.8 * len(toxic)
+    assert sum(r.predicted for r in clean) <= 0.03 * len(clean)
