@@ -36,7 +36,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         _powers.clear()
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            steps = np.full(max(n, 3 * PART), base, np.uint64)
+            steps = np.full(max(n, 2 * PART + 2 * LENGTH), base, np.uint64)
             steps[0] = 1
             _powers.append(np.cumprod(steps, dtype=np.uint64))
     return _powers[0], _powers[1]

@@ -42,8 +42,8 @@ from panelloom.llm.registry import query, table
 from panelloom.llm.shared import flat_bytes, written
 from panelloom.llm.words import mix
 
-CHUNK = 16 << 20  # bytes of text
-HOT = 64  # occurrences in one chunk above which a gram's windows are dealt one by one
+CHUNK = 8 << 20  # bytes of text
+HOT = 32  # occurrences in one chunk above which a gram's windows are dealt one by one
 BUCKETS_PER_CHUNK = 2
 LEAST_BUCKETS = 64
 ROWS = 1 << 16  # suffixes laid out and sorted at once
