@@ -162,7 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, groups: list[list[str]] = GROUPS, pe
     for label, n in counts.items():
         share = F.when(F.col("label") == label, min(1.0, per_label / n)).otherwise(share)
     chosen = labels.where(spot < share)
-    sample = docs.select("doc_id", "text").join(chosen, "doc_id").select("label", "text")
+    # at most per_label rows of each label in expectation, whatever the corpus: small enough to send to every task
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
     rows = sample.mapInArrow(_featured(groups), "label int, real array<int>, swapped array<int>").collect()
     return train(
         np.array([r["label"] for r in rows], np.int64),
