@@ -53,11 +53,12 @@ def header_row(spark: SparkSession, sf_dir: str) -> DataFrame:
           where row_idx < 15 and len(list_filter(cells, lambda c: c is not null)) > 3), 0) as header_row
       from cells group by file, sheet
     ),
+    widths as (select file, sheet, max(len(cells)) as width from cells group by file, sheet),
     given as (
-      select file, sheet, unnest(cells) as cell, generate_subscripts(cells, 1) - 1 as pos
-      from cells join headers using (file, sheet) where row_idx = header_row
+      select file, sheet, cells, unnest(range(width)) as pos
+      from cells join headers using (file, sheet) join widths using (file, sheet) where row_idx = header_row
     ),
-    named as (select file, sheet, pos, coalesce(cell, 'Unnamed: ' || pos) as name from given)
+    named as (select file, sheet, pos, coalesce(cells[pos + 1], 'Unnamed: ' || pos) as name from given)
     select file, sheet, cast(pos as integer) as pos,
            case when row_number() over w = 1 then name else name || '.' || (row_number() over w - 1) end as name
     from named window w as (partition by file, sheet, name order by pos)""",
@@ -91,11 +92,12 @@ def norm_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "sheet_cells",
     f"""with {CELLS_SQL},
-    names as (
-      select file, sheet, unnest(cells) as cell, generate_subscripts(cells, 1) - 1 as pos from cells where row_idx = 0
+    widths as (select file, sheet, max(len(cells)) as width from cells group by file, sheet),
+    places as (
+      select file, sheet, cells, unnest(range(width)) as pos from cells join widths using (file, sheet) where row_idx = 0
     ),
     heads as (
-      select file, sheet, pos, coalesce(cell, 'Unnamed: ' || pos) as name from names
+      select file, sheet, pos, coalesce(cells[pos + 1], 'Unnamed: ' || pos) as name from places
     ),
     named as (
       select file, sheet, pos,
@@ -107,13 +109,13 @@ def norm_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
       from cells where row_idx > 0
     )
     select file, sheet, cast(row_idx as integer) as row_idx, cast(pos as integer) as pos, name, value
-    from body left join named using (file, sheet, pos) where name is not null and value is not null""",
+    from body left join named using (file, sheet, pos) where value is not null""",
 )
 def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every word below a document's first line, under the word that heads it."""
+    """Every word below a document's first line, under the word that heads it or its position."""
     cells = document_cells(spark, sf_dir)
     found = sheets.long_cells(cells, sheets.header_names(cells, 0))
-    return found.where(F.col("name").isNotNull() & F.col("value").isNotNull())
+    return found.where(F.col("value").isNotNull())
 
 
 @query(

@@ -36,13 +36,15 @@ newest as (
   select * from panel where quarter_date = (select max(quarter_date) from panel)
 ),
 compared as (
-  select * from newest where total_fee_pct + return_1yr is not null
+  select * from newest where total_fee_pct is not null and return_1yr is not null
 ),
 middle as (select median(total_fee_pct) as median_fee, median(return_1yr) as median_return from compared),
 points as (
-  select *, case (return_1yr >= median_return, total_fee_pct <= median_fee)
-              when (true, true) then 'best_value' when (true, false) then 'expensive_performer'
-              when (false, true) then 'cheap_underperformer' when (false, false) then 'worst_value' end as value_quadrant
+  select *, case
+              when return_1yr >= median_return and total_fee_pct <= median_fee then 'best_value'
+              when return_1yr >= median_return and total_fee_pct > median_fee then 'expensive_performer'
+              when return_1yr < median_return and total_fee_pct <= median_fee then 'cheap_underperformer'
+              when return_1yr < median_return and total_fee_pct > median_fee then 'worst_value' end as value_quadrant
   from compared, middle
 ),
 fee_vs_return as (
@@ -162,10 +164,9 @@ def fee_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panel where return_5yr is not null""",
 )
 def peer_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row with its quarter's number of rows; the counts combine early."""
-    rows = marts.with_five_year_return(panel(spark, sf_dir)).select(*KEY)
-    counts = rows.groupBy("quarter_date").agg(F.count("*").alias("peer_count"))
-    return rows.join(counts, "quarter_date")
+    """Every row with its quarter's number of rows, as the marts count them."""
+    rows = marts.with_five_year_return(panel(spark, sf_dir)).select(*KEY, "total_fee_pct")
+    return with_rankings(rows, [Ranking(("quarter_date",), "total_fee_pct", peers="peer_count")]).drop("total_fee_pct")
 
 
 @query(

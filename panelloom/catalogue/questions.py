@@ -22,7 +22,7 @@ COMPARED = ["Supplier#000000001", "Supplier#000000007"]
     order by return_5yr desc, abn, fund_name, total_fee_pct limit 1""",
 )
 def best_under_fee(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.best_under_fee(marts.fund_performance(panel(spark, sf_dir)), FEE_CEILING)
+    return questions.best_under_fee(questions.newest_performance(panel(spark, sf_dir)), FEE_CEILING)
 
 
 @query(
@@ -40,8 +40,19 @@ def top_losers(spark: SparkSession, sf_dir: str) -> DataFrame:
     where fund_name in ('{COMPARED[0]}', '{COMPARED[1]}') and quarter_date >= date '1998-01-01'""",
 )
 def compare_fees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    performance = marts.fund_performance(panel(spark, sf_dir))
-    return questions.compare_fees(performance, COMPARED, date(1998, 1, 1))
+    rows = marts.with_five_year_return(panel(spark, sf_dir))
+    return questions.compare_fees(rows, COMPARED, date(1998, 1, 1))
+
+
+@query(
+    "top20_overall",
+    f"""with {PANEL_SQL} select fund_name, abn, product_name, fund_type, return_5yr
+    from panel where quarter_date = (select max(quarter_date) from panel) and return_5yr is not null
+    order by return_5yr desc, abn, product_name limit 20""",
+)
+def top20_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = questions.top_overall(panel(spark, sf_dir))
+    return top.select("fund_name", "abn", "product_name", "fund_type", "return_5yr")
 
 
 @query(
@@ -83,6 +94,19 @@ def bounded_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selects.select(spark, BOUNDED)
 
 
+@query(
+    "bounded_answer",
+    f"""with {FLOW_SQL}, every as ({BOUNDED})
+    select *, 'fund_type,fund_name,quarter_date,member_net_change' as column_names,
+      cast(least((select count(*) from every), 200) as integer) as row_count,
+      (select count(*) from every) > 200 as truncated
+    from (select * from ({BOUNDED} limit 200))""",
+)
+def bounded_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same question with its envelope, which tells whether rows were left."""
+    selects.register_views({"member_flow": marts.member_flow(panel(spark, sf_dir))})
+    found = selects.answer(spark, BOUNDED)
+    return selects.answer_frame(spark, found, selects.reading_query(spark, BOUNDED).schema)
 
 def catalog_sql(name: str, columns: list[str]) -> list[str]:
     types = {"fund_name": "string", "fund_type": "string", "value_quadrant": "string", "quarter_date": "date"}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.catalogue import query
-from panelloom.catalogue.marts import FLOW_SQL, MARTS_SQL
+from panelloom.catalogue.marts import FLOW_SQL, GROWTH_SQL
 from panelloom.plans import marts
 from panelloom.plans.weekly import load_all, weekly_run
 from panelloom.session import fresh_path
@@ -96,8 +96,9 @@ def load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mart_table", f"with {FLOW_SQL} select * from member_flow")
 def mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart as the run stores it: laid out by quarter, read in its own column order."""
     name = f"{own_schema(spark)}.member_flow"
-    tables.replace_table(marts.member_flow(panel(spark, sf_dir)), name)
+    tables.replace_partitioned(marts.member_flow(panel(spark, sf_dir)), name, "quarter_date")
     return spark.table(name)
 
 
@@ -146,14 +147,42 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "full_run",
-    f"""with {MARTS_SQL}
-    select 'fund_performance' as table_name, count(*) as n_rows from fund_performance
-    union all select 'fee_vs_return', count(*) from fee_vs_return
-    union all select 'member_flow', count(*) from member_flow""",
+    f"""with {POINTS_SQL},
+    grain as (
+      select p.abn, quarter_date, fund_name, fund_type, coalesce(sum(cents), 0) as cents, sum(qty) as members
+      from points p join funds f on f.abn = p.abn group by all
+    ),
+    lagged as (
+      select *, lag(cents) over w as cents_before, lag(members) over w as members_before
+      from grain window w as (partition by abn order by quarter_date)
+    )
+    select fund_name, cast(abn as varchar) as abn, fund_type, quarter_date, cast(members as bigint) as member_accounts,
+      cast(cents as double) / 100 as net_assets_m, cast(members - members_before as bigint) as member_net_change,
+      cast({GROWTH_SQL.format(now='members', before='members_before')} as double) as member_growth_pct,
+      cast(cents - cents_before as double) / 100 as asset_net_change_m,
+      cast(sum(members - members_before) over (
+        partition by abn order by quarter_date rows between 3 preceding and current row) as bigint)
+        as rolling_annual_member_change
+    from lagged where members_before is not null""",
 )
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing to checked marts under one run date; rows per mart."""
+    """Landing to checked marts under one run date; the flow mart read back from its table."""
     root, raw, mart = fresh_path(spark, "archive"), own_schema(spark), own_schema(spark)
-    run = weekly_run(spark, landed(spark, sf_dir), root, FIRST, LOADED_AT, raw, mart, REGIONS)
-    rows = [(name.split(".")[1], n) for name, n in run.rows.items() if name.startswith(f"{mart}.")]
-    return spark.createDataFrame(rows, "table_name string, n_rows bigint")
+    weekly_run(spark, landed(spark, sf_dir), root, FIRST, LOADED_AT, raw, mart, REGIONS)
+    amounts = ["net_assets_m", "asset_net_change_m", "member_growth_pct"]
+    return spark.table(f"{mart}.member_flow").withColumns({c: F.col(c).cast("double") for c in amounts})
+
+
+@query(
+    "load_rows",
+    """select cast(c_custkey as varchar) as "Customer key", cast(null as varchar) as "Unnamed: 1",
+      cast(c_acctbal as varchar) as "Account balance (AUD)", c_mktsegment as "Market segment",
+      lower(c_mktsegment) as "Market segment.1", date '2026-01-05' as _run_date from customer""",
+)
+def load_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a raw table that was loaded from a snapshot."""
+    root, schema = fresh_path(spark, "archive"), own_schema(spark)
+    books = customer_workbook(spark, sf_dir).withColumn("dataset", F.lit("fund_quarterly"))
+    tables.archive(books, root, FIRST)
+    load_all(spark, root, FIRST, LOADED_AT, schema, ["fund_quarterly"])
+    return spark.table(f"{schema}.fund_quarterly").drop("_loaded_at")

@@ -44,6 +44,11 @@ def sum_per_key(df: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
     return drop_null_key(df, *keys).groupBy(*keys).agg(F.coalesce(F.sum(amount), F.lit(0)).alias(amount))
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows met, each as one JSON text, to go with the shape."""
+    return df.limit(n).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
+
+
 def shape(df: DataFrame, name: str) -> DataFrame:
     """One row with the table's name and its numbers of rows and columns."""
     return df.agg(

@@ -98,8 +98,7 @@ def _last_rows_before(rows: DataFrame, by: list[str], order: list[str], n: int)
     """For each piece of a group cut in several: the ``n`` rows before it.
 
     A group in several chunks crosses a chunk's edge, so there are fewer such
-    groups than chunks and their keys are joined back by broadcast. Each piece
-    hands on at most ``n`` rows.
+    groups than chunks. Each piece hands on at most ``n`` rows.
     """
     columns = [c for c in rows.columns if c != CHUNK]
     cut_groups = (
@@ -111,7 +110,7 @@ def _last_rows_before(rows: DataFrame, by: list[str], order: list[str], n: int)
     same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]
     backwards = Window.partitionBy(*by, CHUNK).orderBy(*[F.desc(c) for c in order])
     tails = (
-        rows.join(F.broadcast(cut_groups), same, "left_semi")
+        rows.join(cut_groups, same, "left_semi")
         .withColumn("_back", F.row_number().over(backwards))
         .where(F.col("_back") <= n)
         .groupBy(*by, CHUNK)

@@ -32,9 +32,6 @@ class Ranking:
     percent_rank: str | None = None
     peers: str | None = None
 
-    def key(self) -> Column:
-        return -F.col(self.value) if self.descending else F.col(self.value)
-
     def outputs(self) -> list[Column]:
         rank = F.col("_before") + 1
         share = F.when(F.col("_total") == 1, F.lit(0.0)).otherwise(F.col("_before") / (F.col("_total") - 1))
@@ -50,16 +47,20 @@ def with_rankings(df: DataFrame, rankings: Sequence[Ranking], chunks: int | None
     """
     groups = sorted({c for r in rankings for c in r.by})
     null = F.lit(None)
+    # a key column for each type and direction, so that values are ordered as they are, whatever their type
+    kinds = list(dict.fromkeys((df.schema[r.value].dataType, r.descending) for r in rankings))
+    place = lambda r: kinds.index((df.schema[r.value].dataType, r.descending))
+    keys = [f"_key_{k}" for k in range(len(kinds))]
     branches = [
         F.struct(
             F.lit(i).alias("_ranking"),
             *[(F.col(c) if c in r.by else null.cast(df.schema[c].dataType)).alias(c) for c in groups],
-            r.key().alias("_key"),
+            *[(F.col(r.value) if place(r) == k else null.cast(kinds[k][0])).alias(key) for k, key in enumerate(keys)],
         )
         for i, r in enumerate(rankings)
     ]
-    counted = df.select(F.inline(F.array(*branches))).groupBy("_ranking", *groups, "_key").agg(F.count("*").alias("_n"))
-    order = [F.asc_nulls_last("_key")]
+    counted = df.select(F.inline(F.array(*branches))).groupBy("_ranking", *groups, *keys).agg(F.count("*").alias("_n"))
+    order = [F.desc_nulls_last(key) if kinds[k][1] else F.asc_nulls_last(key) for k, key in enumerate(keys)]
     positions = running_total(counted, ["_ranking", *groups], order, "_n", "_before", "_total", chunks)
 
     out = df
@@ -70,9 +71,11 @@ def with_rankings(df: DataFrame, rankings: Sequence[Ranking], chunks: int | None
         found = None
         for i in alike:
             r = rankings[i]
-            one = positions.where(F.col("_ranking") == i).select(*r.by, "_key", *r.outputs())
+            one = positions.where(F.col("_ranking") == i).select(
+                *r.by, F.col(keys[place(r)]).alias("_key"), *r.outputs()
+            )
             found = one if found is None else _join_same(found, one, [(c, c) for c in (*r.by, "_key")], "inner")
-        keyed = out.withColumn("_key", widest.key())
+        keyed = out.withColumn("_key", F.col(widest.value))
         out = _join_same(keyed, found, [(c, c) for c in (*widest.by, "_key")], "left").drop("_key")
     return out
 
@@ -113,7 +116,9 @@ def exact_medians(df: DataFrame, columns: dict[str, str], chunks: int | None = N
 
     return middle.agg(
         *[
-            (of(c, "_low") + (of(c, "_high") - of(c, "_low")) * of(c, "_part")).alias(out)
+            F.when(of(c, "_low") == of(c, "_high"), of(c, "_low"))  # also where both are infinite
+            .otherwise(of(c, "_low") + (of(c, "_high") - of(c, "_low")) * of(c, "_part"))
+            .alias(out)
             for c, out in columns.items()
         ]
     )

@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from panelloom import fixed_values as fixed
 from panelloom.functions.values import date_key, text_key
 from panelloom.operators.frames import drop_null_key, project_present, rename_present, sum_per_key
-from panelloom.sources.sheets import clean_names, distinct_names, header_names, require_names, sheet_table
+from panelloom.sources.sheets import (
+    clean_names,
+    distinct_names,
+    header_names,
+    require_names,
+    require_sheets,
+    sheet_table,
+)
 
 KEYS = ["quarter_year", "abn"]
 AMOUNT_TYPE = "decimal(28,6)"
@@ -68,8 +75,10 @@ def merge_sheets(cells: DataFrame, strict: bool = True) -> DataFrame:
     """Product rows with their fund's assets and members of the quarter.
 
     Both totals have one row per key, so product rows are not multiplied. A
-    fund missing from a sheet gets null. The joins stay unhinted: the engine
-    broadcasts a total that is small and splits hot keys of the product side.
+    fund missing from a sheet gets null; a workbook without one of the sheets
+    raises. The joins stay unhinted: the engine broadcasts a total that is
+    small and splits hot keys of the product side.
     """
+    require_sheets(cells, [fixed.RETURNS_SHEET, fixed.ASSETS_SHEET, fixed.MEMBERS_SHEET])
     products = returns_and_fees(cells, strict)
     return products.join(assets(cells, strict), KEYS, "left").join(members(cells, strict), KEYS, "left")

@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.operators.quadrant import latest_rows, value_quadrants
+from panelloom.plans.marts import fund_performance, with_five_year_return
 
 
 def best_under_fee(performance: DataFrame, ceiling: float, n: int = 1) -> DataFrame:
-    """The newest quarter's best five-year return among fees below a ceiling."""
+    """The newest quarter's best five-year return among fees below a ceiling.
+
+    ``performance`` is the stored mart, or that of the newest quarter alone
+    (``newest_performance``).
+    """
     cheap = latest_rows(performance, "quarter_date").where(F.col("total_fee_pct") < ceiling)
     return cheap.orderBy(F.desc("return_5yr"), "abn", "fund_name", "total_fee_pct").limit(n)
 
@@ -21,10 +26,23 @@ def top_losers(flow: DataFrame, n: int = 3) -> DataFrame:
     return latest_rows(flow, "quarter_date").orderBy("member_net_change", "abn").limit(n)
 
 
-def compare_fees(performance: DataFrame, names: list[str], since: date) -> DataFrame:
-    """The fee series of named funds from a date on."""
-    rows = performance.where(F.col("fund_name").isin(names) & (F.col("quarter_date") >= F.lit(since)))
-    return rows.select("fund_name", "quarter_date", "total_fee_pct")
+def newest_performance(panel: DataFrame) -> DataFrame:
+    """The newest quarter of the performance mart. Ranks are per quarter, so no other one is ranked."""
+    return fund_performance(latest_rows(with_five_year_return(panel), "quarter_date"))
+
+
+def compare_fees(rows: DataFrame, names: list[str], since: date) -> DataFrame:
+    """The fee series of named funds from a date on, off the performance mart or the panel's rows that it has."""
+    found = rows.where(F.col("fund_name").isin(names) & (F.col("quarter_date") >= F.lit(since)))
+    return found.select("fund_name", "quarter_date", "total_fee_pct")
+
+
+def top_overall(panel: DataFrame, n: int = 20, types: list[str] | None = None) -> DataFrame:
+    """The newest quarter's ``n`` best five-year returns, of all fund types or of some."""
+    rows = latest_rows(panel, "quarter_date").where(F.col("return_5yr").isNotNull())
+    if types:
+        rows = rows.where(F.col("fund_type").isin(types))
+    return rows.orderBy(F.desc("return_5yr"), "abn", "product_name").limit(n)
 
 
 def top_by_type(panel: DataFrame, n: int = 20, types: list[str] | None = None) -> DataFrame:

@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Collection
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelloom.fixed_values import RESULT_CAP
+from panelloom.plans.marts import MARTS
+
+# Relations a question may name: the marts, as views or as tables of their schema.
+READABLE = (*MARTS, *(f"mart.{name}" for name in MARTS))
+REFLECTING = re.compile(r"\b(reflect|try_reflect|java_method)\s*\(", re.IGNORECASE)
 
 
 class Refused(ValueError):
-    """The text is not a reading query."""
+    """The text is not a query that only reads what may be read."""
 
 
 @dataclass(frozen=True)
@@ -33,12 +42,23 @@ def register_views(marts: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def reading_query(spark: SparkSession, sql: str) -> DataFrame:
-    """The query as a frame, once it is known to be one that only reads.
+def _relations(spark: SparkSession, sql: str) -> set[str]:
+    """The relations the parsed text names, but those it defines itself; functions as tables are refused."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+    if re.search(r"UnresolvedTableValuedFunction|UnresolvedIdentifier|UnresolvedInlineTable|RelationTimeTravel", plan):
+        raise Refused("only named relations may be read")
+    own = {name.strip().strip("`").lower() for names in re.findall(r"CTE \[([^\]]*)\]", plan) for name in names.split(",")}
+    named = re.findall(r"'UnresolvedRelation \[([^\]]*)\]", plan)
+    return {".".join(part.strip() for part in name.split(",")).lower() for name in named} - own
+
+
+def reading_query(spark: SparkSession, sql: str, readable: Collection[str] = READABLE) -> DataFrame:
+    """The query as a frame, once it is known to be one that only reads ``readable`` relations.
 
     The first word is not enough, as WITH can also introduce an INSERT. Only a
-    single query can stand in parentheses, so the text is analysed there first,
-    which runs nothing.
+    single query can stand in parentheses, so the text is parsed there first,
+    which runs nothing. Files by path, other tables, functions that make rows
+    and functions that call into the JVM are refused.
     """
     text = sql.strip().rstrip(";")
     words = text.split(maxsplit=1)
@@ -46,28 +66,54 @@ def reading_query(spark: SparkSession, sql: str) -> DataFrame:
         raise Refused("the query must not be empty")
     if words[0].lower() not in ("select", "with"):
         raise Refused("only SELECT queries are run")
+    if REFLECTING.search(text.replace("`", "")):
+        raise Refused("calls into the JVM are not run")
     try:
-        spark.sql(f"SELECT * FROM (\n{text}\n)")
-    except ParseException as error:
+        others = _relations(spark, f"SELECT * FROM (\n{text}\n)") - {name.lower() for name in readable}
+    except (ParseException, Py4JJavaError) as error:
         raise Refused(f"not a single reading query: {error}") from error
+    if others:
+        raise Refused(f"not readable: {sorted(others)}")
     return spark.sql(text)
 
 
-def select(spark: SparkSession, sql: str, cap: int = RESULT_CAP) -> DataFrame:
+def select(spark: SparkSession, sql: str, cap: int = RESULT_CAP, readable: Collection[str] = READABLE) -> DataFrame:
     """The query's first ``cap`` rows, still to be run."""
-    return reading_query(spark, sql).limit(cap)
+    return reading_query(spark, sql, readable).limit(cap)
 
 
-def answer(spark: SparkSession, sql: str, question: str = "", cap: int = RESULT_CAP) -> Answer:
+def answer(
+    spark: SparkSession, sql: str, question: str = "", cap: int = RESULT_CAP, readable: Collection[str] = READABLE
+) -> Answer:
     """Run a query and return at most ``cap`` rows; one more tells of the rest."""
-    df = reading_query(spark, sql)
+    df = reading_query(spark, sql, readable)
     rows = [row.asDict() for row in df.limit(cap + 1).collect()]
     kept = rows[:cap]
     return Answer(question, sql, df.columns, kept, len(kept), len(rows) > cap)
 
 
+def answer_frame(spark: SparkSession, found: Answer, schema) -> DataFrame:
+    """An answer as rows: its results, next to the columns, the number of rows and whether more were left."""
+    rows = spark.createDataFrame([tuple(r[c] for c in found.columns) for r in found.results], schema)
+    return rows.select(
+        "*",
+        F.lit(",".join(found.columns)).alias("column_names"),
+        F.lit(found.row_count).alias("row_count"),
+        F.lit(found.truncated).alias("truncated"),
+    )
+
+
+def catalog_columns(schemas: dict[str, T.StructType]) -> list[tuple[str, str, str, int]]:
+    """What may be queried: table, column, type and position, off the schemas alone."""
+    return [
+        (name, field.name, field.dataType.simpleString(), position)
+        for name, schema in schemas.items()
+        for position, field in enumerate(schema.fields, start=1)
+    ]
+
+
 def catalog(marts: dict[str, DataFrame]) -> DataFrame:
-    """What may be queried: names and types off the schemas, and how many values each holds."""
+    """The catalog with how many values each column holds, which reads the marts."""
 
     def described(name: str, df: DataFrame) -> DataFrame:
         columns = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -12,11 +13,14 @@ from panelloom.operators.checks import as_result, duplicates, gate, grain_confli
 from panelloom.operators.frames import with_audit
 from panelloom.plans.marts import MARTS
 from panelloom.plans.staging import staging
-from panelloom.session import write_through
-from panelloom.sinks.tables import archive, create_schema, replace_table
+from panelloom.session import scratch_scope, write_through
+from panelloom.sinks.tables import archive, create_schema, replace_partitioned, replace_table
 from panelloom.sources.registry import DATASETS
 from panelloom.sources.snapshots import read_snapshot
 
+PANEL = "product_quarterly"
+
+
 @dataclass
 class Run:
     """What a run wrote: folders, rows per table, and the checks' results."""
@@ -29,11 +33,16 @@ class Run:
 def load_all(
     spark: SparkSession, root: str, run_date: date, loaded_at: datetime, schema: str, keys: list[str] | None = None
 ) -> dict[str, int]:
-    """Replace the raw table of each registered data set from its snapshot."""
+    """Replace the raw table of each registered data set, or of ``keys``, from its snapshot.
+
+    All snapshots are found before the first table is replaced; one that was
+    never archived raises.
+    """
     rows = {}
-    for key in keys or DATASETS:
+    snapshots = {key: read_snapshot(spark, root, run_date, key) for key in (DATASETS if keys is None else keys)}
+    for key, snapshot in snapshots.items():
         dataset = DATASETS[key]
-        cells = read_snapshot(spark, root, run_date, key).drop("dataset", "run_date")
+        cells = snapshot.drop("dataset", "run_date")
         table = f"{schema}.{dataset.table}"
         rows[table] = replace_table(with_audit(dataset.reader(cells), loaded_at, run_date), table)
     return rows
@@ -48,12 +57,11 @@ def staging_checks(staged: DataFrame, fund_types: list[str]) -> DataFrame:
         row_count=(1, None),
     )
     grain = ["abn", "quarter_date"]
+    alike = ["member_accounts", "net_assets_m", "fund_name", "fund_type"]
     return report(
         rows,
         as_result(duplicates(staged, [*grain, "product_name"]), "staging", "abn, quarter_date, product_name", "unique"),
-        as_result(
-            grain_conflicts(staged, grain, ["member_accounts", "net_assets_m"]), "staging", "abn, quarter_date", "one_total"
-        ),
+        as_result(grain_conflicts(staged, grain, alike), "staging", "abn, quarter_date", "one_total"),
     )
 
 
@@ -65,6 +73,16 @@ def mart_checks(performance: DataFrame, value: DataFrame, flow: DataFrame) -> Da
     )
 
 
+def require_datasets(landed: DataFrame, left_out: Sequence[str]) -> list[str]:
+    """The data sets landed: all registered ones but those left out, and no others."""
+    found = landed.select("dataset").distinct().limit(len(DATASETS) + 2).collect()
+    keys = {row["dataset"] for row in found}
+    wanted = set(DATASETS) - set(left_out)
+    if keys != wanted:
+        raise ValueError(f"landed data sets are {sorted(map(str, keys))}, expected {sorted(wanted)}")
+    return sorted(keys)
+
+
 def weekly_run(
     spark: SparkSession,
     landed: DataFrame,
@@ -74,25 +92,34 @@ def weekly_run(
     raw_schema: str = "raw",
     mart_schema: str = "mart",
     fund_types: list[str] = fixed.FUND_TYPES,
+    left_out: Sequence[str] = (),
 ) -> Run:
     """One run under one date. A failing check raises after the marts are built.
 
-    The staged panel is written once, by quarter, and read by all marts and
-    checks; the marts are laid out by quarter, too, so that questions about
-    the newest quarter read nothing else. What
-    the run leaves, tables and the staging view, needs no scratch table.
+    Every registered data set must be landed, but those named in ``left_out``;
+    a null or unknown one raises. Nothing is replaced before that is known.
+    Without the product data set the marts stay as they are. The staged panel
+    is written once, by quarter, and read by all marts and checks; the marts
+    are laid out by quarter, too, so that questions about the newest quarter
+    read nothing else. Intermediate tables go at the end, also after a
+    failure; what the run leaves, tables and the staging view, needs none.
     """
-    run = Run()
-    run.archived = archive(landed, root, run_date)
-    create_schema(spark, raw_schema)
-    create_schema(spark, mart_schema)
-    landed_keys = [path.rsplit("=", 1)[1] for path in run.archived]
-    run.rows = load_all(spark, root, run_date, loaded_at, raw_schema, landed_keys)
-    raw = spark.table(f"{raw_schema}.{DATASETS['product_quarterly'].table}")
-    staging(raw).createOrReplaceTempView("staging")
+    with scratch_scope(spark):
+        keys = require_datasets(landed, left_out)
+        run = Run(archived=archive(landed, root, run_date))
+        create_schema(spark, raw_schema)
+        create_schema(spark, mart_schema)
+        run.rows = load_all(spark, root, run_date, loaded_at, raw_schema, keys)
+        if PANEL in keys:
+            _build_marts(spark, run, f"{raw_schema}.{DATASETS[PANEL].table}", mart_schema, fund_types)
+    return run
+
+
+def _build_marts(spark: SparkSession, run: Run, raw: str, mart_schema: str, fund_types: list[str]) -> None:
+    staging(spark.table(raw)).createOrReplaceTempView("staging")
     staged = write_through(spark.table("staging"), "staging", partition="quarter_date")
     for name, build in MARTS.items():
-        run.rows[f"{mart_schema}.{name}"] = replace_table(build(staged), f"{mart_schema}.{name}", "quarter_date")
+        table = f"{mart_schema}.{name}"
+        run.rows[table] = replace_partitioned(build(staged), table, "quarter_date")
     built = [spark.table(f"{mart_schema}.{name}") for name in MARTS]
     run.checks = gate(report(staging_checks(staged, fund_types), mart_checks(*built)))
-    return run

@@ -2,34 +2,47 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own_folders: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def scratch_folder(spark: SparkSession) -> str:
     """The application's folder inside the shared folder the cluster names.
 
     ``spark.checkpoint.dir`` decides. Only a local master, where driver and
-    executors are one machine, may fall back to a temporary folder.
+    executors are one machine, may fall back to the warehouse.
     """
     sc = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if shared:
-        return f"{shared.rstrip('/')}/panelloom-{sc.applicationId}"
-    if not sc.master.startswith("local"):
+    if not shared and not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if sc.applicationId not in _own_folders:
-        _own_folders[sc.applicationId] = tempfile.mkdtemp(prefix="panelloom-")
-    return _own_folders[sc.applicationId]
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{shared.rstrip('/')}/panelloom-{sc.applicationId}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the scratch folder that no earlier call has returned."""
-    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside the block when it ends, also by an error."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
 
 
 def write_through(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
@@ -51,5 +64,9 @@ def write_through(df: DataFrame, label: str, partition: str | None = None) -> Da
 
 def release_scratch(spark: SparkSession) -> None:
     """Delete the application's intermediate tables, once nothing reads them."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    _delete(spark, scratch_folder(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

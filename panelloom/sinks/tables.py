@@ -10,21 +10,21 @@ from pyspark.sql import functions as F
 
 from panelloom.session import write_through
 
-MAX_LISTED_PARTITIONS = 1_000
-
 
 def archive(cells: DataFrame, root: str, run_date: date) -> list[str]:
     """Keep landed rows under their run date; other dates are left alone.
 
     Loading a date again replaces only the data sets loaded. Rows are sorted
     inside each task, so that a reader of one sheet, or of header rows alone,
-    skips most of a file by its statistics. Returns the folders written, one
-    per data set.
+    skips most of a file by its statistics. A row without a data set raises.
+    Returns the folders written, one per data set.
     """
+    no_key = F.raise_error(F.lit("a landed row has no data set")).cast("string")
     folder = f"{root}/run_date={run_date.isoformat()}"
     keys = Observation("archived")
     (
         cells.drop("run_date")
+        .withColumn("dataset", F.coalesce("dataset", no_key))
         .observe(keys, F.collect_set("dataset").alias("datasets"))
         .sortWithinPartitions("dataset", "sheet", "row_idx")
         .write.mode("overwrite")
@@ -43,15 +43,28 @@ def create_schema(spark: SparkSession, schema: str, location: str | None = None)
 def replace_table(df: DataFrame, table: str, partition: str | None = None) -> int:
     """Replace a managed table in full; returns the rows written, counted on the way."""
     rows = Observation("replaced")
-    counted = df.observe(rows, F.count("*").alias("n"))
+    dealt = df.hint("rebalance", partition) if partition else df
+    # counted in the writing stage, after the shuffle, so that a retried map task does not count twice
+    writer = dealt.observe(rows, F.count("*").alias("n")).write
     if partition:
-        writer = counted.hint("rebalance", partition).write.partitionBy(partition)
-    else:
-        writer = counted.write
+        writer = writer.partitionBy(partition)
     writer.mode("overwrite").saveAsTable(table)
     return rows.get["n"]
 
 
+def replace_partitioned(df: DataFrame, table: str, partition: str) -> int:
+    """Replace a table laid out by a column, with the columns in ``df``'s order when it is read.
+
+    A partitioned table keeps its partition column last, so the rows are
+    stored in ``<table>_stored`` and ``table`` is a view of them.
+    """
+    spark, stored = df.sparkSession, f"{table}_stored"
+    n = replace_table(df, stored, partition)
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM {stored}")
+    return n
+
+
 def write_counted(df: DataFrame, path: str) -> int:
     """Overwrite a parquet folder; the rows are counted in the same job."""
     rows = Observation("written")
@@ -71,16 +84,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def _in_partitions_of(df: DataFrame, updates: DataFrame, partition: str) -> DataFrame:
-    """The rows of ``df`` in partitions that ``updates`` touches.
-
-    A short list of partitions becomes a literal filter, which prunes the scan;
-    a long one is joined.
-    """
+    """The rows of ``df`` in partitions that ``updates`` touches, the null one among them."""
     touched = updates.select(partition).distinct()
-    values = [row[0] for row in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if len(values) > MAX_LISTED_PARTITIONS:
-        return df.join(touched, partition, "left_semi")
-    return df.where(F.col(partition).isin(values))
+    named = df.join(touched.where(F.col(partition).isNotNull()), partition, "left_semi")
+    nulls = touched.where(F.col(partition).isNull()).agg(F.count("*")).scalar()
+    return named.unionByName(df.where(F.col(partition).isNull() & (nulls > 0)))
+
+
+def _table_like(spark: SparkSession, updates: DataFrame, path: str, partition: str) -> DataFrame:
+    """The table at ``path`` with its own schema, whose columns must be those of ``updates``."""
+    own = spark.read.parquet(path).schema
+    kinds = {f.name: f.dataType for f in updates.schema.fields}
+    have = {f.name: kinds.get(partition) if f.name == partition else f.dataType for f in own.fields}
+    if have != kinds:
+        raise ValueError(f"the table has columns {have}, the updates have {kinds}")
+    return spark.read.schema(updates.schema).parquet(path)
 
 
 def upsert(
@@ -91,13 +109,15 @@ def upsert(
     Old and new rows of the touched partitions are merged, the latest per key
     kept, and only those partitions replaced; applying the same updates twice
     changes nothing. The merged rows are written aside first, because a table
-    must not be overwritten while it is read. ``path`` must exist.
+    must not be overwritten while it is read; if the last write fails, running
+    the same upsert again completes it, as the updates are merged into whatever
+    was replaced already. ``path`` must exist and have the updates' columns.
 
     Rebalancing gathers a partition's rows in few files and splits a large one.
     """
     if partition not in keys:
         raise ValueError(f"partition column {partition!r} must belong to the key {list(keys)}")
-    old = _in_partitions_of(spark.read.schema(updates.schema).parquet(path), updates, partition)
+    old = _in_partitions_of(_table_like(spark, updates, path, partition), updates, partition)
     merged = latest_per_key(old.select(*updates.columns).unionByName(updates), keys, order)
     (
         write_through(merged, "merged")

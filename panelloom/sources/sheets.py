@@ -44,9 +44,20 @@ def require_data_sheets(chosen: DataFrame) -> None:
         raise ValueError(f"no data sheet in {missing.count()} file(s), among them {some}")
 
 
+def require_sheets(cells: DataFrame, names: Sequence[str]) -> None:
+    """Raise when a file lacks one of the sheets."""
+    wanted = F.array(*[F.lit(n) for n in names])
+    found = listed_sheets(cells).groupBy("file").agg(F.collect_set("sheet").alias("sheets"))
+    lacking = found.select("file", F.array_except(wanted, F.col("sheets")).alias("lacks")).where(F.size("lacks") > 0)
+    for row in lacking.orderBy("file").limit(1).collect():
+        raise ValueError(f"{row['file']!r} has no sheet {row['lacks']}")
+
+
 def on_chosen_sheet(cells: DataFrame) -> DataFrame:
-    """The rows of each file's chosen sheet."""
-    return cells.join(chosen_sheets(cells), SHEET, "left_semi")
+    """The rows of each file's chosen sheet; raises for a file that has none."""
+    chosen = chosen_sheets(cells)
+    require_data_sheets(chosen)
+    return cells.join(chosen, SHEET, "left_semi")
 
 
 def filled(cells: Column) -> Column:
@@ -65,24 +76,48 @@ def header_names(cells: DataFrame, header: int | DataFrame) -> DataFrame:
     """Per sheet its ``header_row`` and the names in it, as the array ``names``.
 
     ``header`` is one offset for all sheets, or the result of ``header_rows``.
-    An empty header cell is named after its position and a repeated name gets
-    a running number, so names are unique in a sheet.
+    There is a name for every column of the sheet's widest row. A column
+    without a header cell is named after its position and a repeated name gets
+    a running number not yet taken, so names are unique in a sheet.
     """
+    widths = cells.groupBy(*SHEET).agg(F.max(F.size("cells")).alias("width"))
     if isinstance(header, int):
         rows = cells.where(F.col("row_idx") == header).withColumn("header_row", F.col("row_idx"))
     else:
         leading = cells.where(F.col("row_idx") < HEADER_SEARCH_ROWS)
         rows = leading.join(header, SHEET).where(F.col("row_idx") == F.col("header_row"))
-    cell = F.transform("cells", lambda text, i: F.coalesce(text, F.concat(F.lit("Unnamed: "), i.cast("string"))))
-    one = rows.select(*SHEET, "header_row", F.posexplode(cell).alias("pos", "cell"))
-    # A window partition is one header row. Names are sorted, so a repeated
-    # name's number is its distance from the first of its kind.
+    positions = F.sequence(F.lit(0), F.col("width") - 1)
+    cell = F.transform(
+        F.when(F.col("width") > 0, positions).otherwise(F.array().cast("array<int>")),
+        lambda i: F.coalesce(F.get("cells", i), F.concat(F.lit("Unnamed: "), i.cast("string"))),
+    )
+    return _with_unique_names(rows.join(widths, SHEET).select(*SHEET, "header_row", cell.alias("names")))
+
+
+def _with_unique_names(sheets: DataFrame) -> DataFrame:
+    """Repeated ``names`` of a sheet get running numbers that no other name has.
+
+    A window partition is one header row. Names are sorted, so the order of a
+    repeated name is its distance from the first of its kind; numbers that
+    other names end in already are passed over.
+    """
+    one = sheets.select(*SHEET, "header_row", F.posexplode_outer("names").alias("pos", "cell"))
     sheet = Window.partitionBy(*SHEET)
-    before = F.row_number().over(sheet.orderBy("cell", "pos")) - F.rank().over(sheet.orderBy("cell"))
-    unique = F.when(before == 0, F.col("cell")).otherwise(F.concat("cell", F.lit("."), before.cast("string")))
-    listed = F.array_sort(F.collect_list(F.struct("pos", "name")))
+    nth = F.row_number().over(sheet.orderBy("cell", "pos")) - F.rank().over(sheet.orderBy("cell"))
+    one = one.withColumn("nth", nth)
+    numbered = r"^(.*)\.([1-9][0-9]{0,8})$"
+    taken = (
+        one.where(F.col("cell").rlike(numbered))
+        .select(*SHEET, F.regexp_extract("cell", numbered, 1).alias("cell"), F.regexp_extract("cell", numbered, 2).cast("int").alias("number"))
+        .groupBy(*SHEET, "cell")
+        .agg(F.sort_array(F.collect_set("number")).alias("taken"))
+    )
+    none = F.array().cast("array<int>")
+    free = F.aggregate(F.coalesce("taken", none), F.col("nth"), lambda n, t: F.when(t <= n, n + 1).otherwise(n))
+    name = F.when(F.col("nth") == 0, F.col("cell")).otherwise(F.concat("cell", F.lit("."), free.cast("string")))
+    listed = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", name.alias("name")))))
     return (
-        one.withColumn("name", unique)
+        one.join(taken, [*SHEET, "cell"], "left")
         .groupBy(*SHEET)
         .agg(F.min("header_row").alias("header_row"), F.transform(listed, lambda x: x["name"]).alias("names"))
     )
@@ -91,10 +126,11 @@ def header_names(cells: DataFrame, header: int | DataFrame) -> DataFrame:
 def clean_names(names: DataFrame, rule=single_spaced) -> DataFrame:
     """Apply a rule for names to every name of every sheet.
 
-    The result, one row per sheet, is written once: it is read for the schema
-    and again for the positions of the columns.
+    Names that the rule makes equal are told apart by running numbers. The
+    result, one row per sheet, is written once: it is read for the schema and
+    again for the positions of the columns.
     """
-    return write_through(names.withColumn("names", F.transform("names", rule)), "names")
+    return write_through(_with_unique_names(names.withColumn("names", F.transform("names", rule))), "names")
 
 
 def is_data(units_row: bool = False) -> Column:
@@ -159,15 +195,15 @@ def require_names(names: DataFrame, columns: Sequence[str]) -> None:
 def distinct_names(names: DataFrame) -> list[str]:
     """All column names of the sheets, ordered by first position.
 
-    They become a schema, so they come to the driver; a sheet's own limit on
-    columns bounds them.
+    They become a schema, so they come to the driver. No sheet may have more
+    columns than a sheet can hold.
     """
+    wide = names.where(F.size("names") > MAX_COLUMNS).select(*SHEET)
+    for row in wide.limit(1).collect():
+        raise ValueError(f"sheet {row['sheet']!r} of {row['file']!r} has more than {MAX_COLUMNS} columns")
     one = names.select(F.posexplode("names").alias("pos", "name"))
     found = one.groupBy("name").agg(F.min("pos").alias("pos")).orderBy("pos", "name")
-    listed = [row["name"] for row in found.limit(MAX_COLUMNS + 1).collect()]
-    if len(listed) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} column names; load these files one by one")
-    return listed
+    return [row["name"] for row in found.collect()]
 
 
 def first_sheet_table(cells: DataFrame) -> DataFrame:

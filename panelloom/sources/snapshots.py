@@ -11,6 +11,11 @@ CELLS_SCHEMA = "file string, sheet string, sheet_pos int, row_idx int, cells arr
 
 
 def read_snapshot(spark: SparkSession, root: str, run_date: date, dataset: str | None = None) -> DataFrame:
-    """One run's landed rows; other dates and datasets are pruned unread."""
-    rows = spark.read.schema(CELLS_SCHEMA).parquet(root).where(F.col("run_date") == F.lit(run_date))
-    return rows.where(F.col("dataset") == dataset) if dataset else rows
+    """One run's landed rows; only the date's folder is listed and read.
+
+    A date, or a data set of a date, that was never archived raises.
+    """
+    folder = f"{root}/run_date={run_date.isoformat()}" + (f"/dataset={dataset}" if dataset else "")
+    rows = spark.read.schema(CELLS_SCHEMA).option("basePath", root).parquet(folder)
+    kept = rows.where(F.col("run_date") == F.lit(run_date))
+    return kept.where(F.col("dataset") == dataset) if dataset else kept

@@ -11,7 +11,7 @@ from panelloom.catalogue import ORACLES, QUERIES, load_catalogue
 
 duckdb = pytest.importorskip("duckdb")
 SF_DIR = "/root/testdata/sf0.001"
-TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "DATE": "date"}
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "DATE": "date", "BOOLEAN": "boolean"}
 
 load_catalogue()
 
