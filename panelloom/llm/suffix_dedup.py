@@ -25,7 +25,6 @@ candidates, and a wrong candidate is ruled out by the suffixes' bytes.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -216,15 +215,15 @@ def _answer_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _suffixes(chunk: _Chunk, at: np.ndarray, start: np.ndarray, stop: np.ndarray):
     """Rows of bytes: ``LENGTH`` for the text from ``at`` to ``stop``, then the text before ``at`` down to ``start``,
-    read backwards; zeros where there is less."""
+    read backwards. Where the text ahead is shorter, 0xFF fills up, which no UTF-8 text holds."""
     ahead, back = stop - at, at - start
     wide = np.lib.stride_tricks.sliding_window_view(chunk.padded, LENGTH + _BACK)
     around = wide[at]  # from _BACK bytes before the anchor on
     matrix = np.empty_like(around)
     matrix[:, :LENGTH] = around[:, _BACK:]
-    matrix[:, LENGTH:] = around[:, _BACK - 1 :: -1] if _BACK else around[:, :0]
+    matrix[:, LENGTH:] = around[:, _BACK - 1 :: -1]
     place = np.arange(LENGTH, dtype=np.uint8)
-    matrix[:, :LENGTH] *= place < ahead.astype(np.uint8)[:, None]
+    matrix[:, :LENGTH] |= np.where(place < ahead.astype(np.uint8)[:, None], np.uint8(0), np.uint8(255))
     matrix[:, LENGTH:] *= place[:_BACK] < back.astype(np.uint8)[:, None]
     return matrix, ahead, back
 

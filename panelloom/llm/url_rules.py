@@ -10,8 +10,6 @@ one of its tokens leads to, and the other tokens are then checked.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
