@@ -12,6 +12,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from panelloom.llm.words import mix
+
 LENGTH, GRAM = 50, 16
 PART = 1 << 20
 _U = np.uint64
@@ -92,7 +94,8 @@ def _part(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     some = whole[first]
     first, last = first[some], last[some]
     at = (low[first] & _PLACE).astype(np.int64)
-    return at, first, last, np.searchsorted(starts, first, "right") - 1, grams[at]
+    # smallest values crowd at the low end; mixed again, they are spread evenly over buckets
+    return at, first, last, np.searchsorted(starts, first, "right") - 1, mix(grams[at])
 
 
 def find(data: np.ndarray, starts: np.ndarray) -> Anchors:
