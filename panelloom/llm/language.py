@@ -23,7 +23,7 @@ from panelloom.llm.registry import query, table
 
 DOCS_PER_LANGUAGE = 4_000  # training documents a language, at most in expectation; the bound of the fit
 PIECE = 80  # bytes taken from each, at a place that its doc_id decides
-DICTIONARIES = 4
+DICTIONARIES = 8
 LEVEL = 6
 CLOSE = 12  # bytes of margin below which further dictionaries are asked
 REJECT = 1  # bytes of total margin below which a text is rejected
