@@ -39,7 +39,6 @@ from panelloom.llm import anchors, loser_tree
 from panelloom.llm.anchors import GRAM, LENGTH
 from panelloom.llm.registry import query, table
 from panelloom.llm.shared import flat_bytes, written
-from panelloom.llm.words import mix
 
 CHUNK = 8 << 20  # bytes of text
 HOT = 32  # occurrences in one chunk above which a gram's windows are dealt one by one
@@ -265,9 +264,11 @@ def _deal_suffixes(buckets: int, hot: int):
                 size = a.last[often] - a.first[often] + 1
                 which = np.repeat(often, size)
                 window = a.first[which] + np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
-                for lo in range(0, len(which), ROWS):
-                    w, own = window[lo : lo + ROWS], which[lo : lo + ROWS]
-                    rows += _runs(chunk, number, own, w, w, w + LENGTH, spans, None, buckets)
+                key = _bucket(_window_hashes(chunk.data, window), buckets)
+                part = key * -(-len(which) // ROWS) // buckets
+                for p in np.unique(part):
+                    w, own, k = window[part == p], which[part == p], key[part == p]
+                    rows += _runs(chunk, number, own, w, w, w + LENGTH, spans, buckets + k)
                 if spans:
                     text, start, stop = (np.concatenate(x) for x in zip(*spans))
                     rows.append((-1 - number, number, _packed(*_joined(text, start, stop))))
@@ -300,12 +301,11 @@ def _joined(text: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.n
     return text[begin], start[begin], np.maximum.reduceat(stop, begin)
 
 
-def _runs(chunk, number, own, at, start, stop, spans, key, windows_from=0) -> Iterator[tuple[int, int, bytes]]:
-    """Sorted, front-coded runs of suffixes, one a bucket; what the chunk itself covers goes to ``spans``.
+def _runs(chunk, number, own, at, start, stop, spans, key) -> Iterator[tuple[int, int, bytes]]:
+    """Sorted, front-coded runs of suffixes, one for each bucket in ``key``; what the chunk itself covers goes to ``spans``.
 
     Suffixes of the same bytes and the same anchor place are one; those of
-    documents above the smallest are covered and not sent. Without ``key``
-    the bucket is ``windows_from`` and more, by the hash of the bytes.
+    documents above the smallest are covered and not sent.
     """
     a = chunk.anchors
     matrix, ahead, back = _suffixes(chunk, at, start, stop)
@@ -330,10 +330,7 @@ def _runs(chunk, number, own, at, start, stop, spans, key, windows_from=0) -> It
         spans.append((text, start[c] - chunk.starts[text], stop[c] - chunk.starts[text]))
     keep = ~covered
     order, m, n = order[keep], m[keep], n[keep]
-    if key is None:
-        bucket = windows_from + (_row_hash(m[:, :LENGTH]) % _U(windows_from)).astype(np.int64)
-    else:
-        bucket = key[order]
+    bucket = key[order]
     deal = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[deal])) + 1
     for part in np.split(deal, cuts):
@@ -353,13 +350,13 @@ def _runs(chunk, number, own, at, start, stop, spans, key, windows_from=0) -> It
         )
 
 
-def _row_hash(rows: np.ndarray) -> np.ndarray:
-    """A hash of each row's bytes."""
-    words = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
-    words[:, : rows.shape[1]] = rows
-    out = np.zeros(len(rows), np.uint64)
-    for column in words.view(np.uint64).T:
-        out = mix(out ^ column)
+def _window_hashes(data: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """A hash of the ``LENGTH`` bytes from each place of ``window`` on."""
+    out = np.zeros(len(window), np.uint64)
+    part = window >> 20
+    for p in np.unique(part):
+        mine, low = part == p, int(p) << 20
+        out[mine] = anchors.rolling(data[low : low + (1 << 20) + LENGTH], LENGTH)[window[mine] - low]
     return out
 
 
