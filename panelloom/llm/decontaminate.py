@@ -190,14 +190,15 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     found = found.select(F.col("doc_id").alias("hit_id"), "text_key", "runs").dropDuplicates(["hit_id", "text_key"])
     rows = docs.select(F.struct("*").alias("row"))
     text = F.col("row.text")
-    words = F.regexp_extract_all(text, F.lit(ANY_CASE_WORD), F.lit(0))
-    gaps = F.split(text, ANY_CASE_WORD)
+    # gap i stands before word i; both lists are made once and gone through together
+    words = F.concat(F.array(F.lit("")), F.regexp_extract_all(text, F.lit(ANY_CASE_WORD), F.lit(0)))
+    pairs = F.arrays_zip(words.alias("word"), F.split(text, ANY_CASE_WORD).alias("gap"))
 
-    def part(word: Column, i: Column) -> Column:
-        hit = F.exists("runs", lambda r: (i >= r["start"]) & (i < r["stop"]))
-        return F.when(hit, "").otherwise(F.concat(word, F.get(gaps, i + 1)))
+    def part(pair: Column, i: Column) -> Column:
+        hit = F.exists("runs", lambda r: (i > r["start"]) & (i <= r["stop"]))
+        return F.when(hit, "").otherwise(F.concat(pair["word"], pair["gap"]))
 
-    clean = F.concat(F.get(gaps, F.lit(0)), F.array_join(F.transform(words, part), ""))
+    clean = F.array_join(F.transform(pairs, part), "")
     same = F.col("row.doc_id").eqNullSafe(found.hit_id) & (F.xxhash64(text) == found.text_key)
     new = F.when(F.col("runs").isNull(), text).otherwise(clean).alias("text")
     return rows.join(found, same, "left").select(*[new if c == "text" else F.col(f"row.`{c}`") for c in names])
