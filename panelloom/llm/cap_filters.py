@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from panelloom.llm.graph import components
 from panelloom.llm.registry import query, table
-from panelloom.llm.shared import written
+from panelloom.llm.shared import trimmed, written
 
 COSINE = 0.98
 TABLES, DEPTH = 2, 0.25
@@ -90,7 +90,7 @@ def _decode(words: int):
                 [*batch.columns, lists], names=[*batch.schema.names, "directions"]
             )
 
-    return run
+    return trimmed(run)
 
 
 def _verify(cosine: float):
@@ -158,7 +158,7 @@ def _verify(cosine: float):
         if rest is not None:
             yield from groups(rest)
 
-    return run
+    return trimmed(run)
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:

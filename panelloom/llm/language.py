@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelloom.llm.registry import query, table
+from panelloom.llm.shared import trimmed
 
 DOCS_PER_LANGUAGE = 4_000  # training documents a language, at most in expectation; the bound of the fit
 PIECE = 80  # bytes taken from each, at a place that its doc_id decides
@@ -122,7 +123,7 @@ def _judged(model: Model):
                 names=[*batch.schema.names, "lang_pred", "score", "margin"],
             )
 
-    return run
+    return trimmed(run)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import Window
 from panelloom.llm import words
 from panelloom.llm.graph import components
 from panelloom.llm.registry import query, table
-from panelloom.llm.shared import binary_array, flat_bytes, spans_of_rows, written
+from panelloom.llm.shared import binary_array, flat_bytes, spans_of_rows, trimmed, written
 
 BANDS, ROWS = 40, 5
 SAMPLES, BITS = 1024, 2048  # of an Odd sketch
@@ -106,7 +106,7 @@ def _fingerprints(width: int):
                     names=["doc_id", "text_key", "n_shingles", "digest", "bands"],
                 )
 
-    return run
+    return trimmed(run)
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, object]]:
@@ -159,7 +159,7 @@ def _sketches(width: int):
                     names=["node", "n_shingles", "sketch", "text"],
                 )
 
-    return run
+    return trimmed(run)
 
 
 def _pairs(part: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -230,7 +230,7 @@ def _compared(threshold: int, best_of: str | None):
                 names=["u", "v", "about"],
             )
 
-    return run
+    return trimmed(run)
 
 
 def _confirm(threshold: int, width: int):
@@ -250,7 +250,7 @@ def _confirm(threshold: int, width: int):
                     keep.append(100 * both >= threshold * (len(x) + len(y) - both))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return trimmed(run)
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 80, width: int = 4) -> DataFrame:

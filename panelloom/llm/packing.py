@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from panelloom.llm.registry import query, table
-from panelloom.llm.shared import written
+from panelloom.llm.shared import trimmed, written
 
 CAPACITY, END = 1024, 2
 SHARDS = 256  # parts in which pieces of one length are numbered
@@ -87,7 +87,7 @@ def _pieces(path: str, ranks: tuple[str, str] | None, capacity: int, end: int):
             if rows:
                 yield batch_of(rows)
 
-    return run
+    return trimmed(run)
 
 
 def token_pieces(

@@ -43,8 +43,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package; a cluster gets it with --py-files."""
+    """Let Python workers on this machine import the package, and keep the batches they get small.
+
+    A cluster gets the package with --py-files. Texts may be long, so a batch
+    has fewer rows than Spark's default of 10,000.
+    """
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def load_queries() -> None:

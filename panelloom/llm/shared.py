@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,28 @@ def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def trimmed(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for mapInArrow, giving freed memory back at the end of each partition.
+
+    Workers are used again by later stages; what an allocator keeps for itself
+    would add up beside the executor's heap.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string or binary column, and where each value starts; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from panelloom.llm import anchors, loser_tree
 from panelloom.llm.anchors import GRAM, LENGTH
 from panelloom.llm.registry import query, table
-from panelloom.llm.shared import flat_bytes, written
+from panelloom.llm.shared import flat_bytes, trimmed, written
 
 CHUNK = 8 << 20  # bytes of text
 HOT = 32  # occurrences in one chunk above which a gram's windows are dealt one by one
@@ -97,7 +97,7 @@ def _chunks(limit: int):
         if held:
             yield pa.RecordBatch.from_pydict({"chunk": [made], "docs": [blob(held)]})
 
-    return run
+    return trimmed(run)
 
 
 class _Chunk:
@@ -154,7 +154,7 @@ def _deal_grams(buckets: int, hot: int):
                     names=["bucket", "chunk", "n", "grams"],
                 )
 
-    return run
+    return trimmed(run)
 
 
 def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
@@ -186,6 +186,7 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[in
         yield now, held
 
 
+@trimmed
 def _answer_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for bucket, rows in _by_bucket(batches, "bucket"):
         grams, states = [], []
@@ -274,7 +275,7 @@ def _deal_suffixes(buckets: int, hot: int):
                     rows.append((-1 - number, number, _packed(*_joined(text, start, stop))))
                 yield _blob_rows(rows)
 
-    return run
+    return trimmed(run)
 
 
 def _blob_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -369,7 +370,7 @@ def _merge_runs(buckets: int):
             found = _covered(rows, bucket >= buckets)
             yield _blob_rows([(0, chunk, blob) for chunk, blob in found])
 
-    return run
+    return trimmed(run)
 
 
 def _covered(rows: list[dict], windows: bool) -> Iterator[tuple[int, bytes]]:
@@ -462,6 +463,7 @@ def _windows(runs, order, rows, group, shared, ahead, back, doc, at):
     return rows[where], start, start + LENGTH
 
 
+@trimmed
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pairs = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     for batch in batches:
@@ -529,6 +531,7 @@ def cut_repeats(docs: DataFrame, chunk_bytes: int = CHUNK, hot: int = HOT) -> Da
     return chunks.join(spans, "chunk", "left").mapInArrow(_cut, schema)
 
 
+@trimmed
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         text = [b.as_py().decode("utf-8", "ignore") for b in batch.column("kept")]

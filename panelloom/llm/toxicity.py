@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from panelloom.llm.language import crc_of_id
 from panelloom.llm.registry import query, table
+from panelloom.llm.shared import trimmed
 
 ROWS_PER_LABEL = 3_000  # labelled documents of each label in the fit, at most in expectation; the bound of the fit
 BITS = 22
@@ -88,7 +89,7 @@ def _featured(groups: list[list[str]]):
                 names=["label", "real", "swapped"],
             )
 
-    return run
+    return trimmed(run)
 
 
 class _Sparse:
@@ -195,7 +196,7 @@ def _scored(model: Model):
                 names=[*batch.schema.names, "score"],
             )
 
-    return run
+    return trimmed(run)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

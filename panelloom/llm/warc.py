@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.llm.registry import query, table
-from panelloom.llm.shared import written
+from panelloom.llm.shared import trimmed, written
 from panelloom.session import fresh_path
 
 REVISIT_FROM = 1000  # bytes of payload from which equal payloads are stored once
@@ -102,7 +102,7 @@ def _write(folder: str, limit: int):
                 names=["path", "bytes", "records"],
             )
 
-    return run
+    return trimmed(run)
 
 
 def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE) -> DataFrame:
@@ -283,6 +283,7 @@ def salvage(file, size: int) -> Iterator[dict]:
         yield {"start": gap, "stop": size, "problem": why}
 
 
+@trimmed
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [
