@@ -15,7 +15,7 @@ import numpy as np
 from panelloom.llm.words import mix
 
 LENGTH, GRAM = 50, 16
-PART = 1 << 20
+PART = 1 << 18
 _U = np.uint64
 _PLACE = _U((1 << 22) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1

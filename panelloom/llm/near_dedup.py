@@ -40,7 +40,7 @@ SLACK = 0.07  # estimates this far under the threshold are still confirmed; five
 BLOCK = 512  # nodes of a bucket that meet in one task
 PARTNERS = 4  # confirmed for a node in round one
 SMALL = 16  # groups up to which pairs are formed for many groups at once
-PART = 1 << 20
+PART = 1 << 18
 
 _RNG = np.random.default_rng(41)
 _TIMES = _RNG.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)

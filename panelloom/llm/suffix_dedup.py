@@ -354,10 +354,10 @@ def _runs(chunk, number, own, at, start, stop, spans, key) -> Iterator[tuple[int
 def _window_hashes(data: np.ndarray, window: np.ndarray) -> np.ndarray:
     """A hash of the ``LENGTH`` bytes from each place of ``window`` on."""
     out = np.zeros(len(window), np.uint64)
-    part = window >> 20
+    part = window // anchors.PART
     for p in np.unique(part):
-        mine, low = part == p, int(p) << 20
-        out[mine] = anchors.rolling(data[low : low + (1 << 20) + LENGTH], LENGTH)[window[mine] - low]
+        mine, low = part == p, int(p) * anchors.PART
+        out[mine] = anchors.rolling(data[low : low + anchors.PART + LENGTH], LENGTH)[window[mine] - low]
     return out
 
 

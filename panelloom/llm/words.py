@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-PART = 1 << 20  # bytes hashed at once; longer texts are hashed in parts cut between words
+PART = 1 << 18  # bytes hashed at once; longer texts are hashed in parts cut between words
 _U = np.uint64
 _RNG = np.random.default_rng(20240229)
 _BASE = 0x9E3779B97F4A7C15 | 1
