@@ -39,6 +39,7 @@ SAMPLES, BITS = 1024, 2048  # of an Odd sketch
 SLACK = 0.07  # estimates this far under the threshold are still confirmed; five standard deviations
 BLOCK = 512  # nodes of a bucket that meet in one task
 PARTNERS = 4  # confirmed for a node in round one
+PAIRS = 1 << 13  # sketches laid side by side at once
 SMALL = 16  # groups up to which pairs are formed for many groups at once
 PART = 1 << 18
 
@@ -210,7 +211,8 @@ def _compared(threshold: int, best_of: str | None):
                 fits = 100 * np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j])
                 i, j = i[fits], j[fits]
                 if len(i):
-                    about = estimate(sketch[i], sketch[j])
+                    steps = range(0, len(i), PAIRS)
+                    about = np.concatenate([estimate(sketch[i[k : k + PAIRS]], sketch[j[k : k + PAIRS]]) for k in steps])
                     fine = about >= floor
                     found.append((i[fine], j[fine], about[fine]))
             if not found:
