@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.llm.registry import query, table
+from panelloom.operators.ordered import with_lookback
 
 START, END, BREAK = "<|im_start|>", "<|im_end|>", "\n"
 TRAINED = "assistant"
@@ -49,10 +50,14 @@ def preference_turns(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     part = part.when(F.col("cut").isNull() | (F.col("turn") < F.col("cut")), F.array(F.lit("prompt")))
     part = part.when(F.col("first") != F.col("last"), F.array(F.lit("chosen"), F.lit("rejected")))
     part = part.otherwise(F.array(F.when(F.col("first"), "rejected").otherwise("chosen")))
+    return _rendered(rows.withColumn("part", F.explode(part)))
+
+
+def _rendered(rows: DataFrame) -> DataFrame:
     body = F.concat(F.coalesce("text", F.lit("")), F.lit(END))
     trained = F.col("part").isin("chosen", "rejected") & F.coalesce(F.col("role") == TRAINED, F.lit(False))
     start = F.length(_head("role")).cast("long")
-    return rows.withColumn("part", F.explode(part)).select(
+    return rows.select(
         "pair_id",
         "part",
         "turn",
@@ -78,19 +83,59 @@ def reply_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     Chosen is a conversation up to its last assistant turn; rejected is the
     same with that turn replaced by the last assistant turn of the
     conversation with the next number. Conversations without an assistant or
-    a next one make no pair.
+    a next one make no pair, and turns after the last assistant turn are left
+    out; ``turns_of_all`` keeps them.
     """
     rows = conversations.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
-    said = rows.where((F.col("role") == TRAINED) & F.col("pair_id").isNotNull() & F.col("turn").isNotNull())
-    last = said.groupBy("pair_id").agg(F.max(F.struct("turn", "text")).alias("reply"))
+    last = _last_replies(rows)
     other = last.select((F.col("pair_id") - 1).alias("pair_id"), F.col("reply.text").alias("other"))
     pairs = last.select("pair_id", F.col("reply.turn").alias("at")).join(other, "pair_id")
     joined = rows.join(pairs, "pair_id").where(F.col("turn") <= F.col("at"))
-    chosen = joined.select("pair_id", "turn", "role", "text")
+    return _sides(joined.select("pair_id", "turn", "role", "text"), pairs)
+
+
+def _last_replies(rows: DataFrame) -> DataFrame:
+    """(pair_id, reply): turn and text of each conversation's last assistant turn."""
+    said = rows.where((F.col("role") == TRAINED) & F.col("pair_id").isNotNull() & F.col("turn").isNotNull())
+    return said.groupBy("pair_id").agg(F.max(F.struct("turn", "text")).alias("reply"))
+
+
+def _sides(chosen: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     replaced = pairs.select("pair_id", F.col("at").alias("turn"), F.lit(TRAINED).alias("role"), F.col("other").alias("text"))
     return chosen, chosen.join(pairs, "pair_id").where(F.col("turn") < F.col("at")).select(chosen.columns).unionByName(replaced)
 
 
+def turns_of_all(conversations: DataFrame) -> DataFrame:
+    """``preference_turns`` of plain conversations (conv_id, turn, role, text), every row of which is in the result.
+
+    Sides are as in ``reply_pairs``, but the rejected reply is that of the
+    next conversation in the order of conv_id that has one, whatever lies
+    between; the last conversation takes the first one's. What makes no pair
+    has the part ``unpaired`` and carries no loss: turns after the last
+    assistant turn, conversations without an assistant, and one that no other
+    reply can be set against. Rows without conv_id or turn are ``unplaced``.
+    """
+    rows = conversations.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    pairs = _next_replies(_last_replies(rows))
+    names = rows.columns
+    known = rows.where(F.col("pair_id").isNotNull() & F.col("turn").isNotNull()).join(pairs, "pair_id", "left")
+    inside = F.coalesce(F.col("turn") <= F.col("at"), F.lit(False))
+    chosen, rejected = _sides(known.where(inside).select(names), pairs)
+    unplaced = rows.where(F.col("pair_id").isNull() | F.col("turn").isNull())
+    unpaired = known.where(~inside).select(names).distinct().withColumn("part", F.lit("unpaired"))
+    return preference_turns(chosen.unionByName(unplaced), rejected).unionByName(_rendered(unpaired))
+
+
+def _next_replies(last: DataFrame) -> DataFrame:
+    """(pair_id, at, other): each conversation's last reply's turn, and the text of the next conversation's."""
+    replies = last.select("pair_id", F.col("reply.turn").alias("at"), F.col("reply.text").alias("other"), F.lit(1).alias("all"))
+    before = lambda df, w: df.withColumn("before", F.lag(F.struct("pair_id", "at")).over(w))
+    seen = with_lookback(replies, ["all"], ["pair_id"], 1, before)
+    ends = seen.groupBy("all").agg(F.max(F.struct("pair_id", "at")).alias("end"))
+    first = seen.where("before is null").join(ends, "all").where(F.col("pair_id") != F.col("end.pair_id"))
+    return seen.where("before is not null").select("before.*", "other").unionByName(first.select("end.*", "other"))
+
+
 _SQL = f"""
 with s as (select distinct conv_id pair_id, turn, role, text from conversations where conv_id is not null and turn is not null),
 l as (

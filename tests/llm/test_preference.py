@@ -50,3 +50,27 @@ def test_pairs_of_neighbours(spark):
     chosen, rejected = preference.reply_pairs(table)
     assert sorted(tuple(r) for r in chosen.collect()) == [(0, 0, "user", "a"), (0, 1, "assistant", "A")]
     assert sorted(tuple(r) for r in rejected.collect()) == [(0, 0, "user", "a"), (0, 1, "assistant", "B")]
+
+
+def test_no_row_is_lost(spark):
+    rows = [(10, 0, "user", "a"), (10, 1, "assistant", "A"), (10, 2, "user", "later"), (14, 0, "user", "none"), (17, 0, "user", "b"), (17, 1, "assistant", "B"),
+            (90, 0, "user", "c"), (90, 3, "assistant", "C"), (90, 3, "assistant", "C"), (None, 0, "assistant", "n"), (95, None, "user", "n")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = preference.turns_of_all(table).collect()
+    text = lambda r: r.rendered.split("\n")[1].removesuffix(preference.END)
+    placed = sorted((r.pair_id, r.part, r.turn, text(r)) for r in got if r.part != "unplaced")
+    assert placed == [
+        (10, "chosen", 1, "A"), (10, "prompt", 0, "a"), (10, "rejected", 1, "B"), (10, "unpaired", 2, "later"), (14, "unpaired", 0, "none"),
+        (17, "chosen", 1, "B"), (17, "prompt", 0, "b"), (17, "rejected", 1, "C"), (90, "chosen", 3, "C"), (90, "prompt", 0, "c"), (90, "rejected", 3, "A"),
+    ]
+    assert sorted(text(r) for r in got if r.part == "unplaced") == ["n", "n"]
+    assert all((r.loss_stop > r.loss_start) == (r.part in ("chosen", "rejected")) for r in got)
+    alone = preference.turns_of_all(table.where("conv_id = 10")).collect()
+    assert [r.part for r in alone] == ["unpaired"] * 3 and preference.turns_of_all(table.where("false")).collect() == []
+
+
+def test_next_reply_over_many_chunks(spark):
+    ids = sorted({(k * 7919) % 100_003 for k in range(1, 300)})
+    table = spark.createDataFrame([(f"{i:06d}", 1, "assistant", f"r{i}") for i in ids], "conv_id string, turn long, role string, text string")
+    got = {r.pair_id: r.rendered for r in preference.turns_of_all(table).where("part = 'rejected'").collect()}
+    assert {int(i): int(t.split("\n")[1].removesuffix(preference.END)[1:]) for i, t in got.items()} == dict(zip(ids, ids[1:] + ids[:1]))
