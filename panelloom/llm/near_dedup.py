@@ -387,14 +387,14 @@ def _judged(prints: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return judged.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "text_key")
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each component of ``docs`` (doc_id, text, ...), with all its columns.
+def without_near_duplicates(docs: DataFrame, width: int = 4) -> DataFrame:
+    """One row of each component of ``docs`` (doc_id, text, ...), with all its columns; shingles have ``width`` words.
 
     Repeated rows are one. Rows without words are linked with nothing and
     stay, once each.
     """
     rows = docs.select(F.struct("*").alias("row")).select("row", "row.doc_id", F.xxhash64("row.text").alias("key"))
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"), "text_key").distinct()
+    kept = near_duplicates(docs, width=width).where("kept").select(F.col("doc_id").alias("kept_id"), "text_key").distinct()
     same = rows.doc_id.eqNullSafe(kept.kept_id) & (rows.key == kept.text_key)
     once = Window.partitionBy("doc_id", "key").orderBy(F.lit(1))
     found = rows.join(kept, same).withColumn("nth", F.row_number().over(once))

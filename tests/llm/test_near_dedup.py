@@ -107,3 +107,13 @@ def test_components_of_a_long_chain(spark):
     links = spark.range(1, 200).selectExpr("id as u", "id - 1 as v").union(spark.createDataFrame([(500, 500), (600, 601)], "u long, v long"))
     got = {r.node: r.root for r in components(links).collect()}
     assert len({got[i] for i in range(200)}) == 1 and got[600] == got[601] != got[0] and 500 not in got
+
+
+def test_width_of_what_is_kept(spark, documents, prose):
+    words = prose(3, 42).split(" ")
+    rows = [(1, " ".join(words)), (2, " ".join(words[:25] + ["changed"] + words[26:])), (3, " ".join(words[:41] + ["end"]))]
+    near = lambda a, b, n: len(shingles(a, n) & shingles(b, n)) / len(shingles(a, n) | shingles(b, n))
+    assert near(rows[0][1], rows[1][1], 4) >= 0.8 > near(rows[0][1], rows[1][1], 5)
+    for width, left in ((4, [1]), (5, [1, 2])):
+        kept = near_dedup.without_near_duplicates(documents(rows), width=width).collect()
+        assert sorted(r.doc_id for r in kept) == left
