@@ -9,6 +9,7 @@ bytes between as a gap.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
@@ -31,6 +32,7 @@ READ = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BEGIN = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _LONGEST_BEGIN = 10
+_ALGORITHMS = {"md5", "sha1", "sha224", "sha256", "sha384", "sha512"}
 
 RECORDS = (
     "path string, start long, stop long, problem string, record_type string, record_id string, target_uri string, "
@@ -209,6 +211,17 @@ def _head(data: bytes) -> tuple[dict[str, str], int]:
     return fields, end + 4
 
 
+def _fits(digest: str, data: bytes) -> bool | None:
+    """Whether a digest field (algorithm:value, in hex, base32 or base64) is that of ``data``; None for an unknown algorithm."""
+    name, _, value = digest.partition(":")
+    name, value = name.strip().lower().replace("-", ""), value.strip().rstrip("=")
+    if name not in _ALGORITHMS:
+        return None
+    own = hashlib.new(name, data, usedforsecurity=False).digest()
+    plain = [code(own).decode().rstrip("=") for code in (base64.b64encode, base64.urlsafe_b64encode)]
+    return value.lower() == own.hex() or value.upper() == base64.b32encode(own).decode().rstrip("=") or value in plain
+
+
 def _record(data: bytes) -> tuple[dict, int]:
     """The checked record at the start of ``data``, and its length."""
     fields, at = _head(data)
@@ -216,7 +229,7 @@ def _record(data: bytes) -> tuple[dict, int]:
     if data[stop : stop + 4] != b"\r\n\r\n":
         raise Damaged("length does not fit")
     block = data[at:stop]
-    if "warc-block-digest" in fields and fields["warc-block-digest"] != f"sha1:{hashlib.sha1(block).hexdigest()}":
+    if _fits(fields.get("warc-block-digest", ""), block) is False:
         raise Damaged("block digest does not fit")
     payload = block
     length = None
@@ -228,7 +241,7 @@ def _record(data: bytes) -> tuple[dict, int]:
     digest = fields.get("warc-payload-digest", "")
     if kind != "revisit":
         length = len(payload)
-        if digest.startswith("sha1:") and len(digest) == 45 and digest[5:] != hashlib.sha1(payload).hexdigest():
+        if digest.startswith("sha1:") and len(digest) == 45 and not _fits(digest, payload):
             raise Damaged("payload digest does not fit")
     return {
         "record_type": kind,

@@ -109,3 +109,26 @@ def test_salvage_of_plain_records():
     assert salvaged(mixed)[0] == ids[:3] and len(salvaged(mixed)[1]) == 1
     short = parts[0].replace(b"Content-Length: ", b"Content-Length: 9", 1) + parts[1]
     assert salvaged(short)[0] == ids[1:2]
+
+
+def test_digests_of_other_writers():
+    import base64
+
+    whole = records(2)[0]
+    part = whole.replace(b"WARC-Payload-Digest", b"X-Payload-Digest")
+    block = part.split(b"\r\n\r\n", 1)[1][:-4]
+    own = f"sha1:{hashlib.sha1(block).hexdigest()}".encode()
+    sha1, sha256 = hashlib.sha1(block), hashlib.sha256(block)
+    forms = [base64.b32encode(sha1.digest()).decode(), sha1.hexdigest().upper()]
+    fields = [f"sha1:{f}" for f in forms] + [f"SHA-1:{forms[0].lower()}", "sha256:" + sha256.hexdigest(), "sha256:" + base64.b32encode(sha256.digest()).decode(),
+              "md5:" + hashlib.md5(block).hexdigest(), "sha512:" + base64.b64encode(hashlib.sha512(block).digest()).decode(), "blake9:unknown"]
+    assert own in part
+    for field in fields:
+        other = part.replace(b"WARC-Block-Digest: " + own, b"WARC-Block-Digest: " + field.encode())
+        assert salvaged(other) == (["urn:page:0"], []) and salvaged(warc.member(other)) == (["urn:page:0"], [])
+        bad = bytearray(other)
+        bad[-10] ^= 0xFF
+        if "blake9" not in field:
+            assert salvaged(bytes(bad)) == ([], [(0, len(bad))])
+    payload = whole.split(b"WARC-Payload-Digest: sha1:", 1)[1][:40]
+    assert salvaged(whole.replace(payload, payload.upper())) == (["urn:page:0"], [])
