@@ -4,7 +4,7 @@ Every record is a gzip member of its own. The reader checks each one: the
 member's checksum, the version line, the declared length and the digests.
 Where a check fails it looks for the next place at which a member or a version
 line begins and a whole record checks out, goes on from there, and logs the
-bytes between as a gap.
+bytes between as a gap. Inside a member of several records it does the same.
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ REVISIT_FROM = 1000  # bytes of payload from which equal payloads are stored onc
 ARCHIVE = 64 << 20  # bytes after which a new file is begun
 READ = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+PART = 1 << 16
+KEPT = 4 << 20  # bytes of a member up to which it is inflated once
+_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _BEGIN = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _LONGEST_BEGIN = 10
 _ALGORITHMS = {"md5", "sha1", "sha224", "sha256", "sha384", "sha512"}
@@ -179,19 +182,66 @@ class _Bytes:
         return self.size
 
 
-def _member(source: _Bytes, start: int) -> tuple[bytes, int]:
-    """What the gzip member at ``start`` holds, and where it ends."""
-    coder, out, at = zlib.decompressobj(31), [], start
-    try:
-        while not coder.eof:
-            part = source.read(at, min(READ, source.size - at)) if at < source.size else b""
-            if not part:
-                raise Damaged("member cut off")
-            out.append(coder.decompress(part))
-            at += len(part)
-    except zlib.error as e:
-        raise Damaged(f"member: {e}") from None
-    return b"".join(out), at - len(coder.unused_data)
+class _Member:
+    """What the gzip member at ``start`` holds, inflated in parts; ``data`` is what has been inflated and not yet taken."""
+
+    def __init__(self, source: _Bytes, start: int):
+        self.source, self.at, self.data, self.problem = source, start, bytearray(), None
+        self.coder = zlib.decompressobj(31)
+
+    def more(self) -> bool:
+        if self.coder.eof or self.problem:
+            return False
+        part = self.source.read(self.at, min(PART, self.source.size - self.at)) if self.at < self.source.size else b""
+        if not part:
+            self.problem = "member cut off"
+            return False
+        before = self.coder.copy()
+        try:
+            self.data += self.coder.decompress(part)
+            self.at += len(part) - len(self.coder.unused_data)
+        except zlib.error as e:
+            self.problem = f"member: {e}"
+            try:  # byte by byte up to the flaw
+                for k in range(len(part)):
+                    self.at += 1
+                    self.data += before.decompress(part[k : k + 1])
+            except zlib.error:
+                pass
+        return True
+
+    def fill(self, n: int) -> bool:
+        while len(self.data) < n and self.more():
+            pass
+        return len(self.data) >= n
+
+    def begins(self, at: int) -> bool:
+        """Whether a version line is at ``at``."""
+        return self.fill(at + _LONGEST_BEGIN) and _VERSION.match(self.data, at) is not None
+
+    def skip(self) -> bool:
+        """Go on to the next version line, if there is one."""
+        at = 1
+        while (found := _VERSION.search(self.data, at)) is None:
+            at = max(len(self.data) - _LONGEST_BEGIN + 1, 1)
+            if at > READ:
+                del self.data[: at - 1]
+                at = 1
+            if not self.more():
+                self.data.clear()
+                return False
+        del self.data[: found.start()]
+        return True
+
+
+def _ended(source: _Bytes, start: int) -> tuple[_Member, int, str | None]:
+    """The member at ``start`` before anything is taken, where it ends or fails, and why it fails."""
+    member = probe = _Member(source, start)
+    while probe.more():
+        if len(probe.data) > KEPT:  # inflated once more when its records are taken
+            member = None
+            probe.data.clear()
+    return member or _Member(source, start), probe.at, probe.problem
 
 
 def _head(data: bytes) -> tuple[dict[str, str], int]:
@@ -222,14 +272,15 @@ def _fits(digest: str, data: bytes) -> bool | None:
     return value.lower() == own.hex() or value.upper() == base64.b32encode(own).decode().rstrip("=") or value in plain
 
 
-def _record(data: bytes) -> tuple[dict, int]:
-    """The checked record at the start of ``data``, and its length."""
+def _record(data: bytes) -> tuple[dict, int, bool]:
+    """The checked record at the start of ``data``, its length, and whether its block digest was compared."""
     fields, at = _head(data)
     stop = at + int(fields["content-length"])
     if data[stop : stop + 4] != b"\r\n\r\n":
         raise Damaged("length does not fit")
     block = data[at:stop]
-    if _fits(fields.get("warc-block-digest", ""), block) is False:
+    fits = _fits(fields.get("warc-block-digest", ""), block)
+    if fits is False:
         raise Damaged("block digest does not fit")
     payload = block
     length = None
@@ -251,19 +302,60 @@ def _record(data: bytes) -> tuple[dict, int]:
         "payload_bytes": length,
         "payload_digest": digest.removeprefix("sha1:") or None,
         "payload": None if kind == "revisit" else payload,
-    }, stop + 4
+    }, stop + 4, fits is True
+
+
+def _size(member: _Member) -> int:
+    """The declared length of the record at the start of ``member.data``, filled up to it."""
+    if not member.begins(0):
+        raise Damaged("no version line")
+    seen = 0
+    while (end := member.data.find(b"\r\n\r\n", seen)) < 0:
+        seen = max(len(member.data) - 3, 0)
+        if seen > 64 * READ or not member.more():
+            raise Damaged("head without end")
+    fields, at = _head(bytes(member.data[: end + 4]))
+    size = at + int(fields["content-length"]) + 4
+    member.fill(size)
+    return size
+
+
+def _in_member(member: _Member, problems: list[str]) -> Iterator[dict]:
+    """Records of a member that check out, one by one; what else is wrong is added to ``problems``.
+
+    ``problems`` has the member's own flaw, if any. Its checksum then vouches
+    for nothing: a record needs a block digest that fits, and another record
+    beside it, as in a member of one record the checksum covers its head.
+    """
+    flawed, several, searched = bool(problems), False, False
+    while member.fill(1):
+        size = 0
+        try:
+            size = _size(member)
+            record, _, checked = _record(bytes(member.data[:size]))
+        except Damaged as e:
+            problems.append(str(e))
+            ended = size and member.data[size - 4 : size] == b"\r\n\r\n"
+            if ended and (member.begins(size) or not member.fill(size + 1)):  # its length is right
+                several = several or member.begins(size)
+                searched = False
+                del member.data[:size]
+            elif member.skip():
+                searched = True
+            continue
+        several = several or member.begins(size) or (searched and not member.fill(size + 1))
+        del member.data[:size]
+        if (several or not (flawed or searched)) and (checked or not flawed):
+            yield record
+        searched = False
 
 
-def _records_at(source: _Bytes, start: int) -> tuple[list[dict], int]:
-    """The records of the member, or the one record, that begins at ``start``."""
+def _records_at(source: _Bytes, start: int, problems: list[str]) -> tuple[Iterator[dict], int, bool]:
+    """The records of the member, or the one record, that begins at ``start``; its end, and whether that is sure."""
     if source.read(start, 2) == b"\x1f\x8b":
-        data, stop = _member(source, start)
-        found, at = [], 0
-        while at < len(data):
-            record, n = _record(data[at:] if at else data)
-            found.append(record)
-            at += n
-        return found, stop
+        member, stop, problem = _ended(source, start)
+        problems += [problem] if problem else []
+        return _in_member(member, problems), stop, problem is None
     n = READ
     while b"\r\n\r\n" not in source.read(start, n) and start + n < source.size and n < 64 * READ:
         n *= 2
@@ -271,26 +363,40 @@ def _records_at(source: _Bytes, start: int) -> tuple[list[dict], int]:
     size = at + int(fields["content-length"]) + 4
     if start + size > source.size:
         raise Damaged("record cut off")
-    record, n = _record(source.read(start, size))
-    return [record], start + n
+    record, n, _ = _record(source.read(start, size))
+    return iter([record]), start + n, True
 
 
 def salvage(file, size: int) -> Iterator[dict]:
-    """Records and gaps of an archive, in order; start and stop are bytes of the file."""
+    """Records and gaps of an archive; start and stop are bytes of the file, in order.
+
+    A member of several records that has a flaw gives the records that check
+    out, each with the member's bytes, and a gap that begins where it does.
+    """
     source, at, gap, why = _Bytes(file, size), 0, None, ""
     while at < size:
+        problems, found = [], False
         try:
-            records, stop = _records_at(source, at)
+            records, stop, sure = _records_at(source, at, problems)
         except Damaged as e:
+            records, stop, sure = iter(()), at, False
+            problems.append(str(e))
+        for record in records:
+            if gap is not None:
+                yield {"start": gap, "stop": at, "problem": why}
+                gap = None
+            found = True
+            yield {"start": at, "stop": stop, "problem": None, **record}
+        if problems and not (found and sure):
             if gap is None:
-                gap, why = at, str(e)
+                gap, why = at, problems[0]
             at = source.next_begin(at + 1)
             continue
         if gap is not None:
             yield {"start": gap, "stop": at, "problem": why}
             gap = None
-        for record in records:
-            yield {"start": at, "stop": stop, "problem": None, **record}
+        if problems:
+            yield {"start": at, "stop": stop, "problem": problems[0]}
         at = stop
     if gap is not None:
         yield {"start": gap, "stop": size, "problem": why}
@@ -332,7 +438,8 @@ def read_archives(paths: DataFrame) -> DataFrame:
     """Records and gaps of the archives named in ``paths`` (path).
 
     A gap has ``problem`` set and no record columns; its bytes are quarantined:
-    [start, stop) of the file. Compressed and plain archives are read, and
+    [start, stop) of the file, but for records that begin at the same byte,
+    which were salvaged from a member of several. Compressed and plain archives are read, and
     files that mix both. An empty file has neither records nor gaps. The
     files' folder must be one that every executor reaches.
     """

@@ -132,3 +132,37 @@ def test_digests_of_other_writers():
             assert salvaged(bytes(bad)) == ([], [(0, len(bad))])
     payload = whole.split(b"WARC-Payload-Digest: sha1:", 1)[1][:40]
     assert salvaged(whole.replace(payload, payload.upper())) == (["urn:page:0"], [])
+
+
+def test_salvage_inside_a_member_of_several_records():
+    parts, ids = records(5), [f"urn:page:{k}" for k in range(5)]
+    whole = warc.member(b"".join(parts))
+    assert salvaged(whole) == (ids, [])
+    flaw = bytearray(parts[2])
+    flaw[-10] ^= 0xFF  # the member's checksum fits, one record's digest does not
+    packed = warc.member(b"".join([*parts[:2], bytes(flaw), *parts[3:]]))
+    assert salvaged(packed) == (ids[:2] + ids[3:], [(0, len(packed))])
+    long = parts[1].replace(b"Content-Length: ", b"Content-Length: 9", 1)
+    packed = warc.member(b"".join([parts[0], long, *parts[2:]]))
+    assert salvaged(packed) == (ids[:1] + ids[2:], [(0, len(packed))])
+    tail = warc.member(records(6)[5])
+    bad = bytearray(whole + tail)
+    bad[len(whole) - 6] ^= 0xFF  # the checksum at the member's end
+    assert salvaged(bytes(bad)) == ([*ids, "urn:page:5"], [(0, len(whole))])
+    kept, gaps = salvaged(whole[: len(whole) // 2] + tail)
+    assert 1 <= len(kept[:-1]) < 5 and kept == ids[: len(kept) - 1] + ["urn:page:5"] and gaps == [(0, len(whole) // 2)]
+
+
+def test_large_member_is_read_in_parts():
+    rnd = random.Random(1)
+    parts = []
+    for k in range(12):
+        payload = rnd.randbytes(1 << 20)
+        parts.append(warc.record_bytes(f"urn:page:{k}", "response", "u", payload, len(payload), hashlib.sha1(payload).hexdigest(), None))
+    ids = [f"urn:page:{k}" for k in range(12)]
+    flaw = bytearray(parts[7])
+    flaw[5000] ^= 0xFF
+    whole = warc.member(b"".join([*parts[:7], bytes(flaw), *parts[8:]]))
+    assert salvaged(whole) == (ids[:7] + ids[8:], [(0, len(whole))])
+    cut = whole[: len(whole) * 4 // 5]
+    assert salvaged(cut) == (ids[:7] + ids[8:9], [(0, len(cut))])
