@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from panelloom.llm.registry import query, table
 from panelloom.llm.shared import trimmed
 
-DOCS_PER_LANGUAGE = 4_000  # training documents a language, at most in expectation; the bound of the fit
-PIECE = 80  # bytes taken from each, at a place that its doc_id decides
+DOCS_PER_LANGUAGE = 4_000  # pieces a language, at most in expectation; the bound of the fit
+PIECE = 80  # characters of a piece; one a document, at a place that its doc_id decides, or several where documents are few
 DICTIONARIES = 8
 LEVEL = 6
 CLOSE = 12  # bytes of margin below which further dictionaries are asked
@@ -48,20 +48,32 @@ Model = list[tuple[str, list[bytes]]]
 def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """Dictionaries of each language in ``docs`` (doc_id, text, lang), frequent languages first.
 
-    About ``per_language`` documents of each language are taken by the hash
-    of their doc_id, so what reaches the driver is bounded by the number of
-    languages. Rows without lang, text or doc_id teach nothing.
+    About ``per_language`` pieces of each language are taken by the hash of
+    their doc_id, so what reaches the driver is bounded by the number of
+    languages. A language of fewer documents gives several pieces of each, as
+    evenly as their lengths allow, until there are as many or no text is left.
+    Rows without lang, text or doc_id teach nothing.
     """
     docs = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id is not null")
-    counts = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages = sorted(counts, key=lambda name: (-counts[name], name))
+    pieces = F.greatest(F.ceil(F.length("text") / PIECE), F.lit(1))
+    steps = [1 << k for k in range(max(per_language, 1).bit_length() + 1)]
+    sums = [F.sum(F.least(pieces, F.lit(n))).alias(f"n{n}") for n in steps]
+    counts = {r["lang"]: [r[f"n{n}"] for n in steps] for r in docs.groupBy("lang").agg(*sums).collect()}
+    languages = sorted(counts, key=lambda name: (-counts[name][0], name))
     if not languages:
         return []
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
-    share = F.create_map(*[F.lit(x) for name in languages for x in (name, min(1.0, per_language / counts[name]))])
-    start = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - PIECE, F.lit(1)))
+    # the fewest pieces a document by which a language fills its share, or all there are
+    each = {name: next((k for k, n in enumerate(counts[name]) if n >= per_language), len(steps) - 1) for name in languages}
+    named = lambda f: F.try_element_at(F.create_map(*[F.lit(x) for name in languages for x in (name, f(name))]), F.col("lang"))
+    most, share = named(lambda name: steps[each[name]]), named(lambda name: min(1.0, per_language / counts[name][each[name]]))
+    docs = docs.withColumns({"most": most, "share": share, "nth": F.explode(F.sequence(F.lit(0).cast("long"), F.least(pieces, most) - 1))})
+    single = F.col("most") == 1
+    spot = F.pmod(F.when(single, F.xxhash64("doc_id")).otherwise(F.xxhash64("doc_id", "nth")), F.lit(1_000_000)) / 1_000_000
+    place = F.xxhash64("doc_id", F.lit(1))
+    start = F.when(single, F.pmod(place, F.greatest(F.length("text") - PIECE, F.lit(1))))
+    start = start.otherwise(F.pmod(F.pmod(place, pieces) + F.col("nth"), pieces) * PIECE)
     piece = F.substr(F.col("text"), (start + 1).cast("int"), F.lit(PIECE))
-    rows = docs.where(spot < F.try_element_at(share, F.col("lang"))).select("lang", "doc_id", piece.alias("piece"))
+    rows = docs.where(spot < F.col("share")).select("lang", "doc_id", piece.alias("piece"))
     rows = rows.groupBy("lang").agg(F.array_sort(F.collect_set(F.struct(F.xxhash64("doc_id", F.lit(2)), "piece"))).alias("pieces"))
     found = {r["lang"]: [plain(p["piece"]) for p in r["pieces"]] for r in rows.collect()}
     model = []

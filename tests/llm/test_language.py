@@ -64,3 +64,12 @@ def test_held_out_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
     held_out = [r for r in rows if r.held_out]
     assert sum(r.lang == r.lang_pred for r in held_out) >= 0.97 * len(held_out)
+
+
+def test_a_language_of_few_documents_fills_its_dictionaries(spark):
+    rows = [(i, text_of(lang, i, 300), lang) for lang, n in (("aa", 400), ("bb", 400), ("cc", 8)) for i in range(n)]
+    held = {name: sum(map(len, parts)) for name, parts in language.fit(make(spark, rows), per_language=400)}
+    many = sum(len(language.plain(t)) for _, t, y in rows if y == "cc")
+    assert held["cc"] > 0.8 * min(many, held["aa"]) and max(held.values()) < 400 * (language.PIECE + 1) * 1.3
+    all_of_it = dict(language.fit(make(spark, rows[-3:]), per_language=400))["cc"]
+    assert 0.95 * sum(len(t) for _, t, _ in rows[-3:]) < sum(map(len, all_of_it))
