@@ -16,7 +16,7 @@ from panelloom.llm.shared import written
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; ties and texts without a letter go."""
+    """Documents whose language is told; narrow margins and texts without a letter go."""
     importable(spark)
     judged = language.identify(docs, language.fit(docs))
     return judged.where("not rejected").select(*docs.columns)

@@ -27,7 +27,8 @@ PIECE = 80  # characters of a piece; one a document, at a place that its doc_id
 DICTIONARIES = 8
 LEVEL = 6
 CLOSE = 12  # bytes of margin below which further dictionaries are asked
-REJECT = 1  # bytes of total margin below which a text is rejected
+REJECT = 10  # bytes of margin a KB of compressed size below which a text is rejected, a tie at any size
+SATURATED = 4_000  # compressed bytes a dictionary from which margins hardly grow; a longer text needs no wider one
 UNKNOWN = "und"
 
 _SPACED = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -97,10 +98,10 @@ class Judge:
         data.precompute_compress(level=LEVEL)
         return zstandard.ZstdCompressor(level=LEVEL, dict_data=data, **options)
 
-    def judge(self, text: str | None) -> tuple[str, float, int]:
-        """Language, score and margin in bytes over the dictionaries asked; ties go to the more frequent language."""
+    def judge(self, text: str | None) -> tuple[str, float, int, bool]:
+        """Language, score, margin in bytes over the dictionaries asked, and whether that is too narrow; ties go to the more frequent language."""
         if not self.names or text is None or not has_letter(text):
-            return UNKNOWN, 0.0, 0
+            return UNKNOWN, 0.0, 0, True
         data = plain(text)
         sizes = [len(own[0].compress(data)) for own in self.coders]
         asked = 1
@@ -111,7 +112,8 @@ class Judge:
             best, second = self._first_two(sizes)
         scale = max(2.0, 0.02 * best / asked) * asked
         weights = [math.exp((best - n) / scale) for n in sizes]
-        return self.names[sizes.index(best)], 1 / sum(weights), second - best
+        margin = second - best
+        return self.names[sizes.index(best)], 1 / sum(weights), margin, 1000 * margin < REJECT * min(best, SATURATED * asked)
 
     @staticmethod
     def _first_two(sizes: list[int]) -> tuple[int, int]:
@@ -124,15 +126,16 @@ def _judged(model: Model):
         judge = Judge(model)
         for batch in batches:
             found = [judge.judge(t.as_py()) for t in batch.column("text")]
-            lang, score, margin = zip(*found) if found else ((), (), ())
+            lang, score, margin, rejected = zip(*found) if found else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(n) for n in batch.schema.names),
                     pa.array(lang, pa.string()),
                     pa.array(score, pa.float64()),
                     pa.array(margin, pa.int64()),
+                    pa.array(rejected, pa.bool_()),
                 ],
-                names=[*batch.schema.names, "lang_pred", "score", "margin"],
+                names=[*batch.schema.names, "lang_pred", "score", "margin", "rejected"],
             )
 
     return trimmed(run)
@@ -142,16 +145,15 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred, score, margin and rejected; only ``text`` is looked at.
 
     A null text or one without a letter is ``und`` with score 0 and rejected,
-    as is every text when the model has no language. A text whose languages
-    tie is rejected; lang_pred then names the most frequent of them. Rows are
-    judged one by one, repeated rows alike; further columns pass through, but
+    as is every text when the model has no language. A text whose margin is
+    below ``REJECT`` for its compressed size is rejected; lang_pred then names
+    the best, the most frequent of those that tie. Rows are judged one by one, repeated rows alike; further columns pass through, but
     columns of the four new names are replaced.
     """
     docs = docs.drop("lang_pred", "score", "margin", "rejected")
     schema = T.StructType([*docs.schema.fields])
-    schema = schema.add("lang_pred", "string").add("score", "double").add("margin", "long")
-    judged = docs.mapInArrow(_judged(model), schema)
-    return judged.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("margin") < REJECT))
+    schema = schema.add("lang_pred", "string").add("score", "double").add("margin", "long").add("rejected", "boolean")
+    return docs.mapInArrow(_judged(model), schema)
 
 
 def crc_of_id(modulus: int):

@@ -73,3 +73,12 @@ def test_a_language_of_few_documents_fills_its_dictionaries(spark):
     assert held["cc"] > 0.8 * min(many, held["aa"]) and max(held.values()) < 400 * (language.PIECE + 1) * 1.3
     all_of_it = dict(language.fit(make(spark, rows[-3:]), per_language=400))["cc"]
     assert 0.95 * sum(len(t) for _, t, _ in rows[-3:]) < sum(map(len, all_of_it))
+
+
+def test_languages_never_learned_are_rejected(spark):
+    judge = language.Judge(language.fit(training(spark)))
+    rnd = random.Random(4)
+    letters = ["".join(rnd.choice("bdfghjpqvwxyz    ") for _ in range(n)) for n in (200, 500, 1000, 2000, 5000) for _ in range(20)]
+    narrow = [judge.judge(t) for t in letters]
+    assert sum(r[3] for r in narrow) >= 0.8 * len(narrow) > sum(r[2] == 0 for r in narrow)
+    assert not any(judge.judge(text_of(lang, 2000 + n, n))[3] for lang in SYLLABLES for n in (20, 40, 400, 4000, 20_000))
