@@ -26,7 +26,7 @@ RULES = [
 ]
 LEARN_FROM = 200_000  # labelled URLs in the fit, at most in expectation; the bound of the fit
 SUPPORT, CONFIDENCE = 0.01, 0.8
-LONGEST = 3  # tokens of a mined rule
+LONGEST = 3  # tokens of a mined rule, where `mine` is given no other bound
 MOST_RULES = 100_000  # mined rules up to which the index is broadcast
 DEFAULT = "allow"  # where no rule, given or mined, fits
 _BLOCK, _ALLOW = "=block", "=allow"
@@ -66,10 +66,12 @@ def given_verdict(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return rule, verdict
 
 
-def mine(labelled: DataFrame, learn_from: int = LEARN_FROM) -> DataFrame:
+def mine(labelled: DataFrame, learn_from: int = LEARN_FROM, longest: int | None = LONGEST) -> DataFrame:
     """(rule_id, items, verdict, confidence, support) from ``labelled`` (tokens, verdict, spot).
 
     ``spot`` is a hash of the row by which about ``learn_from`` rows are taken.
+    Rules have at most ``longest`` tokens; None leaves them to support and
+    confidence alone.
     """
     baskets = labelled.select(
         "spot",
@@ -79,7 +81,8 @@ def mine(labelled: DataFrame, learn_from: int = LEARN_FROM) -> DataFrame:
     baskets = baskets.where(F.pmod("spot", F.lit(1_000_000)) / 1_000_000 < share)
     model = FPGrowth(itemsCol="items", minSupport=SUPPORT, minConfidence=CONFIDENCE).fit(baskets)
     label = F.array(F.lit(_BLOCK), F.lit(_ALLOW))
-    sets = written(model.freqItemsets.where(F.size("items") <= LONGEST + 1), "itemsets")
+    sets = model.freqItemsets if longest is None else model.freqItemsets.where(F.size("items") <= longest + 1)
+    sets = written(sets, "itemsets")
     bare = sets.where(~F.arrays_overlap("items", label)).select(
         F.array_sort("items").alias("items"), F.col("freq").alias("all")
     )
@@ -118,7 +121,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> D
     parts = parts.withColumns({"rule": rule, "given": verdict, "tokens": tokens})
     fitted, open_ = parts.where("given is not null"), parts.where("given is null")
     spot = F.xxhash64("page_id", "url").alias("spot")
-    mined = written(mine(fitted.select("tokens", F.col("given").alias("verdict"), spot)), "rules")
+    mined = written(mine(fitted.select("tokens", F.col("given").alias("verdict"), spot), longest=None), "rules")
     n_rules = mined.count()
     index = indexed(mined)
     if n_rules <= MOST_RULES:

@@ -98,3 +98,13 @@ def test_query_is_native(spark):
     df = registry.QUERIES["op10_association_rule_url_filter"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().toString()
     assert not [n for n in ("Python", "Arrow", "CartesianProduct", "NestedLoop") if n in plan] and df.count() == 50
+
+
+def test_rules_of_more_than_three_tokens(spark):
+    rules = [("block", "bad.org", "/a/b1/"), ("allow", "bad.org", "/x/b1/"), ("allow", "bad.org", "/a/y/"), ("allow", "good.org", "/a/b1/"), ("allow", "bad.net", "/a/b1/")]
+    urls = [f"http://{host}{path}" for verdict, host, path in rules for _ in range(100 if verdict == "block" else 40)]
+    pages = spark.createDataFrame(list(enumerate([*urls, "http://bad.org/a/b2/", "http://bad.org/a/c/"])), "page_id long, url string")
+    rows = {r.url: r for r in url_rules.judge_urls(pages, rules).collect()}
+    found = rows["http://bad.org/a/b2/"]  # only the four tokens together are confident
+    assert (found.rule, found.verdict, found.mined_rule) == (None, "block", "h0:org h1:bad p0:a p1:b#")
+    assert rows["http://bad.org/a/c/"].verdict == "allow"
