@@ -24,6 +24,9 @@ MODULES = [
     "url_rules",
     "warc",
     "preference",
+    "conversation_repair",
+    "pu_quality",
+    "filter_audit",
 ]
 
 

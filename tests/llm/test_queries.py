@@ -12,7 +12,8 @@ from panelloom.llm import registry
 duckdb = pytest.importorskip("duckdb")
 SF_DIR = "/root/testdata/sf0.001"
 NAMES = {1: "minhash_near_dedup", 2: "benchmark_decontamination", 3: "cap_filter_near_dedup", 4: "best_fit_packing", 5: "suffix_dedup",
-         6: "warc_salvage", 7: "preference_formatting", 8: "compression_language_id", 9: "counterfactual_toxicity", 10: "association_rule_url_filter"}
+         6: "warc_salvage", 7: "preference_formatting", 8: "compression_language_id", 9: "counterfactual_toxicity", 10: "association_rule_url_filter",
+         11: "conversation_repair", 12: "pu_quality", 13: "filter_interaction_audit"}
 
 
 def test_every_operator_has_its_query():
