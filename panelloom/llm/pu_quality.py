@@ -165,15 +165,18 @@ def learned(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
     return minimised(positive, unlabelled, prior, edges)
 
 
-def _sample(docs: DataFrame, n: int) -> np.ndarray:
-    """Measures of ``n`` rows of ``docs`` at most, repeated rows once, chosen by a hash of the row.
+def _sample(docs: DataFrame, n: int, among: DataFrame | None = None) -> np.ndarray:
+    """Measures of ``n`` rows of ``docs`` at most, repeated rows once, chosen by a hash of the row; ``among`` has the ids to choose from.
 
-    Only doc_ids and hashes are sorted, a task hands on ``n`` of them at most;
-    the texts of the rows chosen are then looked up and measured where they are.
+    Only doc_ids and hashes are shuffled, a task hands on ``n`` of them at
+    most; the texts of the rows chosen are then looked up and measured where
+    they are.
     """
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     spot = F.xxhash64("doc_id", "text_key", F.lit(12))
     rows = keyed.select("doc_id", "text_key").distinct()
+    if among is not None:
+        rows = rows.join(among, "doc_id", "left_semi")
     chosen = rows.orderBy(spot, "doc_id", "text_key").limit(n).select("doc_id", "text_key", spot.alias("spot"))
     found = measured(keyed.join(F.broadcast(chosen), ["doc_id", "text_key"])).select("spot", "doc_id", "text_key", "measures")
     once = found.groupBy("spot", "doc_id", "text_key").agg(F.first("measures").alias("measures"))
@@ -191,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     """
     docs = docs.where("doc_id is not null").select("doc_id", "text")
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    return learned(_sample(docs.join(good, "doc_id", "left_semi"), positives), _sample(docs, unlabelled))
+    return learned(_sample(docs, positives, good), _sample(docs, unlabelled))
 
 
 def _scored(model: Model):
