@@ -64,7 +64,9 @@ def copies(docs: DataFrame, facts: DataFrame) -> DataFrame:
     shared = (
         facts.groupBy("text_key", "n_chars").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     )
-    some = _rows(docs).join(shared.select("text_key", "n_chars"), ["text_key", "n_chars"], "left_semi")
+    # written first: with its size known, texts are not dealt out to meet a table that is small
+    shared = written(shared.select("text_key", "n_chars"), "shared")
+    some = _rows(docs).join(shared, ["text_key", "n_chars"], "left_semi")
     earlier = some.groupBy("text_key", "text").agg(F.min("doc_id").alias("doc_id"))
     a, b = some.alias("a"), earlier.alias("b")
     same = (F.col("a.text_key") == F.col("b.text_key")) & (F.col("a.text") == F.col("b.text"))
