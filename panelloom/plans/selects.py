@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Collection
 from dataclasses import dataclass
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelloom.fixed_values import RESULT_CAP
+from panelloom.plans.guard import Refused, require_readable
 from panelloom.plans.marts import MARTS
 
 # Relations a question may name: the marts, as views or as tables of their schema.
 READABLE = (*MARTS, *(f"mart.{name}" for name in MARTS))
-REFLECTING = re.compile(r"\b(reflect|try_reflect|java_method)\s*\(", re.IGNORECASE)
-
-
-class Refused(ValueError):
-    """The text is not a query that only reads what may be read."""
 
 
 @dataclass(frozen=True)
@@ -42,23 +35,12 @@ def register_views(marts: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def _relations(spark: SparkSession, sql: str) -> set[str]:
-    """The relations the parsed text names, but those it defines itself; functions as tables are refused."""
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
-    if re.search(r"UnresolvedTableValuedFunction|UnresolvedIdentifier|UnresolvedInlineTable|RelationTimeTravel", plan):
-        raise Refused("only named relations may be read")
-    own = {name.strip().strip("`").lower() for names in re.findall(r"CTE \[([^\]]*)\]", plan) for name in names.split(",")}
-    named = re.findall(r"'UnresolvedRelation \[([^\]]*)\]", plan)
-    return {".".join(part.strip() for part in name.split(",")).lower() for name in named} - own
-
-
 def reading_query(spark: SparkSession, sql: str, readable: Collection[str] = READABLE) -> DataFrame:
-    """The query as a frame, once it is known to be one that only reads ``readable`` relations.
+    """The query as a frame, once its parsed tree is known to only read ``readable`` relations (``guard``).
 
-    The first word is not enough, as WITH can also introduce an INSERT. Only a
-    single query can stand in parentheses, so the text is parsed there first,
-    which runs nothing. Files by path, other tables, functions that make rows
-    and functions that call into the JVM are refused.
+    Files by path, other tables, functions that make rows, functions that
+    tell of the session or call into the JVM, and anything that writes are
+    refused; a name of WITH counts where it is in scope and nowhere else.
     """
     text = sql.strip().rstrip(";")
     words = text.split(maxsplit=1)
@@ -66,14 +48,7 @@ def reading_query(spark: SparkSession, sql: str, readable: Collection[str] = REA
         raise Refused("the query must not be empty")
     if words[0].lower() not in ("select", "with"):
         raise Refused("only SELECT queries are run")
-    if REFLECTING.search(text.replace("`", "")):
-        raise Refused("calls into the JVM are not run")
-    try:
-        others = _relations(spark, f"SELECT * FROM (\n{text}\n)") - {name.lower() for name in readable}
-    except (ParseException, Py4JJavaError) as error:
-        raise Refused(f"not a single reading query: {error}") from error
-    if others:
-        raise Refused(f"not readable: {sorted(others)}")
+    require_readable(spark, text, readable)
     return spark.sql(text)
 
 
