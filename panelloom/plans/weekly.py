@@ -16,7 +16,7 @@ from panelloom.plans.staging import staging
 from panelloom.session import scratch_scope, write_through
 from panelloom.sinks.tables import archive, create_schema, replace_partitioned, replace_table
 from panelloom.sources.registry import DATASETS
-from panelloom.sources.snapshots import read_snapshot
+from panelloom.sources.snapshots import verified_snapshot
 
 PANEL = "product_quarterly"
 
@@ -35,16 +35,17 @@ def load_all(
 ) -> dict[str, int]:
     """Replace the raw table of each registered data set, or of ``keys``, from its snapshot.
 
-    All snapshots are found before the first table is replaced; one that was
-    never archived raises.
+    All snapshots are compared with their manifests before the first table is
+    replaced; one that was never archived, or is not whole, raises. What the
+    comparison tells of the sheets serves the reader, too.
     """
     rows = {}
-    snapshots = {key: read_snapshot(spark, root, run_date, key) for key in (DATASETS if keys is None else keys)}
-    for key, snapshot in snapshots.items():
+    snapshots = {key: verified_snapshot(spark, root, run_date, key) for key in (DATASETS if keys is None else keys)}
+    for key, (snapshot, sheets) in snapshots.items():
         dataset = DATASETS[key]
         cells = snapshot.drop("dataset", "run_date")
         table = f"{schema}.{dataset.table}"
-        rows[table] = replace_table(with_audit(dataset.reader(cells), loaded_at, run_date), table)
+        rows[table] = replace_table(with_audit(dataset.reader(cells, sheets=sheets), loaded_at, run_date), table)
     return rows
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.session import write_through
+from panelloom.sources.snapshots import described_snapshot, manifest_path, stored_rows
 
 
 def archive(cells: DataFrame, root: str, run_date: date) -> list[str]:
@@ -17,22 +18,38 @@ def archive(cells: DataFrame, root: str, run_date: date) -> list[str]:
     Loading a date again replaces only the data sets loaded. Rows are sorted
     inside each task, so that a reader of one sheet, or of header rows alone,
     skips most of a file by its statistics. A row without a data set raises.
+
+    The manifest is written last, read off the files: a description of every
+    sheet with its number of rows and a checksum, which readers compare. While
+    it is missing or does not fit the files, the date cannot be loaded.
     Returns the folders written, one per data set.
     """
     no_key = F.raise_error(F.lit("a landed row has no data set")).cast("string")
     folder = f"{root}/run_date={run_date.isoformat()}"
-    keys = Observation("archived")
+    written = Observation("archived")
     (
         cells.drop("run_date")
         .withColumn("dataset", F.coalesce("dataset", no_key))
-        .observe(keys, F.collect_set("dataset").alias("datasets"))
+        .observe(written, F.collect_set("dataset").alias("datasets"), F.count("*").alias("n"))
         .sortWithinPartitions("dataset", "sheet", "row_idx")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dataset")
         .parquet(folder)
     )
-    return [f"{folder}/dataset={key}" for key in sorted(keys.get["datasets"])]
+    keys = sorted(written.get["datasets"])
+    spark = cells.sparkSession
+    manifest = write_through(described_snapshot(stored_rows(spark, root, run_date).where(F.col("dataset").isin(keys))), "manifest")
+    stored = manifest.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n")).first()["n"]
+    if stored != written.get["n"]:
+        raise RuntimeError(f"{written.get['n']} rows were archived under {folder}, {stored} are there")
+    (
+        manifest.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dataset")
+        .parquet(manifest_path(root, run_date))
+    )
+    return [f"{folder}/dataset={key}" for key in keys]
 
 
 def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:

@@ -13,11 +13,11 @@ from panelloom.sources.sheets import first_sheet_table
 
 @dataclass(frozen=True)
 class Dataset:
-    """A registered source: its key, its raw table and its reader."""
+    """A registered source: its key, its raw table and its reader of cells and, as ``sheets``, their descriptions."""
 
     key: str
     table: str
-    reader: Callable[[DataFrame], DataFrame]
+    reader: Callable[..., DataFrame]
 
 
 DATASETS = {

@@ -4,18 +4,70 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelloom.session import write_through
+from panelloom.sources.sheets import SHEET, described
+
 CELLS_SCHEMA = "file string, sheet string, sheet_pos int, row_idx int, cells array<string>, dataset string, run_date date"
+MANIFEST = "_manifest"
 
 
-def read_snapshot(spark: SparkSession, root: str, run_date: date, dataset: str | None = None) -> DataFrame:
-    """One run's landed rows; only the date's folder is listed and read.
+class Incomplete(RuntimeError):
+    """An archived date does not hold what was archived."""
 
-    A date, or a data set of a date, that was never archived raises.
-    """
+
+def manifest_path(root: str, run_date: date) -> str:
+    """Beside the data sets of a date; listings of the archive pass over the name."""
+    return f"{root}/run_date={run_date.isoformat()}/{MANIFEST}"
+
+
+def stored_rows(spark: SparkSession, root: str, run_date: date, dataset: str | None = None) -> DataFrame:
     folder = f"{root}/run_date={run_date.isoformat()}" + (f"/dataset={dataset}" if dataset else "")
     rows = spark.read.schema(CELLS_SCHEMA).option("basePath", root).parquet(folder)
     kept = rows.where(F.col("run_date") == F.lit(run_date))
     return kept.where(F.col("dataset") == dataset) if dataset else kept
+
+
+def read_snapshot(spark: SparkSession, root: str, run_date: date, dataset: str | None = None) -> DataFrame:
+    """One run's landed rows; only the date's folder is listed and read.
+
+    A date, or a data set of a date, that was never archived raises. Rows are
+    not compared with the manifest here; ``verified_snapshot`` does.
+    """
+    return stored_rows(spark, root, run_date, dataset)
+
+
+def described_snapshot(rows: DataFrame) -> DataFrame:
+    """The manifest of archived rows: a description and a checksum of every sheet of every data set."""
+    return described(rows, by=["dataset", *SHEET], checksum=True)
+
+
+def verified_snapshot(spark: SparkSession, root: str, run_date: date, dataset: str) -> tuple[DataFrame, DataFrame]:
+    """A data set's rows of a date and the descriptions of its sheets, once they agree with the manifest.
+
+    The one read that describes the sheets also checks them: a sheet that is
+    missing, too many, or holds other rows than were archived raises
+    ``Incomplete``, as does a date whose manifest was never written.
+    """
+    rows = stored_rows(spark, root, run_date, dataset)
+    found = write_through(described_snapshot(rows), "sheets")
+    try:
+        promised = spark.read.schema(found.schema).parquet(manifest_path(root, run_date))
+    except AnalysisException as error:
+        raise Incomplete(f"the archive of {run_date} has no manifest") from error
+    counts = ["n_rows", "width", "checksum"]
+    mine = found.select(*SHEET, *[F.col(c).alias(f"_{c}") for c in counts], F.lit(True).alias("_here"))
+    theirs = promised.where(F.col("dataset") == dataset).select(*SHEET, *counts, F.lit(True).alias("there"))
+    mine = mine.withColumnsRenamed({c: f"_{c}" for c in SHEET})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SHEET]
+    agree = F.col("there").eqNullSafe(F.col("_here"))
+    for c in counts:
+        agree = agree & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    wrong = theirs.join(mine, same, "full").where(~agree).select(F.coalesce("file", "_file").alias("file"), F.coalesce("sheet", "_sheet").alias("sheet"))
+    some = wrong.orderBy("file", "sheet").limit(5).collect()
+    if some:
+        raise Incomplete(f"the archive of {run_date} differs from its manifest in {[tuple(r) for r in some]}")
+    return rows, found
