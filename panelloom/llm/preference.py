@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.llm.registry import query, table
+from panelloom.llm.shared import written
 from panelloom.operators.ordered import with_lookback
 
+TURN = ["pair_id", "turn", "role", "text"]
 START, END, BREAK = "<|im_start|>", "<|im_end|>", "\n"
 TRAINED = "assistant"
 
@@ -38,15 +40,24 @@ def preference_turns(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     turn cannot be placed: they are ``unplaced`` and carry no loss. Further
     columns are ignored.
     """
-    names = ["pair_id", "turn", "role", "text"]
-    sides = chosen.select(*names, F.lit(False).alias("lost")).unionByName(
-        rejected.select(*names, F.lit(True).alias("lost"))
-    )
-    rows = sides.groupBy(*names).agg(F.min("lost").alias("first"), F.max("lost").alias("last"))
+    sides = chosen.select(*TURN, F.lit(False).alias("first"), F.lit(False).alias("last"))
+    lost = rejected.select(*TURN, F.lit(True).alias("first"), F.lit(True).alias("last"))
+    return _parted(sides.unionByName(lost))
+
+
+def _parted(sides: DataFrame) -> DataFrame:
+    """The turns of both sides: ``first`` is false where the chosen side has a row, ``last`` true where the rejected one has.
+
+    A row that is known to stand on both sides comes once; rows where both are
+    null belong to none.
+    """
+    rows = sides.groupBy(*TURN).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    rows = written(rows, "turns")  # read for the cuts and again for the turns
     placed = F.col("pair_id").isNotNull() & F.col("turn").isNotNull()
     cuts = rows.where(placed & (F.col("first") == F.col("last"))).groupBy("pair_id").agg(F.min("turn").alias("cut"))
     rows = rows.join(cuts, "pair_id", "left")
     part = F.when(F.col("pair_id").isNull() | F.col("turn").isNull(), F.array(F.lit("unplaced")))
+    part = part.when(F.col("first").isNull(), F.array(F.lit("unpaired")))
     part = part.when(F.col("cut").isNull() | (F.col("turn") < F.col("cut")), F.array(F.lit("prompt")))
     part = part.when(F.col("first") != F.col("last"), F.array(F.lit("chosen"), F.lit("rejected")))
     part = part.otherwise(F.array(F.when(F.col("first"), "rejected").otherwise("chosen")))
@@ -116,14 +127,14 @@ def turns_of_all(conversations: DataFrame) -> DataFrame:
     reply can be set against. Rows without conv_id or turn are ``unplaced``.
     """
     rows = conversations.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
-    pairs = _next_replies(_last_replies(rows))
-    names = rows.columns
-    known = rows.where(F.col("pair_id").isNotNull() & F.col("turn").isNotNull()).join(pairs, "pair_id", "left")
-    inside = F.coalesce(F.col("turn") <= F.col("at"), F.lit(False))
-    chosen, rejected = _sides(known.where(inside).select(names), pairs)
-    unplaced = rows.where(F.col("pair_id").isNull() | F.col("turn").isNull())
-    unpaired = known.where(~inside).select(names).distinct().withColumn("part", F.lit("unpaired"))
-    return preference_turns(chosen.unionByName(unplaced), rejected).unionByName(_rendered(unpaired))
+    pairs = written(_next_replies(_last_replies(rows)), "pairs")
+    known = rows.join(pairs.select("pair_id", "at"), "pair_id", "left")
+    inside = (F.col("turn") <= F.col("at")) | F.col("pair_id").isNull() | F.col("turn").isNull()
+    before = F.col("turn") < F.col("at")  # these stand on both sides
+    sides = known.select(*TURN, F.when(inside, F.lit(False)).alias("first"), F.when(inside, before).alias("last"))
+    replaced = pairs.select("pair_id", F.col("at").alias("turn"), F.lit(TRAINED).alias("role"), F.col("other").alias("text"))
+    lost = replaced.withColumns({"first": F.lit(True), "last": F.lit(True)})
+    return _parted(sides.unionByName(lost))
 
 
 def _next_replies(last: DataFrame) -> DataFrame:
@@ -137,13 +148,19 @@ def _next_replies(last: DataFrame) -> DataFrame:
 
 
 _SQL = f"""
-with s as (select distinct conv_id pair_id, turn, role, text from conversations where conv_id is not null and turn is not null),
+with s as (select distinct conv_id pair_id, turn, role, text from conversations),
 l as (
   select pair_id, turn "at", max(text) reply from s
-  where role = '{TRAINED}' and turn = (select max(turn) from s t where t.pair_id = s.pair_id and t.role = '{TRAINED}')
+  where role = '{TRAINED}' and pair_id is not null
+    and turn = (select max(turn) from s t where t.pair_id = s.pair_id and t.role = '{TRAINED}')
   group by all
 ),
-p as (select a.pair_id, a."at", b.reply other from l a join l b on b.pair_id = a.pair_id + 1),
+n as (
+  select pair_id, "at", count(*) over () n, lead(pair_id) over (order by pair_id) following,
+    lead(reply) over (order by pair_id) "next", first_value(reply) over (order by pair_id) "first"
+  from l
+),
+p as (select pair_id, "at", case when following is null then "first" else "next" end other from n where n > 1),
 c as (select s.* from s join p using (pair_id) where turn <= "at"),
 r as (
   select c.* from c join p using (pair_id) where turn < "at"
@@ -158,11 +175,14 @@ parts as (
   select m.*, 'prompt' part from m left join cut using (pair_id) where cut is null or turn < cut
   union all select m.*, 'chosen' from m join cut using (pair_id) where turn >= cut and c
   union all select m.*, 'rejected' from m join cut using (pair_id) where turn >= cut and r
+  union all select *, true, true, 'unplaced' from s where pair_id is null or turn is null
+  union all select s.*, true, true, 'unpaired' from s left join p using (pair_id)
+    where pair_id is not null and turn is not null and ("at" is null or turn > "at")
 )
 select pair_id, part, turn, role,
   '{START}' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '{END}' || chr(10) rendered,
-  case when part <> 'prompt' and role = '{TRAINED}' then length('{START}' || role || chr(10)) else 0 end loss_start,
-  case when part <> 'prompt' and role = '{TRAINED}'
+  case when part in ('chosen', 'rejected') and role = '{TRAINED}' then length('{START}' || role || chr(10)) else 0 end loss_start,
+  case when part in ('chosen', 'rejected') and role = '{TRAINED}'
     then length('{START}' || role || chr(10) || coalesce(text, '') || '{END}') else 0 end loss_stop
 from parts
 """
@@ -170,4 +190,4 @@ from parts
 
 @query("op7_preference_formatting", _SQL)
 def op7_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preference_turns(*reply_pairs(table(spark, sf_dir, "conversations")))
+    return turns_of_all(table(spark, sf_dir, "conversations"))
