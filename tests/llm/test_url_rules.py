@@ -108,3 +108,45 @@ def test_rules_of_more_than_three_tokens(spark):
     found = rows["http://bad.org/a/b2/"]  # only the four tokens together are confident
     assert (found.rule, found.verdict, found.mined_rule) == (None, "block", "h0:org h1:bad p0:a p1:b#")
     assert rows["http://bad.org/a/c/"].verdict == "allow"
+
+
+def test_a_long_url_that_is_repeated(spark):
+    """Sixty steps in half of the rows: one item beside the few that others share, and rules equal to counting."""
+    long = "http://far.net/" + "/".join(f"step{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))
+    urls = [long] * 300 + [f"http://a{i % 3}.net/shop/x{i % 2}y/" for i in range(200)] + [f"http://b.example.net/en/{i}" for i in range(100)]
+    open_ = ["http://new.com/stepaa/other", "http://new.com/z/stepba", "http://far.com/q", "http://far.com/stepaa/stepba", "http://x.com/shop/xzy"]
+    rows = {r.url: r for r in judged(spark, urls + open_)}
+    assert rows[long].verdict == "block" and rows["http://x.com/shop/xzy"].verdict == "block"
+    # any of the item's tokens leads to its rule, and the rule is named after those that the URL has
+    assert [rows[u].mined_rule for u in open_[:4]] == ["p0:stepaa", "p1:stepba", "h1:far", "h1:far p0:stepaa p1:stepba"]
+    assert {rows[u].verdict for u in open_[:4]} == {"block"}
+
+
+def best_by_counting(baskets, tokens, support, confidence):
+    """The rule that judges a URL where every combination of its tokens is counted one by one."""
+    from itertools import combinations
+
+    best = None
+    for n in range(1, len(tokens) + 1):
+        for items in combinations(sorted(tokens), n):
+            verdicts = [v for t, v in baskets if set(items) <= set(t)]
+            for verdict in ("allow", "block"):
+                count = verdicts.count(verdict)
+                if count and count >= support * len(baskets) and count / len(verdicts) >= confidence:
+                    best = max(best or (0,), (count / len(verdicts), count, n, " ".join(items), verdict))
+    return best
+
+
+def test_folded_rules_judge_like_counting(spark):
+    rnd = random.Random(11)
+    shapes = [("a", "b", "c"), ("a", "b", "c", "d"), ("e", "f"), ("e", "f", "g"), ("h",), ("a", "e"), ("i", "j", "k", "l")]
+    baskets = [(rnd.choice(shapes), rnd.choice(["block"] * 9 + ["allow"])) for _ in range(300)]
+    baskets += [(("h", "i", "j", "k", "l"), "allow")] * 60
+    labelled = spark.createDataFrame([(list(t), v, k) for k, (t, v) in enumerate(baskets)], "tokens array<string>, verdict string, spot long")
+    rules = url_rules.mine(labelled, longest=None).collect()
+    assert {tuple(m) for r in rules for m in r.members} >= {("b", "c"), ("i", "j", "k", "l")}
+    for tokens in [("b",), ("c", "x"), ("b", "c"), ("a", "c", "d"), ("j",), ("h", "l"), ("h", "i", "k"), ("e", "f", "g"), ("f", "a"), ("x",)]:
+        fits = [r for r in rules if all(set(m) & set(tokens) for m in r.members)]
+        named = [(r.confidence, r.support, sorted(t for m in r.members for t in m if t in tokens), r.verdict) for r in fits]
+        found = max(((c, s, len(by), " ".join(by), v) for c, s, by, v in named), default=None)
+        assert found == best_by_counting(baskets, tokens, url_rules.SUPPORT, url_rules.CONFIDENCE), tokens
