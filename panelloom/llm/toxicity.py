@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,9 @@ from panelloom.llm.language import crc_of_id
 from panelloom.llm.registry import query, table
 from panelloom.llm.shared import trimmed
 
-ROWS_PER_LABEL = 3_000  # labelled documents of each label in the fit, at most in expectation; the bound of the fit
+ROWS_PER_LABEL = 3_000  # labelled documents of each label in the fit, at most; with the next two the bound of the fit
+CHARS_PER_LABEL = 64_000_000  # characters of their texts, all together
+LONGEST = 1_000_000  # characters of a text that is learned from
 BITS = 22
 BEGINNINGS = (4, 5, 6)
 L1, FAIRNESS, STEPS = 2e-3, 4.0, 400
@@ -151,20 +153,24 @@ def train(
 def fit(docs: DataFrame, labels: DataFrame, groups: list[list[str]] = GROUPS, per_label: int = ROWS_PER_LABEL) -> Model:
     """The model of ``docs`` (doc_id, text) with ``labels`` (doc_id, toxic).
 
-    About ``per_label`` documents of each label, chosen by the hash of their
-    doc_id, are turned into features by tasks; only the features reach the
-    driver. Rows without label or doc_id and labels without document teach
-    nothing; a document with several labels is taken with each.
+    At most ``per_label`` documents of each label, chosen by a hash, and at
+    most ``CHARS_PER_LABEL`` of their text are turned into features by tasks;
+    only the features reach the driver. Rows that repeat doc_id and text count
+    once. Rows without label or doc_id, labels without document and texts
+    beyond ``LONGEST`` teach nothing; a document with several labels is taken
+    with each.
     """
     labels = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).where("label in (0, 1)").distinct()
-    counts = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
-    spot = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) / 1_000_000
-    share = F.lit(0.0)
-    for label, n in counts.items():
-        share = F.when(F.col("label") == label, min(1.0, per_label / n)).otherwise(share)
-    chosen = labels.where(spot < share)
-    # at most per_label rows of each label in expectation, whatever the corpus: small enough to send to every task
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    rows = keyed.select("doc_id", "text_key", F.coalesce(F.length("text"), F.lit(0)).alias("n")).where(F.col("n") <= LONGEST).distinct()
+    # the rank is limited in every task before rows are shuffled
+    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("doc_id", "text_key", F.lit(3)), "doc_id", "text_key")
+    chosen = rows.join(labels, "doc_id").withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= per_label)
+    so_far = Window.partitionBy("label").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chosen = chosen.withColumn("total", F.sum("n").over(so_far)).where(F.col("total") <= CHARS_PER_LABEL)
+    # 2 * per_label narrow rows at most: small enough to send to every task
+    sample = keyed.join(F.broadcast(chosen.select("doc_id", "text_key", "label")), ["doc_id", "text_key"])
+    sample = sample.groupBy("label", "doc_id", "text_key").agg(F.first("text").alias("text")).select("label", "text")
     rows = sample.mapInArrow(_featured(groups), "label int, real array<int>, swapped array<int>").collect()
     return train(
         np.array([r["label"] for r in rows], np.int64),

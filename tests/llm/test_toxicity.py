@@ -83,3 +83,52 @@ def test_held_out_quality(spark):
     toxic, clean = [r for r in held_out if r.toxic], [r for r in held_out if not r.toxic]
     assert sum(r.predicted for r in toxic) >= 0.8 * len(toxic)
     assert sum(r.predicted for r in clean) <= 0.03 * len(clean)
+
+
+def test_repeated_rows_and_long_texts_do_not_widen_the_sample(spark, monkeypatch):
+    """What reaches the driver is bounded however often an id stands in the table."""
+    rows = [(i % 4, f"text {i % 2} nasty" if i % 4 < 2 else f"text {i % 2} fine", "x") for i in range(400)] + [(9, "word " * 300_000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 0), (3, 0), (9, 0), (2, 0)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda y, real, swapped, *a: seen.append((sorted(y.tolist()), len(real))) or (0.0, {}))
+    toxicity.fit(docs, labels)
+    toxicity.fit(docs, labels, per_label=1)
+    monkeypatch.setattr(toxicity, "CHARS_PER_LABEL", 12)
+    toxicity.fit(docs, labels)
+    assert seen == [([0, 0, 1, 1], 4), ([0, 1], 2), ([0, 1], 2)]
+
+
+def test_scores_are_the_models(spark):
+    """Every score again, by a plain sum over the words of the whole text."""
+    bias, weights = model_of(spark, labelled())
+    texts = ["", "the awfulword house", "Women walk; WOMEN talk", "house " * 50_000 + "vileterm"]
+    for text, found in zip(texts, scores(spark, (bias, weights), texts)):
+        features = {f for w in toxicity.words_of(text) for f in toxicity.features_of(w)}
+        assert abs(found - 1 / (1 + np.exp(-(bias + sum(weights.get(f, 0.0) for f in features))))) < 1e-12
+
+
+def test_loss_is_near_its_least():
+    """No nudge of a weight makes the penalised loss of the fit clearly smaller."""
+    rows = labelled()
+    labels = np.array([y for _, _, y in rows])
+    words = [toxicity.words_of(t) for _, t, _ in rows]
+    features = lambda ws: np.array(sorted({f for w in ws for f in toxicity.features_of(w)}), np.int64)
+    real = [features(w) for w in words]
+    other = [toxicity.exchanged(w, toxicity.GROUPS) for w in words]
+    swapped = [None if o is None else features(o) for o in other]
+    bias, weights = toxicity.train(labels, real, swapped)
+    weight = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
+    pairs = [(r, s) for r, s in zip(real, swapped) if s is not None]
+
+    def loss(w):
+        z = np.array([bias + sum(w.get(int(f), 0.0) for f in r) for r in real])
+        change = np.array([sum(w.get(int(f), 0.0) for f in r) - sum(w.get(int(f), 0.0) for f in s) for r, s in pairs])
+        data = (np.logaddexp(0, np.where(labels == 1, -z, z)) * weight).sum()
+        return data + toxicity.FAIRNESS * (change**2).mean() + toxicity.L1 * sum(abs(v) for v in w.values())
+
+    least = loss(weights)
+    for f in sorted(weights, key=lambda k: -abs(weights[k]))[:12]:
+        for by in (-0.3, 0.3):
+            assert loss({**weights, f: weights[f] + by}) > least - 2e-3
+    assert least < loss({}) - 0.2
