@@ -448,6 +448,19 @@ def read_archives(paths: DataFrame) -> DataFrame:
     return spread.mapInArrow(_read, RECORDS)
 
 
+class Lost(RuntimeError):
+    """Archives did not give back the records that were written to them."""
+
+
+def require_whole(found: DataFrame, manifest: DataFrame) -> None:
+    """Raise ``Lost`` unless ``found`` has as many records of each ``path`` as the ``manifest`` of ``write_archives`` tells."""
+    counts = found.groupBy(F.col("path").alias("found_path")).agg(F.count("*").alias("n"))
+    both = manifest.join(counts, F.col("path") == F.col("found_path"), "full")
+    wrong = both.where(~F.col("records").eqNullSafe(F.coalesce("n", F.lit(0).cast("long")))).select("path", "records", "n")
+    for row in wrong.orderBy("path").limit(1).collect():
+        raise Lost(f"{row['n'] or 0} of {row['records']} records read from {row['path']}, among {wrong.count()} archive(s) like this")
+
+
 @query(
     "op6_warc_salvage",
     f"""
@@ -464,12 +477,14 @@ def op6_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = revisit_records(table(spark, sf_dir, "pages"))
     manifest = write_archives(records, fresh_path(spark, "warc"))
     found = read_archives(manifest).where("problem is null")
+    found = written(found.withColumn("payload_digest", F.coalesce(F.sha1("payload"), "payload_digest")).drop("payload"), "records")
+    require_whole(found, manifest)
     page = lambda c: F.regexp_extract(c, r"urn:page:(-?\d+)", 1)
     number = lambda c: F.when(page(c) != "", page(c).cast("long"))
     return found.select(
         number("record_id").alias("page_id"),
         "payload_bytes",
-        F.coalesce(F.sha1("payload"), "payload_digest").alias("payload_digest"),
+        "payload_digest",
         "record_type",
         number("refers_to").alias("refers_to"),
     )

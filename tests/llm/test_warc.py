@@ -5,6 +5,7 @@ import hashlib
 import io
 import random
 
+import pytest
 from panelloom.llm import warc
 
 PAGES = "page_id long, url string, html string, digest string, size string, first string"
@@ -166,3 +167,25 @@ def test_large_member_is_read_in_parts():
     assert salvaged(whole) == (ids[:7] + ids[8:], [(0, len(whole))])
     cut = whole[: len(whole) * 4 // 5]
     assert salvaged(cut) == (ids[:7] + ids[8:9], [(0, len(cut))])
+
+
+def test_a_cut_archive_is_noticed(spark, tmp_path):
+    rows = [(i, "u", f"page {i} " * 300) for i in range(80)]
+    manifest = warc.write_archives(warc.revisit_records(pages(spark, rows)), str(tmp_path / "out"), 20_000)
+    whole = warc.read_archives(manifest).where("problem is null")
+    warc.require_whole(whole, manifest)
+    path = manifest.orderBy("path").first()["path"].removeprefix("file:")
+    with open(path, "r+b") as file:
+        file.truncate(file.seek(0, 2) // 2)
+    with pytest.raises(warc.Lost, match="records read from"):
+        warc.require_whole(whole, manifest)
+
+
+def test_a_payload_of_many_megabytes(spark, tmp_path):
+    big = "".join(map(chr, range(97, 123))) * 800_000  # 20 MB
+    manifest = warc.write_archives(warc.revisit_records(pages(spark, [(1, "u", big), (2, "u", big), (3, "u", "small")])), str(tmp_path / "out"))
+    found = warc.read_archives(manifest)
+    warc.require_whole(found.where("problem is null"), manifest)
+    assert sorted((r.record_id, r.payload_bytes, r.n) for r in found.selectExpr("*", "octet_length(payload) n").collect()) == [
+        ("urn:page:1", len(big), None), ("urn:page:2", len(big), len(big)), ("urn:page:3", 5, 5)
+    ]
