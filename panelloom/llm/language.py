@@ -25,6 +25,7 @@ from panelloom.llm.shared import trimmed
 DOCS_PER_LANGUAGE = 4_000  # pieces a language, at most in expectation; the bound of the fit
 PIECE = 80  # characters of a piece; one a document, at a place that its doc_id decides, or several where documents are few
 DICTIONARIES = 8
+MOST_LANGUAGES = 256  # of the training; each keeps its dictionaries in every task
 LEVEL = 6
 CLOSE = 12  # bytes of margin below which further dictionaries are asked
 REJECT = 10  # bytes of margin a KB of compressed size below which a text is rejected, a tie at any size
@@ -51,7 +52,7 @@ def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model:
 
     About ``per_language`` pieces of each language are taken by the hash of
     their doc_id, so what reaches the driver is bounded by the number of
-    languages. A language of fewer documents gives several pieces of each, as
+    languages, which may be ``MOST_LANGUAGES``; more raise. A language of fewer documents gives several pieces of each, as
     evenly as their lengths allow, until there are as many or no text is left.
     Rows without lang, text or doc_id teach nothing.
     """
@@ -59,7 +60,9 @@ def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model:
     pieces = F.greatest(F.ceil(F.length("text") / PIECE), F.lit(1))
     steps = [1 << k for k in range(max(per_language, 1).bit_length() + 1)]
     sums = [F.sum(F.least(pieces, F.lit(n))).alias(f"n{n}") for n in steps]
-    counts = {r["lang"]: [r[f"n{n}"] for n in steps] for r in docs.groupBy("lang").agg(*sums).collect()}
+    counts = {r["lang"]: [r[f"n{n}"] for n in steps] for r in docs.groupBy("lang").agg(*sums).limit(MOST_LANGUAGES + 1).collect()}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} different values of lang; a model keeps dictionaries of each")
     languages = sorted(counts, key=lambda name: (-counts[name][0], name))
     if not languages:
         return []

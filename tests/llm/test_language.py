@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import zlib
 
+import pytest
+
 from panelloom.llm import language, registry
 from panelloom.llm.registry import table
 
@@ -82,3 +84,35 @@ def test_languages_never_learned_are_rejected(spark):
     narrow = [judge.judge(t) for t in letters]
     assert sum(r[3] for r in narrow) >= 0.8 * len(narrow) > sum(r[2] == 0 for r in narrow)
     assert not any(judge.judge(text_of(lang, 2000 + n, n))[3] for lang in SYLLABLES for n in (20, 40, 400, 4000, 20_000))
+
+
+def test_sizes_again_by_plain_compression(spark):
+    """Language, margin and rejection of every text from sizes by zstandard alone, over the fitted dictionaries."""
+    import zstandard
+
+    model = language.fit(training(spark))
+    rows = [(k, text_of(lang, 3_000 + k, n), lang) for k, (lang, n) in enumerate((lang, n) for lang in SYLLABLES for n in (1, 2, 3, 8, 40, 400))]
+    rows += [(90, "ka schenux 12", "aa"), (91, "x", "bb")]
+
+    def size(content, data):
+        if len(content) < 8:
+            return len(zstandard.ZstdCompressor(level=language.LEVEL, write_content_size=False).compress(data))
+        dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(level=language.LEVEL, dict_data=dictionary, write_content_size=False, write_dict_id=False).compress(data))
+
+    for r in language.identify(make(spark, rows), model).collect():
+        data = language.plain(r.text)
+        first = [size(parts[0], data) for _, parts in model]
+        asked = 1
+        if sorted(first)[1] - min(first) < language.CLOSE:
+            first, asked = [sum(size(c, data) for c in parts) for _, parts in model], language.DICTIONARIES
+        best, second = sorted(first)[:2]
+        assert (r.lang_pred, r.margin) == (model[first.index(best)][0], second - best)
+        assert r.rejected == (1000 * (second - best) < language.REJECT * min(best, language.SATURATED * asked))
+
+
+def test_more_languages_than_a_model_holds_raise(spark):
+    rows = spark.range(language.MOST_LANGUAGES + 1).selectExpr("id as doc_id", "'some text' as text", "concat('l', id) as lang")
+    with pytest.raises(ValueError, match="different values of lang"):
+        language.fit(rows)
+    assert len(language.fit(rows.limit(3))) == 3

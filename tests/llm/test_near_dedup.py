@@ -15,9 +15,9 @@ def shingles(text, width=4):
     return frozenset(tuple(found[i : i + width]) for i in range(len(found) - width + 1))
 
 
-def brute(rows, threshold=80):
+def brute(rows, threshold=80, width=4):
     """doc_id -> (n_shingles, component_id) of rows with distinct ids."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, width) for i, t in rows}
     parent = {i: i for i in sets}
 
     def root(x):
