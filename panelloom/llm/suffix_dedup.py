@@ -8,8 +8,8 @@ the windows around it, and equal windows have equal anchors.
 2. Each chunk deals the hashes of its anchors' grams into buckets; a bucket
    answers which grams stand in several documents and which are so frequent in
    some chunk that they need splitting.
-3. Each chunk takes the suffixes at its repeated anchors, sorts them and sends
-   them as front-coded runs, dealt by the hash of their first bytes. What a
+3. Each chunk takes the suffixes at its repeated anchors and sorts them into
+   front-coded runs, dealt into buckets by the hash of their first bytes. What a
    smaller document of the same chunk covers whole is not sent, so copies
    collapse before the exchange. A frequent gram's windows are sent as suffixes
    of their own, dealt by the hash of all their bytes, so that one common line
@@ -19,6 +19,11 @@ the windows around it, and equal windows have equal anchors.
    smallest document that has it; covered bytes go back to their chunk.
 5. Each chunk joins the spans and cuts them out.
 
+What is exchanged goes in one blob for each partition, however many buckets the
+partition has and whichever of a task's chunks it comes from; partitions follow
+the bytes of the corpus. So the bytes sent are those of the suffixes, and the
+number of blobs grows with tasks and partitions, not with chunks and buckets.
+
 Nothing is sampled or capped; a 64-bit hash only chooses buckets and
 candidates, and a wrong candidate is ruled out by the suffixes' bytes.
 """
@@ -42,32 +47,36 @@ from panelloom.llm.shared import flat_bytes, trimmed, written
 
 CHUNK = 8 << 20  # bytes of text
 HOT = 32  # occurrences in one chunk above which a gram's windows are dealt one by one
-BUCKETS_PER_CHUNK = 2
-LEAST_BUCKETS = 64
+BUCKET = 2 << 20  # bytes of text whose suffixes one bucket merges, in the mean
+PARTITION = 16 << 20  # bytes of text whose suffixes one partition merges
+LEAST_PARTITIONS = 64  # where the session allows as many
+OUTBOX = 24 << 20  # bytes of runs that a task holds before it sends them
 ROWS = 1 << 16  # suffixes laid out and sorted at once
 _U = np.uint64
 _BACK = LENGTH - GRAM
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed Arrow stream."""
-    sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
-    for x in arrays:
-        batch = pa.RecordBatch.from_arrays([pa.array(x)], names=["x"])
-        with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
-            out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _unpacked(blob: bytes) -> list[np.ndarray]:
-    source, out = pa.BufferReader(blob), []
-    while source.tell() < source.size():
-        with pa.ipc.open_stream(source) as stream:
-            out.append(stream.read_all().column(0).combine_chunks().to_numpy(zero_copy_only=False))
+    """Arrays as one compressed blob: their lengths, then the bytes of their values, planes apart."""
+    sizes = np.array([len(x) for x in arrays], np.int64)
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes() if len(x) else b"" for x in (sizes, *arrays)]
+    return zstandard.compress(b"".join(planes), 1)
+
+
+def _unpacked(blob: bytes, kinds: list[type]) -> list[np.ndarray]:
+    raw, out = np.frombuffer(zstandard.decompress(blob), np.uint8), []
+    at = 8 * len(kinds)
+    sizes = np.ascontiguousarray(raw[:at].reshape(8, -1).T).view(np.int64).ravel()
+    for kind, n in zip(kinds, sizes):
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(raw[at : at + n * width].reshape(width, n).T).view(kind).ravel())
+        at += n * width
     return out
 
 
+SPANS = [np.int64, np.int64, np.int64]  # text, start, stop
+
+
 def _chunks(limit: int):
     def blob(held: list[pa.RecordBatch]) -> bytes:
         rows = pa.Table.from_batches(held).combine_chunks()
@@ -91,11 +100,11 @@ def _chunks(limit: int):
                     held.append(rows.slice(a, b - a))
                     size += int(starts[b] - starts[a])
                 if b < len(rows) or size >= limit:
-                    yield pa.RecordBatch.from_pydict({"chunk": [made], "docs": [blob(held)]})
+                    yield pa.RecordBatch.from_pydict({"chunk": [made], "size": [size], "docs": [blob(held)]})
                     made, held, size = made + 1, [], 0
                 a = b
         if held:
-            yield pa.RecordBatch.from_pydict({"chunk": [made], "docs": [blob(held)]})
+            yield pa.RecordBatch.from_pydict({"chunk": [made], "size": [size], "docs": [blob(held)]})
 
     return trimmed(run)
 
@@ -135,15 +144,17 @@ def _grams_of(chunk: _Chunk, hot: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return g[begin], state, place
 
 
-def _deal_grams(buckets: int, hot: int):
+def _deal_grams(parts: int, hot: int):
+    """A partition is one bucket of grams here: hashes are small, and are answered all at once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, blob in zip(batch.column("chunk").to_pylist(), batch.column("docs")):
                 grams, state, _ = _grams_of(_Chunk(blob.as_buffer()), hot)
-                cuts = np.searchsorted(_bucket(grams, buckets), np.arange(buckets + 1))
+                cuts = np.searchsorted(_bucket(grams, parts), np.arange(parts + 1))
                 full = np.flatnonzero(np.diff(cuts))
-                parts = [slice(cuts[k], cuts[k + 1]) for k in full]
-                blobs = [_steps_packed(grams[mine]) + state[mine].tobytes() for mine in parts]
+                own = [slice(cuts[k], cuts[k + 1]) for k in full]
+                blobs = [_steps_packed(grams[mine]) + state[mine].tobytes() for mine in own]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(full.astype(np.int32)),
@@ -151,7 +162,7 @@ def _deal_grams(buckets: int, hot: int):
                         pa.array(np.diff(cuts)[full].astype(np.int32)),
                         pa.array([zstandard.compress(b, 1) for b in blobs], pa.binary()),
                     ],
-                    names=["bucket", "chunk", "n", "grams"],
+                    names=["part", "chunk", "n", "grams"],
                 )
 
     return trimmed(run)
@@ -172,45 +183,32 @@ def _steps_unpacked(raw: bytes, n: int) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
-    """Rows of batches sorted by ``key``, one key at a time."""
-    held, now = [], None
-    for batch in batches:
-        for row in batch.to_pylist():
-            if held and row[key] != now:
-                yield now, held
-                held = []
-            now = row[key]
-            held.append(row)
-    if held:
-        yield now, held
-
-
 @trimmed
 def _answer_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for bucket, rows in _by_bucket(batches, "bucket"):
-        grams, states = [], []
-        for row in rows:
-            raw = zstandard.decompress(row["grams"])
-            grams.append(_steps_unpacked(raw, row["n"]))
-            states.append(np.frombuffer(raw, np.uint8, row["n"], 8 * row["n"]))
-        every, place, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
-        state = np.zeros(len(every), np.uint8)
-        np.maximum.at(state, place, np.concatenate(states))
-        state = np.maximum(state, count > 1)[place]
-        at = 0
-        answers = []
-        for g in grams:
-            answers.append(zstandard.compress(state[at : at + len(g)].tobytes(), 1))
-            at += len(g)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([r["chunk"] for r in rows], pa.int64()),
-                pa.array([bucket] * len(rows), pa.int32()),
-                pa.array(answers, pa.binary()),
-            ],
-            names=["chunk", "bucket", "answer"],
-        )
+    rows = [row for batch in batches for row in batch.to_pylist()]
+    if not rows:
+        return
+    grams, states = [], []
+    for row in rows:
+        raw = zstandard.decompress(row.pop("grams"))
+        grams.append(_steps_unpacked(raw, row["n"]))
+        states.append(np.frombuffer(raw, np.uint8, row["n"], 8 * row["n"]))
+    every, place, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+    state = np.zeros(len(every), np.uint8)
+    np.maximum.at(state, place, np.concatenate(states))
+    state = np.maximum(state, count > 1)[place]
+    at, answers = 0, []
+    for g in grams:
+        answers.append(zstandard.compress(state[at : at + len(g)].tobytes(), 1))
+        at += len(g)
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array([r["chunk"] for r in rows], pa.int64()),
+            pa.array([r["part"] for r in rows], pa.int32()),
+            pa.array(answers, pa.binary()),
+        ],
+        names=["chunk", "part", "answer"],
+    )
 
 
 def _suffixes(chunk: _Chunk, at: np.ndarray, start: np.ndarray, stop: np.ndarray):
@@ -236,10 +234,46 @@ def _order(matrix: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.lexsort([lengths, *keys.T[::-1]])
 
 
-def _deal_suffixes(buckets: int, hot: int):
-    """Runs for buckets below ``buckets`` hold anchored suffixes, those from there on single windows."""
-
+# A run's columns, a value a suffix but for the bytes, and its directory: bucket, chunk, suffixes and bytes of each run.
+RUNS = [np.uint8, np.uint8, np.uint8, np.uint8, np.int64, np.int32, np.int64, np.int64, np.int64, np.int32, np.int64]
+
+
+class _Outbox:
+    """Runs of any chunks and buckets, by the partition they go to."""
+
+    def __init__(self, parts: int, per_part: int):
+        self.parts, self.per_part = parts, per_part
+        self.held: dict[int, list[tuple]] = {}
+        self.size = 0
+
+    def add(self, number: int, bucket: np.ndarray, windows: bool, known, more, rest, columns: list[np.ndarray]) -> None:
+        """Sorted suffixes by ascending ``bucket``; buckets of single windows are numbered below zero."""
+        ends = np.cumsum(more.astype(np.int64))
+        begin = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        part = bucket[begin] // self.per_part
+        for p in np.unique(part):
+            mine = begin[part == p]
+            a = int(mine[0])
+            later = begin[part > p]
+            b = int(later[0]) if len(later) else len(bucket)
+            n = np.diff(np.append(mine, b))
+            low = int(ends[a - 1]) if a else 0
+            size = np.diff(np.r_[low, ends[np.append(mine[1:], b) - 1]])
+            name = -1 - bucket[mine] if windows else bucket[mine]
+            run = (known[a:b], more[a:b], rest[low : ends[b - 1]], *(c[a:b] for c in columns), name, np.full(len(mine), number), n.astype(np.int32), size)
+            self.held.setdefault(int(p), []).append(run)
+            self.size += sum(x.nbytes for x in run)
+
+    def sent(self) -> pa.RecordBatch:
+        parts = sorted(self.held)
+        blobs = [_packed(*(np.concatenate(c).astype(k) for c, k in zip(zip(*self.held[p]), RUNS))) for p in parts]
+        self.held, self.size = {}, 0
+        return _blob_rows([(p, None, b) for p, b in zip(parts, blobs)])
+
+
+def _deal_suffixes(parts: int, buckets: int, hot: int, outbox: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        box = _Outbox(parts, buckets // parts)
         for batch in batches:
             for number, docs, answers in zip(
                 batch.column("chunk").to_pylist(), batch.column("docs"), batch.column("answers").to_pylist()
@@ -247,63 +281,62 @@ def _deal_suffixes(buckets: int, hot: int):
                 chunk = _Chunk(docs.as_buffer())
                 grams, _, place = _grams_of(chunk, hot)
                 state = np.zeros(len(grams), np.uint8)
-                cuts = np.searchsorted(_bucket(grams, buckets), np.arange(buckets + 1))
+                cuts = np.searchsorted(_bucket(grams, parts), np.arange(parts + 1))
                 for reply in answers or []:
-                    k = reply["bucket"]
+                    k = reply["part"]
                     state[cuts[k] : cuts[k + 1]] = np.frombuffer(zstandard.decompress(reply["answer"]), np.uint8)
                 state = state[place]
                 a = chunk.anchors
-                rows, spans = [], []
+                spans = []
                 some = np.flatnonzero(state == 1)
                 key = _bucket(a.gram[some], buckets)
-                # parts are ranges of buckets, so a bucket gets one run and equal suffixes stay together
-                part = key * -(-len(some) // ROWS) // buckets
-                for p in np.unique(part):
-                    own, k = some[part == p], key[part == p]
-                    rows += _runs(chunk, number, own, a.at[own], a.first[own], a.last[own] + LENGTH, spans, k)
+                # laid out in ranges of buckets, so a bucket gets one run and equal suffixes stay together
+                share = key * -(-len(some) // ROWS) // buckets
+                for p in np.unique(share):
+                    own, k = some[share == p], key[share == p]
+                    _runs(box, chunk, number, own, a.at[own], a.first[own], a.last[own] + LENGTH, spans, k, False)
                 often = np.flatnonzero(state == 2)
                 size = a.last[often] - a.first[often] + 1
                 which = np.repeat(often, size)
                 window = a.first[which] + np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
                 key = _bucket(_window_hashes(chunk.data, window), buckets)
-                part = key * -(-len(which) // ROWS) // buckets
-                for p in np.unique(part):
-                    w, own, k = window[part == p], which[part == p], key[part == p]
-                    rows += _runs(chunk, number, own, w, w, w + LENGTH, spans, buckets + k)
+                share = key * -(-len(which) // ROWS) // buckets
+                for p in np.unique(share):
+                    w, own, k = window[share == p], which[share == p], key[share == p]
+                    _runs(box, chunk, number, own, w, w, w + LENGTH, spans, k, True)
                 if spans:
                     text, start, stop = (np.concatenate(x) for x in zip(*spans))
-                    rows.append((-1 - number, number, _packed(*_joined(text, start, stop))))
-                yield _blob_rows(rows)
+                    yield _blob_rows([(number % parts, number, _packed(*_joined(text, start, stop)))])
+                if box.size >= outbox:
+                    yield box.sent()
+        if box.held:
+            yield box.sent()
 
     return trimmed(run)
 
 
-def _blob_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([r[0] for r in rows], pa.int64()),
-            pa.array([r[1] for r in rows], pa.int64()),
-            pa.array([r[2] for r in rows], pa.binary()),
-        ],
-        names=["bucket", "chunk", "blob"],
-    )
+def _blob_rows(rows: list[tuple[int, int | None, bytes]]) -> pa.RecordBatch:
+    """Rows of (part, chunk, blob): spans of a chunk, or runs where there is no chunk."""
+    part, chunk, blob = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(chunk, pa.int64()), pa.array(blob, pa.binary())], names=["part", "chunk", "blob"])
 
 
 def _joined(text: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans of texts, overlapping and touching ones made one."""
     order = np.lexsort((start, text))
     text, start, stop = text[order], start[order], stop[order]
+    text, start, stop = (x.astype(np.int64) for x in (text, start, stop))
     if not len(text):
         return text, start, stop
-    shift = text.astype(np.int64) << 40
+    shift = text << 40
     reach = np.maximum.accumulate(stop + shift)
     fresh = np.r_[True, start[1:] + shift[1:] > reach[:-1]]
     begin = np.flatnonzero(fresh)
     return text[begin], start[begin], np.maximum.reduceat(stop, begin)
 
 
-def _runs(chunk, number, own, at, start, stop, spans, key) -> Iterator[tuple[int, int, bytes]]:
-    """Sorted, front-coded runs of suffixes, one for each bucket in ``key``; what the chunk itself covers goes to ``spans``.
+def _runs(box: _Outbox, chunk: _Chunk, number: int, own, at, start, stop, spans, key, windows: bool) -> None:
+    """Sorted, front-coded runs of suffixes, one for each bucket in ``key``, put in ``box``; what the chunk itself covers goes to ``spans``.
 
     Suffixes of the same bytes and the same anchor place are one; those of
     documents above the smallest are covered and not sent.
@@ -333,22 +366,14 @@ def _runs(chunk, number, own, at, start, stop, spans, key) -> Iterator[tuple[int
     order, m, n = order[keep], m[keep], n[keep]
     bucket = key[order]
     deal = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[deal])) + 1
-    for part in np.split(deal, cuts):
-        if not len(part):
-            continue
-        o = order[part]
-        text = a.text[own[o]]
-        k, more, rests = loser_tree.front_code(m[part], n[part])
-        yield int(bucket[part[0]]), number, _packed(
-            np.frombuffer(k, np.uint8),
-            np.frombuffer(more, np.uint8),
-            np.frombuffer(rests, np.uint8),
-            ahead[o].astype(np.uint8),
-            doc[o],
-            text.astype(np.int32),
-            (at[o] - chunk.starts[text]).astype(np.int64),
-        )
+    order, bucket, m, n = order[deal], bucket[deal], m[deal], n[deal]
+    known = loser_tree.shared_prefixes(m, n)
+    known[np.r_[True, bucket[1:] != bucket[:-1]]] = 0  # a bucket's run starts with a whole string
+    place = np.arange(m.shape[1])
+    rest = m[(place >= known[:, None]) & (place < n[:, None])]
+    text = a.text[own[order]]
+    columns = [ahead[order].astype(np.uint8), chunk.doc[own[order]], text.astype(np.int32), (at[order] - chunk.starts[text]).astype(np.int64)]
+    box.add(number, bucket, windows, known.astype(np.uint8), (n - known).astype(np.uint8), rest, columns)
 
 
 def _window_hashes(data: np.ndarray, window: np.ndarray) -> np.ndarray:
@@ -361,25 +386,48 @@ def _window_hashes(data: np.ndarray, window: np.ndarray) -> np.ndarray:
     return out
 
 
-def _merge_runs(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, rows in _by_bucket(batches, "bucket"):
-            if bucket < 0:  # spans that a chunk found by itself pass through
-                yield _blob_rows([(0, r["chunk"], r["blob"]) for r in rows])
-                continue
-            found = _covered(rows, bucket >= buckets)
-            yield _blob_rows([(0, chunk, blob) for chunk, blob in found])
+class _Inbox:
+    """The runs of one blob, found by bucket."""
 
-    return trimmed(run)
+    def __init__(self, blob: bytes):
+        known, more, rest, ahead, doc, text, at, bucket, chunk, n, size = _unpacked(blob, RUNS)
+        self.columns = known, more, rest, ahead, doc, text, at
+        self.bucket, self.chunk = bucket, chunk
+        self.rows, self.bytes = np.r_[0, np.cumsum(n, dtype=np.int64)], np.r_[0, np.cumsum(size)]
 
+    def run(self, k: int):
+        known, more, rest, ahead, doc, text, at = self.columns
+        a, b = self.rows[k], self.rows[k + 1]
+        strings = loser_tree.decode(known[a:b].tobytes(), more[a:b].tobytes(), rest[self.bytes[k] : self.bytes[k + 1]].tobytes())
+        return strings, (ahead[a:b], doc[a:b], text[a:b], at[a:b]), int(self.chunk[k])
 
-def _covered(rows: list[dict], windows: bool) -> Iterator[tuple[int, bytes]]:
+
+@trimmed
+def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    boxes, spans = [], {}
+    for batch in batches:
+        for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob").to_pylist()):
+            if chunk is None:
+                boxes.append(_Inbox(blob))
+            else:  # what a chunk found by itself
+                spans.setdefault(chunk, []).append(tuple(_unpacked(blob, SPANS)))
+    if boxes:
+        bucket = np.concatenate([b.bucket for b in boxes])
+        box = np.repeat(np.arange(len(boxes)), [len(b.bucket) for b in boxes])
+        place = np.concatenate([np.arange(len(b.bucket)) for b in boxes])
+        order = np.argsort(bucket, kind="stable")
+        for mine in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            runs = [boxes[box[i]].run(place[i]) for i in mine]
+            for chunk, found in _covered(runs, bool(bucket[mine[0]] < 0)):
+                spans.setdefault(chunk, []).append(found)
+    for chunk, found in spans.items():
+        yield _blob_rows([(0, chunk, _packed(*_joined(*(np.concatenate(x) for x in zip(*found)))))])
+
+
+def _covered(found: list[tuple], windows: bool) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
     """Spans by chunk of one bucket's merged runs."""
-    runs, columns = [], []
-    for number, row in enumerate(rows):
-        known, more, rests, ahead, doc, text, at = _unpacked(row["blob"])
-        runs.append(loser_tree.decode(known.tobytes(), more.tobytes(), rests.tobytes()))
-        columns.append((ahead, doc, text, at, np.full(len(doc), number)))
+    runs = [strings for strings, _, _ in found]
+    columns = [(*values, np.full(len(values[0]), number)) for number, (_, values, _) in enumerate(found)]
     from_run, shared = loser_tree.merge(runs)
     source = np.array(from_run)
     shared = np.array(shared, np.int64)
@@ -397,7 +445,7 @@ def _covered(rows: list[dict], windows: bool) -> Iterator[tuple[int, bytes]]:
         where, start, stop = _anchored(runs, order, shared, ahead.astype(np.int64), length, doc, at)
     for r in np.unique(run[where]):
         m = run[where] == r
-        yield rows[r]["chunk"], _packed(*_joined(text[where[m]], start[m], stop[m]))
+        yield found[r][2], _joined(text[where[m]], start[m], stop[m])
 
 
 def _anchored(runs, order, shared, ahead, length, doc, at):
@@ -469,10 +517,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for docs, blobs in zip(batch.column("docs"), batch.column("blobs").to_pylist()):
             chunk = _Chunk(docs.as_buffer(), with_anchors=False)
-            parts = [_unpacked(b) for b in blobs or []]
+            parts = [_unpacked(b, SPANS) for b in blobs or []]
             empty = np.zeros(0, np.int64)
             text, start, stop = (np.concatenate(x) for x in zip(*parts)) if parts else (empty, empty, empty)
-            text, start, stop = _joined(text.astype(np.int64), start, stop)
+            text, start, stop = _joined(text, start, stop)
             data = chunk.data.tobytes()
             cuts = np.searchsorted(text, np.arange(len(chunk.ids) + 1))
             for lo in range(0, len(chunk.ids), 1000):
@@ -493,7 +541,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from own.append_column("kept", pa.array(kept, pa.binary())).to_batches()
 
 
-def cut_repeats(docs: DataFrame, chunk_bytes: int = CHUNK, hot: int = HOT) -> DataFrame:
+def _dealing(spark: SparkSession, chunks: DataFrame) -> tuple[int, int]:
+    """Numbers of partitions and buckets for the text in ``chunks``; each partition has the same number of buckets."""
+    size = chunks.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), LEAST_PARTITIONS)
+    parts = max(-(-size // PARTITION), least, 1)
+    return parts, parts * max(-(-size // (BUCKET * parts)), 1)
+
+
+def cut_repeats(docs: DataFrame, chunk_bytes: int = CHUNK, hot: int = HOT, outbox: int = OUTBOX) -> DataFrame:
     """``docs`` (doc_id, text, ...) with n_bytes, spans and kept in the place of text.
 
     ``spans`` are the maximal runs of bytes, as [start, stop), that lie in
@@ -504,24 +560,21 @@ def cut_repeats(docs: DataFrame, chunk_bytes: int = CHUNK, hot: int = HOT) -> Da
     ``n_bytes``, ``spans`` and ``kept`` are replaced.
     """
     docs = docs.drop("n_bytes", "spans", "kept")
-    packed = docs.mapInArrow(_chunks(chunk_bytes), "chunk long, docs binary")
-    chunks = written(packed, "chunks")
-    buckets = max(LEAST_BUCKETS, BUCKETS_PER_CHUNK * chunks.count())
-    parts = min(buckets, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1))
+    chunks = written(docs.mapInArrow(_chunks(chunk_bytes), "chunk long, size long, docs binary"), "chunks")
+    parts, buckets = _dealing(docs.sparkSession, chunks)
+    chunks = chunks.drop("size")
     answers = (
-        chunks.mapInArrow(_deal_grams(buckets, hot), "bucket int, chunk long, n int, grams binary")
-        .repartition(parts, "bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(_answer_grams, "chunk long, bucket int, answer binary")
+        chunks.mapInArrow(_deal_grams(parts, hot), "part int, chunk long, n int, grams binary")
+        .repartitionById(parts, "part")
+        .mapInArrow(_answer_grams, "chunk long, part int, answer binary")
         .groupBy("chunk")
-        .agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))
+        .agg(F.collect_list(F.struct("part", "answer")).alias("answers"))
     )
-    asked = chunks.join(answers, "chunk", "left")
     spans = (
-        asked.mapInArrow(_deal_suffixes(buckets, hot), "bucket long, chunk long, blob binary")
-        .repartition(parts, "bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(_merge_runs(buckets), "bucket long, chunk long, blob binary")
+        chunks.join(answers, "chunk", "left")
+        .mapInArrow(_deal_suffixes(parts, buckets, hot, outbox), "part int, chunk long, blob binary")
+        .repartitionById(parts, "part")
+        .mapInArrow(_merge_runs, "part int, chunk long, blob binary")
         .groupBy("chunk")
         .agg(F.collect_list("blob").alias("blobs"))
     )

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from panelloom.llm import anchors, loser_tree, suffix_dedup
 
@@ -51,6 +52,13 @@ def test_against_all_windows(spark, documents, chunk, hot):
     assert got.columns == ["doc_id", "other", "n_bytes", "spans", "kept"]
 
 
+def test_many_buckets_and_blobs(spark, documents, prose, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BUCKET", 500)
+    monkeypatch.setattr(suffix_dedup, "PARTITION", 4_000)
+    rows = [(i, prose(i % 9, 60) + prose(100 + i % 31, 25) + str(i)) for i in range(120)]
+    assert found(suffix_dedup.cut_repeats(documents(rows), 2_000, 4, outbox=3_000)) == sorted(brute(rows), key=repr)
+
+
 def test_long_text_and_empty_table(spark, documents, prose):
     long = prose(4, 200_000)
     rows = [(1, prose(9, 40)), (2, long), (3, "head " + long[1000:5000] + " tail")]
@@ -113,3 +121,45 @@ def test_merge_keeps_order_and_shared_lengths():
         assert out == sorted(s for r in runs for s in r[0])
         for a, b, n in zip(out, out[1:], shared[1:]):
             assert a[:n] == b[:n] and (n == min(len(a), len(b)) or a[n] != b[n])
+
+
+def exchanged(spark, rows, chunk, outbox=suffix_dedup.OUTBOX, parts=6):
+    """Blobs, their bytes and the suffixes in them, as the exchange gets them; one task makes all."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    chunks = docs.mapInArrow(suffix_dedup._chunks(chunk), "chunk long, size long, docs binary").collect()
+    table = spark.createDataFrame([(c.chunk, c.docs) for c in chunks], "chunk long, docs binary").coalesce(1)
+    dealt = table.mapInArrow(suffix_dedup._deal_grams(parts, 32), "part int, chunk long, n int, grams binary").repartitionById(parts, "part")
+    answers = dealt.mapInArrow(suffix_dedup._answer_grams, "chunk long, part int, answer binary").groupBy("chunk")
+    answers = answers.agg(F.collect_list(F.struct("part", "answer")).alias("answers"))
+    asked = table.join(answers, "chunk", "left").coalesce(1)
+    sent = asked.mapInArrow(suffix_dedup._deal_suffixes(parts, 10 * parts, 32, outbox), "part int, chunk long, blob binary")
+    runs = sent.where("chunk is null").collect()
+    suffixes = sum(len(suffix_dedup._unpacked(bytes(r.blob), suffix_dedup.RUNS)[4]) for r in runs)
+    return len(chunks), len(runs), sum(len(r.blob) for r in runs), suffixes
+
+
+def test_exchange_does_not_grow_with_the_number_of_chunks(spark, prose):
+    """The same texts in 20 and in 200 chunks: as many blobs, and bytes by the suffixes sent."""
+    rows = [(i, prose(i % 300, 120) + " " + prose(10_000 + i, 120)) for i in range(1_200)]
+    size = sum(len(t.encode()) for _, t in rows)
+    few, many = exchanged(spark, rows, -(-size // 20)), exchanged(spark, rows, -(-size // 200))
+    assert 19 <= few[0] <= 22 and 190 <= many[0] <= 240
+    assert few[1] == many[1] == 6  # one blob a partition
+    assert many[2] / many[3] < 1.6 * few[2] / few[3]
+    assert exchanged(spark, rows, -(-size // 200), outbox=1)[1] > 600  # unless each chunk sends its own
+
+
+def test_partitions_follow_bytes(spark):
+    table = lambda n, size: spark.createDataFrame([(size,)] * n, "size long")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert suffix_dedup._dealing(spark, table(1, 10)) == (least, least)
+    parts, buckets = suffix_dedup._dealing(spark, table(500, 8 << 20))
+    assert parts == 250 and buckets % parts == 0 and buckets * suffix_dedup.BUCKET >= 500 * (8 << 20)
+    assert suffix_dedup._dealing(spark, table(5_000, 8 << 20))[0] == 2_500
+
+
+def test_blobs_round_trip():
+    rnd = np.random.default_rng(3)
+    arrays = [rnd.integers(0, 200, n).astype(k) for n, k in zip((0, 5, 1, 7), (np.uint8, np.int64, np.int32, np.int64))]
+    back = suffix_dedup._unpacked(suffix_dedup._packed(*arrays), [a.dtype.type for a in arrays])
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, back))
