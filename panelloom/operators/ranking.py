@@ -3,7 +3,8 @@
 Each is read off the count of rows per distinct value. Counts combine before
 the shuffle, so neither a hot peer group nor a value shared by a third of all
 rows gathers in one task; the running totals over the counts are cut in even
-chunks (``ordered``). The wide rows are only joined to the finished positions.
+chunks (``ordered``). The positions are written, one narrow table for all
+rankings, so the wide rows are joined once an order, to a side of known size.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.operators.ordered import running_total
+from panelloom.session import write_through
 
 
 @dataclass(frozen=True)
@@ -61,7 +63,8 @@ def with_rankings(df: DataFrame, rankings: Sequence[Ranking], chunks: int | None
     ]
     counted = df.select(F.inline(F.array(*branches))).groupBy("_ranking", *groups, *keys).agg(F.count("*").alias("_n"))
     order = [F.desc_nulls_last(key) if kinds[k][1] else F.asc_nulls_last(key) for k, key in enumerate(keys)]
-    positions = running_total(counted, ["_ranking", *groups], order, "_n", "_before", "_total", chunks)
+    # written: each ranking reads its own part, and the engine knows how large it is
+    positions = write_through(running_total(counted, ["_ranking", *groups], order, "_n", "_before", "_total", chunks), "positions")
 
     out = df
     for value, descending in dict.fromkeys((r.value, r.descending) for r in rankings):
