@@ -9,12 +9,12 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from panelloom import fixed_values as fixed
-from panelloom.operators.checks import as_result, duplicates, gate, grain_conflicts, report, row_checks
+from panelloom.operators.checks import gate, grain_checks, report, row_checks
 from panelloom.operators.frames import with_audit
-from panelloom.plans.marts import MARTS
+from panelloom.plans.refresh import CHECKS, refresh_marts
 from panelloom.plans.staging import staging
 from panelloom.session import scratch_scope, write_through
-from panelloom.sinks.tables import archive, create_schema, replace_partitioned, replace_table
+from panelloom.sinks.tables import archive, create_schema, replace_table
 from panelloom.sources.registry import DATASETS
 from panelloom.sources.snapshots import verified_snapshot
 
@@ -50,28 +50,23 @@ def load_all(
 
 
 def staging_checks(staged: DataFrame, fund_types: list[str]) -> DataFrame:
-    rows = row_checks(
+    """All checks of the staged panel, in one read of it."""
+    return grain_checks(
         staged,
         "staging",
+        grain=["abn", "quarter_date"],
+        within=["product_name"],
+        alike=["member_accounts", "net_assets_m", "fund_name", "fund_type"],
         not_null=["abn", "fund_name", "quarter_date"],
         accepted={"fund_type": fund_types},
         row_count=(1, None),
     )
-    grain = ["abn", "quarter_date"]
-    alike = ["member_accounts", "net_assets_m", "fund_name", "fund_type"]
-    return report(
-        rows,
-        as_result(duplicates(staged, [*grain, "product_name"]), "staging", "abn, quarter_date, product_name", "unique"),
-        as_result(grain_conflicts(staged, grain, alike), "staging", "abn, quarter_date", "one_total"),
-    )
 
 
 def mart_checks(performance: DataFrame, value: DataFrame, flow: DataFrame) -> DataFrame:
-    return report(
-        row_checks(performance, "fund_performance", not_null=["abn", "quarter_date", "rank_5yr_overall"]),
-        row_checks(value, "fee_vs_return", accepted={"value_quadrant": fixed.VALUE_QUADRANTS}),
-        row_checks(flow, "member_flow", not_null=["abn", "quarter_date"]),
-    )
+    """The checks of the marts where they are not being written; a run counts them on the writes."""
+    built = {"fund_performance": performance, "fee_vs_return": value, "member_flow": flow}
+    return report(*[row_checks(df, name, **CHECKS[name]) for name, df in built.items()])
 
 
 def require_datasets(landed: DataFrame, left_out: Sequence[str]) -> list[str]:
@@ -102,7 +97,8 @@ def weekly_run(
     Without the product data set the marts stay as they are. The staged panel
     is written once, by quarter, and read by all marts and checks; the marts
     are laid out by quarter, too, so that questions about the newest quarter
-    read nothing else. Intermediate tables go at the end, also after a
+    read nothing else. Only quarters that have changed since the last run are
+    built again (``refresh``), readers of the marts see old rows or new ones. Intermediate tables go at the end, also after a
     failure; what the run leaves, tables and the staging view, needs none.
     """
     with scratch_scope(spark):
@@ -119,8 +115,8 @@ def weekly_run(
 def _build_marts(spark: SparkSession, run: Run, raw: str, mart_schema: str, fund_types: list[str]) -> None:
     staging(spark.table(raw)).createOrReplaceTempView("staging")
     staged = write_through(spark.table("staging"), "staging", partition="quarter_date")
-    for name, build in MARTS.items():
-        table = f"{mart_schema}.{name}"
-        run.rows[table] = replace_partitioned(build(staged), table, "quarter_date")
-    built = [spark.table(f"{mart_schema}.{name}") for name in MARTS]
-    run.checks = gate(report(staging_checks(staged, fund_types), mart_checks(*built)))
+    written, results, keep = refresh_marts(staged, mart_schema)
+    run.rows |= written
+    checked = [row.asDict() for row in staging_checks(staged, fund_types).collect()]
+    run.checks = gate(checked + [row for found in results for row in found()])
+    keep()

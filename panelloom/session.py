@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 _scopes: list[list[str]] = []
 
@@ -45,6 +46,16 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             _delete(spark, path)
 
 
+def seen_by(observation: Observation, of_none: dict) -> dict:
+    """What an observation counted; ``of_none`` where the engine found that there were no rows, and so nothing to observe."""
+    try:
+        return observation.get
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return of_none
+
+
 def write_through(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet and go on from the written table.
 
