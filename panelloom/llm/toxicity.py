@@ -171,12 +171,17 @@ def fit(docs: DataFrame, labels: DataFrame, groups: list[list[str]] = GROUPS, pe
     # 2 * per_label narrow rows at most: small enough to send to every task
     sample = keyed.join(F.broadcast(chosen.select("doc_id", "text_key", "label")), ["doc_id", "text_key"])
     sample = sample.groupBy("label", "doc_id", "text_key").agg(F.first("text").alias("text")).select("label", "text")
-    rows = sample.mapInArrow(_featured(groups), "label int, real array<int>, swapped array<int>").collect()
-    return train(
-        np.array([r["label"] for r in rows], np.int64),
-        [np.array(r["real"], np.int64) for r in rows],
-        [None if r["swapped"] is None else np.array(r["swapped"], np.int64) for r in rows],
-    )
+    rows = sample.mapInArrow(_featured(groups), "label int, real array<int>, swapped array<int>").toArrow()
+    return train(rows.column("label").to_numpy().astype(np.int64), _lists(rows.column("real")), _lists(rows.column("swapped")))
+
+
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray | None]:
+    """The lists of a column as views of its flat values, null as None."""
+    found: list[np.ndarray | None] = []
+    for part in column.chunks:
+        values, known = part.values.to_numpy(), part.is_valid().to_pylist()
+        found += [values[a:b] if there else None for a, b, there in zip(part.offsets[:-1].to_pylist(), part.offsets[1:].to_pylist(), known)]
+    return found
 
 
 def _scored(model: Model):
