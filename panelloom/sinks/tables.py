@@ -29,7 +29,7 @@ def archive(cells: DataFrame, root: str, run_date: date) -> list[str]:
     written = Observation("archived")
     (
         cells.drop("run_date")
-        .withColumn("dataset", F.coalesce("dataset", no_key))
+        .withColumns({"dataset": F.coalesce("dataset", no_key), "cells": F.col("cells").cast("array<string>")})
         .observe(written, F.collect_set("dataset").alias("datasets"), F.count("*").alias("n"))
         .sortWithinPartitions("dataset", "sheet", "row_idx")
         .write.mode("overwrite")
