@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.catalogue import query
-from panelloom.catalogue.marts import FLOW_SQL, GROWTH_SQL
+from panelloom.catalogue.marts import FLOW_SQL, GROWTH_SQL, PERFORMANCE_SQL
 from panelloom.plans import marts
+from panelloom.plans.refresh import refresh_marts
 from panelloom.plans.weekly import load_all, weekly_run
 from panelloom.session import fresh_path
-from panelloom.sinks import tables
+from panelloom.sinks import tables, versions
 from panelloom.sources.snapshots import read_snapshot
 from panelloom.standins.panel import PANEL_SQL, panel
 from panelloom.standins.tables import table
@@ -145,6 +146,48 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(events.schema).parquet(path).drop("ts")
 
 
+@query(
+    "versioned_upsert",
+    """select user_id, event_type, event_id, value from events
+    qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1""",
+)
+def versioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same updates, brought in twice to a table that switches between generations."""
+    name = f"{own_schema(spark)}.events"
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "value", "ts", "event_type")
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    versions.replace(tables.latest_per_key(events.where(early), keys, order), name, "event_type")
+    for _ in range(2):
+        versions.upsert(events.where(~early), name, keys, order)
+    return spark.table(name).drop("ts")
+
+
+@query(
+    "refreshed_flow",
+    f"with {FLOW_SQL} select * from member_flow",
+)
+def refreshed_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow mart of a run that lacked half the funds of one year, brought up to date by a run with all rows."""
+    schema, staged = own_schema(spark), panel(spark, sf_dir)
+    late = (F.year("quarter_date") == 1995) & (F.col("abn") % 2 == 1)
+    for rows in (staged.where(~late), staged, staged):
+        keep = refresh_marts(rows, schema)[2]
+        keep()
+    return spark.table(f"{schema}.member_flow")
+
+
+@query(
+    "newest_of_stored_mart",
+    f"with {PERFORMANCE_SQL} select * from fund_performance where quarter_date = (select max(quarter_date) from fund_performance)",
+)
+def newest_of_stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest quarter of a stored mart, told without reading a row."""
+    name = f"{own_schema(spark)}.fund_performance"
+    versions.replace(marts.fund_performance(panel(spark, sf_dir)), name, "quarter_date")
+    return versions.newest(spark, name)
+
+
 @query(
     "full_run",
     f"""with {POINTS_SQL},
