@@ -144,3 +144,67 @@ def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = with_audit(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), LOADED_AT, RUN_DATE)
     text = F.date_format("_loaded_at", "yyyy-MM-dd HH:mm:ss")
     return rename_present(loaded.withColumn("_loaded_at", text), {"_loaded_at": "loaded_at", "_run_date": "run_date"})
+
+
+# Orders as a raw panel of texts, among them numbers too large for their type, words in place of numbers and of dates,
+# and rows without a fund name.
+_ORDER_CENTS = "cast(round(o_totalprice * 100) as bigint)"
+_ORDER_PANEL = {
+    "abn": "cast(o_orderkey as varchar(20))",
+    "fund_name": "nullif(o_orderstatus, 'P')",
+    "product_name": "cast(o_custkey as varchar(20))",
+    "quarter_year": "case when o_orderpriority like '5%' then o_orderpriority"
+    " else cast(cast(o_orderdate as date) as varchar(10)) || ' 00:00:00' end",
+    "return_1yr": f"cast(cast(floor({_ORDER_CENTS} / 100) as bigint) as varchar(20))",
+    "return_3yr": "case when o_orderstatus = 'O' then o_orderpriority else substring(o_orderpriority, 1, 1) end",
+    "return_5yr": "nullif('0.' || cast(o_custkey as varchar(20)), '0.7')",
+    "investment_fee_pct": "case when o_custkey % 11 = 0 then '' else '0.25' end",
+    "admin_fee_pct": "case when o_custkey % 13 = 0 then 'NaN' else '1e-3' end",
+    "total_fee_pct": "cast(null as varchar(20))",
+    "net_assets_m": f"cast({_ORDER_CENTS} as varchar(20)) || case when o_custkey % 7 = 0 then '0000000000000000' else '.5' end",
+    "member_accounts": "cast(o_custkey as varchar(20)) || case when o_orderpriority like '1%' then '000000000000000000' else '.5' end",
+    "fund_type": "o_orderpriority",
+}
+_ORDER_PANEL_SQL = ", ".join(f"{value} as {name}" for name, value in _ORDER_PANEL.items())
+_KINDS = {**dict.fromkeys(RATES, "decimal(10,6)"), "net_assets_m": "decimal(18,2)", "member_accounts": "bigint"}
+
+
+def _order_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(*[f"{value} as {name}" for name, value in _ORDER_PANEL.items()])
+
+
+def _refusals_sql(column: str, kind: str) -> str:
+    typed = f"try_cast({column} as {kind})"
+    return f"""select abn, product_name, quarter_year, '{column}' as "column", {column} as text,
+      case when coalesce(isfinite(try_cast({column} as double)), false) then 'out of range' else 'not a number' end as reason
+    from raw where {column} is not null and {typed} is null"""
+
+
+@query(
+    "quarantine",
+    f"""with raw as (select {_ORDER_PANEL_SQL} from orders)
+    select abn, product_name, quarter_year, 'fund_name' as "column", fund_name as text, 'missing' as reason
+    from raw where fund_name is null
+    union all
+    select abn, product_name, quarter_year, 'quarter_year', quarter_year, 'not a date'
+    from raw where quarter_year is not null and try_cast(quarter_year as date) is null
+    union all """
+    + " union all ".join(_refusals_sql(column, kind) for column, kind in _KINDS.items()),
+)
+def refused_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of a raw panel that its type refuses, with its row and the reason."""
+    return staging.quarantine(staging.parsed(_order_panel(spark, sf_dir)))
+
+
+@query(
+    "staging_lenient",
+    f"""with raw as (select {_ORDER_PANEL_SQL} from orders)
+    select fund_name, abn, product_name, try_cast(quarter_year as date) as quarter_date,
+      {", ".join(f"cast(try_cast({c} as {k}) as double) as {c}" for c, k in _KINDS.items() if c != "member_accounts")},
+      try_cast(round(try_cast(member_accounts as decimal(38,6))) as bigint) as member_accounts, lower(fund_type) as fund_type
+    from raw where fund_name is not null""",
+)
+def staged_around_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging view of the same rows: refused values are null, the rest of their row stays."""
+    rows = staging.staged_rows(staging.parsed(_order_panel(spark, sf_dir)))
+    return rows.withColumns({c: F.col(c).cast("double") for c in [*RATES, "net_assets_m"]})

@@ -48,10 +48,21 @@ def category(value: Column) -> Column:
 
 
 def rounded_count(value: Column, strict: bool = True) -> Column:
-    """A whole number out of decimal text; halves go away from zero."""
+    """A whole number out of decimal text; halves go away from zero.
+
+    Text that is no such number raises in strict mode and becomes null otherwise.
+    """
     exact = "decimal(38,6)"
-    number = value.cast(exact) if strict else value.try_cast(exact)
-    return F.round(number, 0).cast("bigint")
+    if strict:
+        return F.round(value.cast(exact), 0).cast("bigint")
+    return F.round(value.try_cast(exact), 0).try_cast("bigint")
+
+
+def misfit(value: Column, typed: Column) -> Column:
+    """Why ``value`` has no ``typed`` number; null where it has one, or is null itself."""
+    finite = F.abs(value.cast("string").try_cast("double")) < float("inf")
+    reason = F.when(F.coalesce(finite, F.lit(False)), "out of range").otherwise("not a number")
+    return F.when(value.isNotNull() & typed.isNull(), reason)
 
 
 def rounded_count_of_double(value: Column) -> Column:

@@ -12,7 +12,7 @@ from panelloom import fixed_values as fixed
 from panelloom.operators.checks import gate, grain_checks, report, row_checks
 from panelloom.operators.frames import with_audit
 from panelloom.plans.refresh import CHECKS, refresh_marts
-from panelloom.plans.staging import staging
+from panelloom.plans.staging import parsed, quarantine as refused_values, staged_rows, staging
 from panelloom.session import scratch_scope, write_through
 from panelloom.sinks.tables import archive, create_schema, replace_table
 from panelloom.sources.registry import DATASETS
@@ -89,6 +89,7 @@ def weekly_run(
     mart_schema: str = "mart",
     fund_types: list[str] = fixed.FUND_TYPES,
     left_out: Sequence[str] = (),
+    quarantine: str | None = None,
 ) -> Run:
     """One run under one date. A failing check raises after the marts are built.
 
@@ -100,6 +101,10 @@ def weekly_run(
     read nothing else. Only quarters that have changed since the last run are
     built again (``refresh``), readers of the marts see old rows or new ones. Intermediate tables go at the end, also after a
     failure; what the run leaves, tables and the staging view, needs none.
+
+    A value that does not fit its type raises. With ``quarantine``, the name of
+    a table, it is null in the staged panel instead and listed there with its
+    row and the reason; the table is replaced by every run that builds marts.
     """
     with scratch_scope(spark):
         keys = require_datasets(landed, left_out)
@@ -108,13 +113,21 @@ def weekly_run(
         create_schema(spark, mart_schema)
         run.rows = load_all(spark, root, run_date, loaded_at, raw_schema, keys)
         if PANEL in keys:
-            _build_marts(spark, run, f"{raw_schema}.{DATASETS[PANEL].table}", mart_schema, fund_types)
+            _build_marts(spark, run, f"{raw_schema}.{DATASETS[PANEL].table}", mart_schema, fund_types, quarantine)
     return run
 
 
-def _build_marts(spark: SparkSession, run: Run, raw: str, mart_schema: str, fund_types: list[str]) -> None:
-    staging(spark.table(raw)).createOrReplaceTempView("staging")
-    staged = write_through(spark.table("staging"), "staging", partition="quarter_date")
+def _build_marts(
+    spark: SparkSession, run: Run, raw: str, mart_schema: str, fund_types: list[str], quarantine: str | None
+) -> None:
+    if quarantine is None:
+        staging(spark.table(raw)).createOrReplaceTempView("staging")
+        staged = write_through(spark.table("staging"), "staging", partition="quarter_date")
+    else:
+        staging(spark.table(raw), strict=False).createOrReplaceTempView("staging")
+        rows = write_through(parsed(spark.table(raw)), "staging", partition="quarter_date")
+        run.rows[quarantine] = replace_table(refused_values(rows), quarantine)
+        staged = staged_rows(rows)
     written, results, keep = refresh_marts(staged, mart_schema)
     run.rows |= written
     checked = [row.asDict() for row in staging_checks(staged, fund_types).collect()]
