@@ -79,5 +79,26 @@ def test_plan_is_native(spark, documents):
     assert not [n for n in ("Python", "Arrow", "CartesianProduct", "NestedLoop") if n in plan]
 
 
+def test_sides_are_broadcast_by_their_bytes(spark, documents, prose, monkeypatch):
+    item = "w" * 5_000 + " " + prose(1, 11)
+    docs = [(1, prose(2, 4) + " " + item + " " + prose(3, 4)), (2, prose(4, 40)), (3, None)]
+    benchmark = spark.createDataFrame([(9, item), (10, prose(5, 3))], "item_id long, text string")
+    wanted, hints = brute(docs, [(9, item), (10, prose(5, 3))]), []
+    broadcast = decontaminate.F.broadcast
+    monkeypatch.setattr(decontaminate.F, "broadcast", lambda df: hints.append(df.columns) or broadcast(df))
+    for most, hinted in [(256 << 20, 2), (5_000, 1), (10, 0)]:  # 4 windows of 2,400 bytes as blocks, more than 5,000 with their texts
+        hints.clear()
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", most)
+        assert found(decontaminate.contamination(documents(docs), benchmark)) == wanted
+        assert len(hints) == hinted
+
+
+def test_words_and_gaps_of_a_very_long_text(spark, documents, prose):
+    item = prose(1, 12)
+    text = ", ".join([prose(2, 60_000), item.upper(), prose(3, 60_000), "É" * 50_000])
+    got = decontaminate.without_spans(documents([(1, text), (2, "..." + item + "...")]), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert {r.doc_id: r.text for r in got.collect()} == {1: text.replace(item.upper() + ", ", ""), 2: "..."}
+
+
 def test_hash_of_item_ids():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
