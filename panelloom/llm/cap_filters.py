@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.llm.graph import components
@@ -24,7 +24,8 @@ from panelloom.llm.shared import trimmed, written
 
 COSINE = 0.98
 TABLES, DEPTH = 2, 0.25
-BLOCK = 512  # vectors of one direction that meet those of another block in one task
+BLOCK = 512  # vectors compared with as many others at once, and the least number of a direction that go to a task together
+BLOCK_BYTES = 1 << 26  # of the vectors of a block
 
 
 def _codewords(rows: int) -> int:
@@ -35,6 +36,19 @@ def _codewords(rows: int) -> int:
     return n
 
 
+def _block_size(n: Column, size: Column) -> Column:
+    """Vectors a block: 8 * sqrt(n) of a direction's n, so that each is sent sqrt(n) / 8 times; bounded by bytes."""
+    room = F.floor(F.lit(BLOCK_BYTES) / (8 * F.greatest(size, F.lit(128))))
+    return F.greatest(F.lit(BLOCK), F.least(F.ceil(8 * F.sqrt(n)), room, F.lit(1 << 13)))
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; brought near 1 by powers of two first, so that no square is too large or small."""
+    _, power = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    vectors = np.ldexp(vectors, -power)
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
 class _Code:
     def __init__(self, size: int, words: int):
         self.size, self.half = size, max(-(-size // 2), 1)
@@ -78,8 +92,7 @@ def _decode(words: int):
             out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(batch)
             for size in np.unique(sizes):
                 own = np.flatnonzero(sizes == size)
-                x = np.array(vectors.take(pa.array(own)).flatten(), np.float64).reshape(-1, size)
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                x = _unit(np.array(vectors.take(pa.array(own)).flatten(), np.float64).reshape(-1, size))
                 code = codes.setdefault(size, _Code(int(size), words))
                 for i in range(0, len(own), 1024):
                     for k, found in zip(own[i : i + 1024], code.directions(x[i : i + 1024])):
@@ -93,36 +106,80 @@ def _decode(words: int):
     return trimmed(run)
 
 
-def _verify(cosine: float):
+def _lowest(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest label that each row and each column of ``near`` reaches, from labels ``a`` and ``b``."""
+    far = np.iinfo(np.int64).max
+    while True:
+        low_a = np.minimum(a, np.where(near, b[None, :], far).min(axis=1))
+        low_b = np.minimum(b, np.where(near, low_a[:, None], far).min(axis=0))
+        if (low_a == a).all() and (low_b == b).all():
+            return a, b
+        a, b = low_a, low_b
+
+
+def _joined(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The smallest label that each place reaches over the links u - v."""
+    while True:
+        low = label.copy()
+        np.minimum.at(low, u, label[v])
+        np.minimum.at(low, v, label[u])
+        if (low == label).all():
+            return label
+        label = low
+
+
+def _verify(cosine: float, tile: int):
     """(node, links, low): for each row of a group how many vectors it is linked with here, and its local root."""
 
     def one(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = rows.take(pa.array(np.argsort(rows.column("side").to_numpy(), kind="stable"))).combine_chunks()
         node, copies = rows.column("node").to_numpy(), rows.column("copies").to_numpy()
-        side = rows.column("side").to_numpy(zero_copy_only=False)
-        m, here = len(node), rows.column("direction")[0].as_py()
-        size = rows.column("size")[0].as_py()
-        x = np.array(rows.column("embedding").combine_chunks().flatten(), np.float64).reshape(m, size)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        close = x @ x.T >= cosine
-        np.fill_diagonal(close, False)
-        if side.any() and not side.all():  # two blocks: only pairs between them
-            close &= side[:, None] != side[None, :]
-        roots = node.copy()
-        while True:
-            low = np.minimum(roots, np.where(close, roots[None, :], np.iinfo(np.int64).max).min(axis=1))
-            if (low == roots).all():
-                break
-            roots = low
-        # a pair counts in the first direction that both vectors go to
+        m, here, size = len(node), rows.column("direction")[0].as_py(), rows.column("size")[0].as_py()
+        x = _unit(np.array(rows.column("embedding").combine_chunks().flatten(), np.float64).reshape(m, size))
         lists = rows.column("directions").combine_chunks()
         flat, bounds = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        owner = np.repeat(np.arange(m), np.diff(bounds))
-        before = flat < here
-        names, column = np.unique(flat[before], return_inverse=True)
-        held = np.zeros((m, len(names)), np.float32)
-        held[owner[before], column] = 1
-        first = close & ~((held @ held.T) > 0)
-        return node, first @ copies, roots
+        other = int(m - rows.column("side").to_numpy().sum())  # where the second block begins, if there are two
+        two = 0 < other < m
+        cuts = lambda a, b: [(k, min(k + tile, b)) for k in range(a, b, tile)]
+
+        def earlier(a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+            """The directions before this one that vectors a to b go to, each with its vector."""
+            own = np.repeat(np.arange(b - a), np.diff(bounds[a : b + 1]))
+            numbers = flat[bounds[a] : bounds[b]]
+            return numbers[numbers < here], own[numbers < here]
+
+        links, joins = np.zeros(m, np.int64), []
+        for a, b in cuts(0, other if two else m):
+            for c, d in cuts(other, m) if two else cuts(a, m):
+                near = x[a:b] @ x[c:d].T >= cosine
+                if a == c:
+                    np.fill_diagonal(near, False)
+                if not near.any():
+                    continue
+                low_a, low_c = _lowest(near, np.arange(a, b), np.arange(c, d))
+                joins += [np.stack([np.arange(a, b), low_a]), np.stack([np.arange(c, d), low_c])]
+                # a pair counts in the first direction that both vectors go to
+                (left, rows_a), (right, rows_c) = earlier(a, b), earlier(c, d)
+                names = np.intersect1d(left, right)
+                if len(names):
+                    held = []
+                    for numbers, own, n in ((left, rows_a, b - a), (right, rows_c, d - c)):
+                        at = np.minimum(np.searchsorted(names, numbers), len(names) - 1)
+                        hits = names[at] == numbers
+                        table = np.zeros((n, len(names)), np.float32)
+                        table[own[hits], at[hits]] = 1
+                        held.append(table)
+                    near &= ~((held[0] @ held[1].T) > 0)
+                links[a:b] += near @ copies[c:d]
+                if a != c:
+                    links[c:d] += copies[a:b] @ near
+        label = np.arange(m)
+        if joins:
+            u, v = np.concatenate(joins, axis=1)
+            label = _joined(label, u[u != v], v[u != v])
+        low = np.full(m, np.iinfo(np.int64).max)
+        np.minimum.at(low, label, node)
+        return node, links, low[label]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -214,7 +271,7 @@ def _found(nodes: DataFrame, codewords: int, cosine: float) -> DataFrame:
     rows = decoded.select("node", "label", "size", F.explode("directions").alias("direction"))
     sizes = rows.groupBy("label", "size", "direction").agg(F.count("*").alias("n")).where("n > 1")
     met = rows.join(sizes, ["label", "size", "direction"])
-    blocks = F.ceil(F.col("n") / BLOCK)
+    blocks = F.ceil(F.col("n") / _block_size(F.col("n"), F.col("size")))
     met = met.withColumn("blocks", blocks).withColumn("spot", F.pmod(F.xxhash64("node", "direction"), blocks))
 
     def pair(k):  # the block meets block k; "side" tells the two apart
@@ -228,7 +285,7 @@ def _found(nodes: DataFrame, codewords: int, cosine: float) -> DataFrame:
     )
     keys = ["label", "size", "direction", "pair"]
     dealt = full.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(_verify(cosine), "node long, links long, low long")
+    return dealt.mapInArrow(_verify(cosine, BLOCK), "node long, links long, low long")
 
 
 _SQL = f"""

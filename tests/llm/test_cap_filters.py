@@ -95,3 +95,20 @@ def test_recall_of_directions_at_the_threshold():
     y = 0.98 * x + math.sqrt(1 - 0.98**2) * z
     met = [bool(set(a) & set(b)) for a, b in zip(code.directions(x), code.directions(y))]
     assert np.mean(met) > 0.999
+
+
+def test_very_small_and_very_large_numbers(spark):
+    rows = [(1, [1e-200, 2e-200], 1), (2, [2e-200, 4e-200], 1), (3, [1e200, 2e200], 1), (4, [5e-324, 1e-323], 1), (5, [1e308, -1e308], 1)]
+    wide = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert found(cap_filters.near_vectors(wide)) == [(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 3, 1), (5, 0, 5)]
+
+
+def test_hot_direction_is_sent_in_few_copies(spark, monkeypatch):
+    """Blocks grow with their direction, and tiles of a block find chains that run through several of them."""
+    monkeypatch.setattr(cap_filters, "BLOCK", 8)
+    turn = [(i, [math.cos(i * 0.004), math.sin(i * 0.004)], 1) for i in range(300)]
+    rows = [(i, [float(x) for x in np.float32(v)], y) for i, v, y in turn]
+    assert found(cap_filters.near_vectors(table(spark, rows))) == brute(rows)
+    sizes = [(100, 64, 80), (10_000, 64, 800), (4_000_000, 64, 8192), (4_000_000, 4096, 2048)]
+    df = spark.createDataFrame(sizes, "n long, size int, wanted long")
+    assert all(r.wanted == r.b for r in df.withColumn("b", cap_filters._block_size(df["n"], df["size"])).collect())
