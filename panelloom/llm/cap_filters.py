@@ -52,6 +52,7 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 class _Code:
     def __init__(self, size: int, words: int):
         self.size, self.half = size, max(-(-size // 2), 1)
+        words = min(words, 4 ** min(self.half, 16))  # few dimensions: more words would lie within one another's caps
         rng = np.random.default_rng(size * 1_000_003 + words)
         self.words, self.tables = words, []
         for _ in range(TABLES):
