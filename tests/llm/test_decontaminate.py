@@ -95,9 +95,10 @@ def test_sides_are_broadcast_by_their_bytes(spark, documents, prose, monkeypatch
 
 def test_words_and_gaps_of_a_very_long_text(spark, documents, prose):
     item = prose(1, 12)
-    text = ", ".join([prose(2, 60_000), item.upper(), prose(3, 60_000), "É" * 50_000])
+    loud = "".join(c.upper() if c.isascii() else c for c in item)  # A-Z alone are made equal
+    text = ", ".join([prose(2, 60_000), loud, prose(3, 60_000), "É" * 50_000])
     got = decontaminate.without_spans(documents([(1, text), (2, "..." + item + "...")]), spark.createDataFrame([(1, item)], "item_id long, text string"))
-    assert {r.doc_id: r.text for r in got.collect()} == {1: text.replace(item.upper() + ", ", ""), 2: "..."}
+    assert {r.doc_id: r.text for r in got.collect()} == {1: text.replace(loud + ", ", ""), 2: "..."}
 
 
 def test_hash_of_item_ids():
