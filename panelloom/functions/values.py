@@ -15,7 +15,8 @@ def text_key(key: Column) -> Column:
     Anything that is not a whole number is kept as it is. Nulls stay null.
 
     The optimizer repeats a join key in the filters it infers, so the common
-    spellings come first and cost a character check or one pattern.
+    spellings, with blanks around and at most one zero behind a point, come
+    first and cost one short pattern.
     """
     text = key.cast("string")
     bare = strip_space(text)
@@ -23,7 +24,7 @@ def text_key(key: Column) -> Column:
     scientific = F.when(bare.rlike(r"^\d+(\.\d+)?[eE]\+?\d+$"), bare).try_cast("decimal(38,9)")
     number = F.when(scientific == F.floor(scientific), F.floor(scientific).cast("string"))
     return (
-        F.when(F.translate(text, "0123456789", "") == "", text)
+        F.when(text.rlike(r"^ *\d+(\.0?)? *\z"), F.substring_index(F.trim(text), ".", 1))
         .when(text.rlike(whole), F.regexp_extract(text, whole, 1))
         .otherwise(F.coalesce(number, bare))
     )

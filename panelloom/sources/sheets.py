@@ -74,16 +74,52 @@ def described(cells: DataFrame, leading: int = HEADER_SEARCH_ROWS, by: Sequence[
     ``checksum`` also a hash that does not depend on the order of the rows.
     """
     top = F.when(F.col("row_idx") < leading, F.struct("row_idx", "cells"))
-    facts = [
-        F.min("sheet_pos").alias("sheet_pos"),
-        F.count("*").alias("n_rows"),
-        F.max(F.size("cells")).alias("width"),
-        F.array_sort(F.collect_list(top)).alias("leading"),
-    ]
+    listed = F.array_sort(F.collect_list(top)).alias("leading")
+    facts = _facts()
     if checksum:
-        marked = F.transform("cells", lambda cell: F.coalesce(F.concat(F.lit("="), cell), F.lit("")))
-        facts.append(F.bit_xor(F.xxhash64("sheet_pos", "row_idx", marked)).alias("checksum"))
-    return cells.groupBy(*by).agg(*facts)
+        facts.append(F.bit_xor(row_hash()).alias("checksum"))
+    return cells.groupBy(*by).agg(*facts[:3], listed, *facts[3:])
+
+
+def described_stored(cells: DataFrame, row: Column, leading: int = HEADER_SEARCH_ROWS, by: Sequence[str] = SHEET) -> DataFrame:
+    """``described`` with a checksum over the hash ``row``, of cells that are cheap to read again.
+
+    An aggregate that also lists rows sorts all its input once it has met some
+    hundred sheets. Here numbers alone are taken from all rows, which needs no
+    sort, and the leading rows come by a second read of little more than them.
+    """
+    facts = cells.groupBy(*by).agg(*_facts(), F.bit_xor(row).alias("checksum"))
+    top = cells.where(F.col("row_idx") < leading).select(*by, F.struct("row_idx", "cells").alias("top"))
+    one = facts.unionByName(top, allowMissingColumns=True).groupBy(*by)
+    return one.agg(
+        F.min("sheet_pos").alias("sheet_pos"),
+        F.max("n_rows").alias("n_rows"),
+        F.max("width").alias("width"),
+        F.array_sort(F.collect_list("top")).alias("leading"),
+        F.max("checksum").alias("checksum"),
+    )
+
+
+def _facts() -> list[Column]:
+    return [F.min("sheet_pos").alias("sheet_pos"), F.count("*").alias("n_rows"), F.max(F.size("cells")).alias("width")]
+
+
+def row_hash() -> Column:
+    """A hash of a row's place and cells.
+
+    Nulls do not change the hash of an array, so it takes in which cells are
+    null, too. That is asked cell by cell only where a row may hold a null: a
+    search for the empty text says false where there is neither.
+    """
+    some = F.coalesce(F.array_contains("cells", F.lit("")), F.lit(True))
+    places = F.when(some, F.transform("cells", lambda cell: cell.isNull()))
+    return F.xxhash64("sheet_pos", "row_idx", "cells", places)
+
+
+def marked_row_hash() -> Column:
+    """The hash of a row in manifests of the first kind: each cell marked, one by one."""
+    marked = F.transform("cells", lambda cell: F.coalesce(F.concat(F.lit("="), cell), F.lit("")))
+    return F.xxhash64("sheet_pos", "row_idx", marked)
 
 
 def sheet_names(sheets: DataFrame, header: int | Column | None = None, every: bool = False) -> DataFrame:

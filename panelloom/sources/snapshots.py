@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.session import write_through
-from panelloom.sources.sheets import SHEET, described
+from panelloom.sources.sheets import SHEET, described_stored, marked_row_hash, row_hash
 
 CELLS_SCHEMA = "file string, sheet string, sheet_pos int, row_idx int, cells array<string>, dataset string, run_date date"
 MANIFEST = "_manifest"
+CHECKED_AS = 2  # raised when checksums come to be computed otherwise; manifests of the first kind do not tell it
 
 
 class Incomplete(RuntimeError):
@@ -40,27 +41,32 @@ def read_snapshot(spark: SparkSession, root: str, run_date: date, dataset: str |
     return stored_rows(spark, root, run_date, dataset)
 
 
-def described_snapshot(rows: DataFrame) -> DataFrame:
+def described_snapshot(rows: DataFrame, checked_as: int = CHECKED_AS) -> DataFrame:
     """The manifest of archived rows: a description and a checksum of every sheet of every data set."""
-    return described(rows, by=["dataset", *SHEET], checksum=True)
+    row = row_hash() if checked_as == CHECKED_AS else marked_row_hash()
+    return described_stored(rows, row, by=["dataset", *SHEET]).withColumn("checked_as", F.lit(checked_as))
 
 
 def verified_snapshot(spark: SparkSession, root: str, run_date: date, dataset: str) -> tuple[DataFrame, DataFrame]:
     """A data set's rows of a date and the descriptions of its sheets, once they agree with the manifest.
 
-    The one read that describes the sheets also checks them: a sheet that is
+    The descriptions of the sheets also check them: a sheet that is
     missing, too many, or holds other rows than were archived raises
-    ``Incomplete``, as does a date whose manifest was never written.
+    ``Incomplete``, as does a date whose manifest was never written. Checksums
+    are computed as the manifest's were.
     """
     rows = stored_rows(spark, root, run_date, dataset)
-    found = write_through(described_snapshot(rows), "sheets")
+    schema = described_snapshot(rows).schema
     try:
-        promised = spark.read.schema(found.schema).parquet(manifest_path(root, run_date))
+        manifest = spark.read.schema(schema).parquet(manifest_path(root, run_date))
     except AnalysisException as error:
         raise Incomplete(f"the archive of {run_date} has no manifest") from error
+    promised = manifest.where(F.col("dataset") == dataset)
+    kind = promised.select(F.coalesce("checked_as", F.lit(1)).alias("kind")).first()
+    found = write_through(described_snapshot(rows, kind["kind"] if kind else CHECKED_AS), "sheets")
     counts = ["n_rows", "width", "checksum"]
     mine = found.select(*SHEET, *[F.col(c).alias(f"_{c}") for c in counts], F.lit(True).alias("_here"))
-    theirs = promised.where(F.col("dataset") == dataset).select(*SHEET, *counts, F.lit(True).alias("there"))
+    theirs = promised.select(*SHEET, *counts, F.lit(True).alias("there"))
     mine = mine.withColumnsRenamed({c: f"_{c}" for c in SHEET})
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SHEET]
     agree = F.col("there").eqNullSafe(F.col("_here"))

@@ -34,7 +34,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the whole-number measures."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("abn"),
-        F.date_trunc("quarter", "l_shipdate").cast("date").alias("quarter_date"),
+        F.trunc("l_shipdate", "quarter").alias("quarter_date"),
         F.col("l_returnflag").alias("product_name"),
         F.col("l_linestatus").alias("status"),
         F.col("l_quantity").cast("bigint").alias("qty"),

@@ -97,7 +97,7 @@ def product_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = F.concat(F.lit("fund_"), F.col("abn").cast("string"))
     fund = funds(spark, sf_dir)
     points = product_points(spark, sf_dir).join(fund, "abn").withColumn("file", book)
-    place = F.row_number().over(Window.partitionBy("file").orderBy("quarter_date", "product_name"))
+    place = F.row_number().over(Window.partitionBy("abn").orderBy("quarter_date", "product_name"))  # a fund is a file
     points = write_through(points.withColumn("place", place), "points")
     books = fund.select(book.alias("file"))
 

@@ -1,0 +1,74 @@
+"""Sheets described without a sort of all cells, and keys and checks that cost no pattern or sort they can do without."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from panelloom.functions.values import text_key
+from panelloom.sinks import tables
+from panelloom.sources import sheets, snapshots
+from panelloom.sources.snapshots import CELLS_SCHEMA, Incomplete, described_snapshot, manifest_path, stored_rows, verified_snapshot
+
+D1 = date(2026, 1, 5)
+ROWS = [
+    (file, sheet, 1, i, [None if i % 7 == 0 else f"{i}", "x" * (i % 3), None], "fund_quarterly", D1)
+    for file in ("a", "b", None)
+    for sheet in ("one", "two")
+    for i in range(30)
+]
+
+
+@pytest.fixture
+def archived(spark, tmp_path):
+    root = str(tmp_path / "archive")
+    tables.archive(spark.createDataFrame(ROWS, CELLS_SCHEMA).repartition(3), root, D1)
+    return root
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_leading_rows_are_listed_and_sorted(spark, archived):
+    found = described_snapshot(stored_rows(spark, archived, D1))
+    reads = [line for line in plan_of(found).splitlines() if "FileScan" in line]
+    assert len(reads) == 2 and sum("LessThan(row_idx,15)" in line for line in reads) == 1
+    # all rows meet an aggregate of numbers alone
+    assert "partial_bit_xor" in "".join(line for line in plan_of(found).splitlines() if " HashAggregate" in line)
+
+
+def test_descriptions_are_those_of_one_aggregate(spark, archived):
+    rows, columns = stored_rows(spark, archived, D1), ["file", "sheet", "sheet_pos", "n_rows", "width", "leading", "checksum"]
+    stored = described_snapshot(rows).select(*columns)
+    one = sheets.described(rows, checksum=True).select(*columns)
+    assert stored.count() == 6 and stored.exceptAll(one).count() == one.exceptAll(stored).count() == 0
+
+
+def test_a_null_has_its_place_in_the_hash(spark):
+    cells = [["a", None], [None, "a"], ["a"], ["a", ""], ["", "a"], ["", None], [None, ""], [None], [None, None], [""], ["b", "a"]]
+    df = spark.createDataFrame([(1, 2, c) for c in cells], "sheet_pos int, row_idx int, cells array<string>")
+    assert df.select(sheets.row_hash()).distinct().count() == len(cells)
+
+
+def test_a_manifest_of_the_first_kind_is_still_compared(spark, archived):
+    old = described_snapshot(stored_rows(spark, archived, D1), 1).drop("checked_as")
+    kept = spark.createDataFrame(old.collect(), old.schema)
+    kept.write.mode("overwrite").partitionBy("dataset").parquet(manifest_path(archived, D1))
+    rows, found = verified_snapshot(spark, archived, D1, "fund_quarterly")
+    assert (rows.count(), found.count()) == (180, 6)
+    kept.withColumn("checksum", F.col("checksum") + 1).write.mode("overwrite").partitionBy("dataset").parquet(manifest_path(archived, D1))
+    with pytest.raises(Incomplete, match="differs"):
+        verified_snapshot(spark, archived, D1, "fund_quarterly")
+    assert snapshots.CHECKED_AS == 2
+
+
+def test_keys_in_all_their_spellings(spark, rows):
+    texts = {
+        "12": "12", " 012 ": "012", "12.0": "12", " 12. ": "12", "12\n": "12", "12.0\n": "12", "12.00\t": "12", "12.5": "12.5",
+        " 12": "12", "1.2e1": "12", "": "", "  ": "", ".0": ".0", "1 2": "1 2", "-12": "-12", "12.0.0": "12.0.0", "AB 1": "AB 1",
+    }
+    df = spark.createDataFrame(list(texts.items()), "key string, wanted string")
+    assert rows(df.withColumn("key", text_key(F.col("key"))).where(~F.col("key").eqNullSafe(F.col("wanted")))) == []
