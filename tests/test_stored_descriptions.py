@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelloom.functions.values import text_key
+from panelloom.operators.checks import grain_checks
 from panelloom.sinks import tables
 from panelloom.sources import sheets, snapshots
 from panelloom.sources.snapshots import CELLS_SCHEMA, Incomplete, described_snapshot, manifest_path, stored_rows, verified_snapshot
@@ -72,3 +73,14 @@ def test_keys_in_all_their_spellings(spark, rows):
     }
     df = spark.createDataFrame(list(texts.items()), "key string, wanted string")
     assert rows(df.withColumn("key", text_key(F.col("key"))).where(~F.col("key").eqNullSafe(F.col("wanted")))) == []
+
+
+def test_texts_of_a_grain_are_compared_without_a_sort(spark):
+    columns = "abn string, product string, name string, kind string, amount double"
+    same = [("1", "p", "n", "k", 1.0), ("1", "q", "n", "k", 1.0), ("2", "p", None, "k", 2.0), ("2", "q", None, "k", 2.0)]
+    odd = [("3", "p", "n", "k", 1.0), ("3", "q", "m", "k", 1.0), ("4", "p", None, "k", 1.0), ("4", "q", "n", "k", 1.0)]
+    odd += [("5", "p", "n", "k", 1.0), ("5", "q", "n", "l", 1.0), ("6", "p", "n", "k", 1.0), ("6", "q", "n", "k", 3.0)]
+    for data, failures in ((same, 0), (same + odd, 4)):
+        found = grain_checks(spark.createDataFrame(data, columns), "t", ["abn"], ["product"], ["name", "kind", "amount"])
+        assert "SortAggregate" not in plan_of(found)
+        assert {r["check_name"]: r["failures"] for r in found.collect()} == {"unique": 0, "one_total": failures}
